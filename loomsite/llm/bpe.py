@@ -25,6 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomsite.llm.common import table
 from loomsite.llm.hashing import ranges
@@ -228,7 +229,7 @@ def encode(df: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column
 def decode(df: DataFrame, tokenizer: str, ids_column: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text that its ids stand for as column ``out`` (null ids: an empty
     text); bytes that are no valid UTF-8 become U+FFFD."""
-    schema = df.schema.add(out, "string")
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType())])
     at = df.columns.index(ids_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: The modules with queries, by operator number.
-MODULES = {1: "chat", 6: "bpe", 10: "urls"}
+MODULES = {1: "chat", 6: "bpe", 9: "substring", 10: "urls"}
 
 
 def queries() -> dict:

@@ -97,16 +97,27 @@ def words(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = NOT_SPACE
     return start, end, np.searchsorted(start, offsets, side="left")
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray = BYTE_VALUE) -> np.ndarray:
-    """A 64-bit hash of the bytes of each word."""
-    up, down = _power_tables(max(1, len(data)))
+def running(data: np.ndarray, value: np.ndarray = BYTE_VALUE) -> np.ndarray:
+    """Prefix sums of the polynomial over all bytes, for ``between``."""
+    up, _ = _power_tables(max(1, len(data)))
     sums = np.zeros(len(data) + 1, dtype=U64)
     np.cumsum(value[data] * up[: len(data)], out=sums[1:], dtype=U64)
+    return sums
+
+
+def between(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each range."""
     if not len(start):
         return np.zeros(0, dtype=U64)
+    _, down = _power_tables(len(sums))
     return mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(U64))
 
 
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray = BYTE_VALUE) -> np.ndarray:
+    """A 64-bit hash of the bytes of each word."""
+    return between(running(data, value), start, end)
+
+
 def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the k-word sequences that start at each of the words but the last
     k - 1; they may cross rows, which the caller masks."""

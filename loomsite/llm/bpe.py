@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomsite.llm.common import table
-from loomsite.llm.hashing import ranges
+from loomsite.llm.hashing import list_array, ranges
 
 #: Fixed value: the pre-split pattern of byte-level BPE vocabularies.
 PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -202,24 +202,30 @@ def encode_text(text: str, path: str) -> bytes:
     )
 
 
-def encode(df: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """-> ``(<id_column>, n_tokens long, ids binary)`` for every row: the ids of the
-    whole text as little-endian unsigned 32-bit integers.
+def encode(df: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text", arrays: bool = False) -> DataFrame:
+    """-> ``(<id_column>, n_tokens long, ids)`` for every row: the ids of the whole text,
+    as little-endian unsigned 32-bit integers in a binary or, with ``arrays``, as an
+    ``array<int>``.
 
     ``tokenizer`` is the path of the vocabulary file, the same on every executor.
     Defined cases: a null or empty text has no ids; strings of special tokens in a text
     become their ids; a repeated row gives a repeated result; other columns are dropped.
     """
     rows = df.select(F.col(id_column), F.col(text_column).cast("string").alias(text_column))
-    schema = rows.select(id_column).schema.add("n_tokens", "long").add("ids", "binary")
+    schema = rows.select(id_column).schema.add("n_tokens", "long").add("ids", T.ArrayType(T.IntegerType()) if arrays else T.BinaryType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, texts = batch.column(0), batch.column(1)
             for i in range(0, batch.num_rows, 512):
                 ids = [encode_text(t, tokenizer) if t else b"" for t in texts.slice(i, 512).to_pylist()]
+                n = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+                if arrays:
+                    coded = list_array(pa.array(np.frombuffer(b"".join(ids), dtype="<i4")), n)
+                else:
+                    coded = pa.array(ids, pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [key.slice(i, 512), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    [key.slice(i, 512), pa.array(n), coded],
                     names=[id_column, "n_tokens", "ids"],
                 )
 

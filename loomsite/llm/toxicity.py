@@ -284,6 +284,23 @@ def score_texts(docs: DataFrame, field: Field, id_column: str = "doc_id", text_c
     return rows.mapInArrow(run, schema)
 
 
+def keep_clean(docs: DataFrame, field: Field, limit: float = LIMIT, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is under ``limit``, with all their columns."""
+    at = docs.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, dtype=bool)
+            for i, j, data, offsets in steps(batch.column(at)):
+                start, end, first = words(data, offsets, ALNUM)
+                score, known = field.emissions(data, start, end)
+                x = _summary(token_marginals(field, score, known, first), first)
+                keep[i:j] = 1 / (1 + np.exp(-np.clip(x @ field.logistic, -30, 30))) < limit
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def remainder(id_column: str, n: int):
     """crc32 of the id as text, modulo ``n``."""
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % n

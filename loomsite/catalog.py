@@ -436,3 +436,41 @@ FROM (SELECT readID, model, unnest(range(0, 2)) AS i, unnest(string_split(model,
 def rearrangement_segments(spark, d):
     model = F.expr("concat(qStart + 1, '..', qEnd, '[', tStart, strand, tEnd, '];', qEnd + 1, '..', qSize + 9, '[', tEnd, '+', tEnd + 9, ']')")
     return reports.segments(view(spark, d, "fx_alignments").select("readID", model.alias("model")))
+
+
+@register("standardize_integration")
+def standardize_integration(spark, d):
+    from loomsite.operators.standardize import standardize_integrations
+
+    return standardize_integrations(view(spark, d, "fx_fragments"))
+
+
+@register("standardize_breaks")
+def standardize_breaks(spark, d):
+    from loomsite.operators.standardize import standardize_breaks as run
+
+    return run(view(spark, d, "fx_fragments"))
+
+
+@register("leader_clusters")
+def leader_clusters(spark, d):
+    from loomsite.operators.sequences import cluster
+
+    return cluster(view(spark, d, "fx_fragments"), ["trial", "subject"], "leaderSeq", identity=0.85)
+
+
+@register("rarefaction_stats")
+def rarefaction_stats(spark, d):
+    from loomsite.operators import sequences
+
+    reads = view(spark, d, "fx_reads").select("uniqueSample", "readID", F.col("anchorReadSeq").alias("seq"))
+    rows = sequences.rarefy(reads, ["uniqueSample"], (0, 50), (1, 2), (50,), "seq")
+    return sequences.structure_stats(rows, ["uniqueSample"], "seq", reads.where("readID like 'r1%'").select(F.col("seq").alias("expected")))
+
+
+@register("sites_from_fragments")
+def sites_from_fragments(spark, d):
+    from loomsite.plans import stages
+
+    std = stages.build_std_fragments(view(spark, d, "fx_fragments"))
+    return stages.build_sites(std["reads"])["sites"]

@@ -31,7 +31,7 @@ from loomsite.llm.common import table
 from loomsite.llm.hashing import ALNUM, BYTE_VALUE_LOWER, U64, between, list_array, mix64, running, steps, words
 
 #: Labelled documents that training uses at most.
-MAX_DOCS = 6000
+MAX_DOCS = 3000
 #: From this score on a document is rejected.
 LIMIT = 0.3
 BLOCK = 64
@@ -40,14 +40,20 @@ _PREFIXES = (3, 4, 5, 6)
 _SUFFIX = 4
 
 
-def _features(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
-    """A hash for each kind of feature of every token; what is shorter than a prefix or
-    the suffix has its whole bytes in it."""
-    sums = running(data, BYTE_VALUE_LOWER)
-    kinds = [between(sums, start, end)]
-    kinds += [between(sums, start, np.minimum(start + n, end)) for n in _PREFIXES]
-    kinds.append(between(sums, np.maximum(end - _SUFFIX, start), end))
-    return [mix64(h + U64(k)) for k, h in enumerate(kinds)]
+#: Kinds of features: the token, its prefixes and its suffix.
+_KINDS = len(_PREFIXES) + 2
+
+
+def _feature(sums: np.ndarray, start: np.ndarray, end: np.ndarray, kind: int) -> np.ndarray:
+    """The hash of one kind of feature of every token; what is shorter than a prefix or the
+    suffix has its whole bytes in it."""
+    if kind == 0:
+        h = between(sums, start, end)
+    elif kind <= len(_PREFIXES):
+        h = between(sums, start, np.minimum(start + _PREFIXES[kind - 1], end))
+    else:
+        h = between(sums, np.maximum(end - _SUFFIX, start), end)
+    return mix64(h + U64(kind))
 
 
 @dataclass
@@ -68,7 +74,9 @@ class Field:
         if len(self.keys) and len(start):
             bitmap = np.zeros(1 << 16, dtype=bool)
             bitmap[(self.keys >> U64(48)).astype(np.int64)] = True
-            for h in _features(data, start, end):
+            sums = running(data, BYTE_VALUE_LOWER)
+            for kind in range(_KINDS):
+                h = _feature(sums, start, end, kind)
                 maybe = np.flatnonzero(bitmap[(h >> U64(48)).astype(np.int64)])
                 at = np.minimum(np.searchsorted(self.keys, h[maybe]), len(self.keys) - 1)
                 hit = self.keys[at] == h[maybe]
@@ -147,97 +155,98 @@ def _summary(p: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _label_tokens(kinds: list[np.ndarray], doc: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of features that set toxic documents apart, and the tokens' labels.
+def _telling(h: np.ndarray, doc: np.ndarray, toxic: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The sorted hashes of one kind's features that set toxic documents apart.
 
     A feature counts once for a document, and in toxic ones once for each token before
     it at most: the words of a much-copied toxic document always have the same neighbour.
     It is picked if its log odds and its G statistic are high."""
-    picked = []
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    before = np.concatenate([[U64(0)], kinds[0][:-1]])
-    before[1:][doc[1:] != doc[:-1]] = U64(0)
-    for h in kinds:
-        key, index = np.unique(h, return_inverse=True)
-        pair = np.unique(index.astype(np.int64) * len(toxic) + doc)
-        f, d = pair // len(toxic), pair % len(toxic)
-        t = np.bincount(f[toxic[d]], minlength=len(key))
-        c = np.bincount(f[~toxic[d]], minlength=len(key))
-        own = toxic[doc]
-        _, one = np.unique(mix64(h[own] + mix64(before[own])), return_index=True)
-        t = np.minimum(t, np.bincount(index[own][one], minlength=len(key)))
-        odds = np.log((t + 0.5) / (n1 + 1)) - np.log((c + 0.5) / (n0 + 1))
-        share = (t + c) / (n1 + n0)
-        g = t * np.log(np.maximum(t, 1) / np.maximum(share * n1, 1e-9)) + c * np.log(np.maximum(c, 1) / np.maximum(share * n0, 1e-9))
-        picked.append(key[(t >= 5) & (odds >= 2.5) & (g >= 18)])
-    toxic_token = np.zeros(len(doc), dtype=bool)
-    for h, key in zip(kinds, picked, strict=True):
-        toxic_token |= np.isin(h, key)
-    return np.unique(np.concatenate(picked)), toxic_token & toxic[doc]
-
-
-def train(texts: list[str], toxic: list[int], epochs: int = 6, rate: float = 0.5, seed: int = 7) -> Field:
+    key, index = np.unique(h, return_inverse=True)
+    pair = np.unique(index.astype(np.int64) * len(toxic) + doc)
+    f, d = pair // len(toxic), pair % len(toxic)
+    t = np.bincount(f[toxic[d]], minlength=len(key))
+    c = np.bincount(f[~toxic[d]], minlength=len(key))
+    own = toxic[doc]
+    _, one = np.unique(mix64(h[own] + mix64(before[own])), return_index=True)
+    t = np.minimum(t, np.bincount(index[own][one], minlength=len(key)))
+    odds = np.log((t + 0.5) / (n1 + 1)) - np.log((c + 0.5) / (n0 + 1))
+    share = (t + c) / (n1 + n0)
+    g = t * np.log(np.maximum(t, 1) / np.maximum(share * n1, 1e-9)) + c * np.log(np.maximum(c, 1) / np.maximum(share * n0, 1e-9))
+    return key[(t >= 5) & (odds >= 2.5) & (g >= 18)]
+
+
+def _fit_logistic(x: np.ndarray, marks: np.ndarray, w: np.ndarray) -> np.ndarray:
+    weight = np.where(marks, 0.5 / max(1, marks.sum()), 0.5 / max(1, (~marks).sum()))
+    for _ in range(800):
+        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        w = w + 2.0 * ((weight * (marks - q)) @ x - 1e-4 * w)
+    return w
+
+
+def train(texts: list[str], toxic: list[int], epochs: int = 8, rate: float = 0.5, seed: int = 7) -> Field:
     """A field from whole texts and their labels (1 toxic, 0 not)."""
     marks = np.array(toxic, dtype=bool)
     parts = [(data, *words(data, offsets, ALNUM), i) for i, _, data, offsets in steps(pa.array(texts, pa.string()))]
-    kinds_of = [_features(data, start, end) for data, start, end, _, _ in parts]
-    n_kinds = len(_PREFIXES) + 2
-    kinds = [np.concatenate([k[j] for k in kinds_of]) if parts else np.zeros(0, U64) for j in range(n_kinds)]
-    doc = np.concatenate([np.repeat(np.arange(len(first) - 1) + i, np.diff(first)) for _, _, _, first, i in parts]) if parts else np.zeros(0, np.int64)
-    keys, label = _label_tokens(kinds, doc, marks) if len(doc) else (np.zeros(0, U64), np.zeros(0, bool))
-    field = Field(keys, np.zeros(len(keys)), -4.0, np.zeros((2, 2)), np.array([-3.0, 4.0, 0.0]))
+    doc = np.concatenate([np.repeat(np.arange(len(f) - 1, dtype=np.int32) + i, np.diff(f)) for _, _, _, f, i in parts]) if parts else np.zeros(0, np.int32)
     first = np.searchsorted(doc, np.arange(len(texts) + 1))
+    before, found = np.zeros(0, U64), []
+    free = np.ones(len(doc), dtype=bool)
+    for kind in range(_KINDS):
+        h = np.concatenate([_feature(running(data, BYTE_VALUE_LOWER), s, e, kind) for data, s, e, _, _ in parts]) if parts else before
+        if kind == 0:
+            before = np.concatenate([h[:1] * U64(0), h[:-1]])
+            before[1:][doc[1:] != doc[:-1]] = U64(0)
+        # Parts of tokens are judged on the tokens that weren't picked whole.
+        key = _telling(h[free], doc[free], marks, before[free]) if free.any() else h[:0]
+        at = np.flatnonzero(np.isin(h, key) & free)
+        found.append((at, h[at], key))
+        if kind == 0:
+            free[at] = False
+    del before
+    keys = np.unique(np.concatenate([key for _, _, key in found]))
+    field = Field(keys, np.zeros(len(keys)), -4.0, np.zeros((2, 2)), np.array([-3.0, 4.0, 0.0]))
+    #: The picked features of each token, by kind; -1: none.
+    active = np.full((len(doc), _KINDS), -1, dtype=np.int32)
+    for kind, (at, h, _) in enumerate(found):
+        active[at, kind] = np.searchsorted(keys, h)
+    has = (active >= 0).any(axis=1)
     if len(keys):
-        # Every block with a selected feature, and as many others.
-        active = np.zeros((len(doc), n_kinds), dtype=np.int64) - 1
-        for j, h in enumerate(kinds):
-            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            active[:, j] = np.where(keys[at] == h, at, -1)
+        label = has & marks[doc]
+        # Every block with a picked feature, and as many others.
         start_of = np.concatenate([np.arange(a, b, BLOCK) for a, b in zip(first[:-1], first[1:], strict=True)])
-        pos = start_of[:, None] + np.arange(BLOCK)
-        ok = pos < first[doc[start_of] + 1][:, None]
-        pos = np.minimum(pos, len(doc) - 1)
-        hot = ((active[pos] >= 0).any(axis=2) & ok).any(axis=1)
+        hot = np.add.reduceat(has, start_of) > 0
         rng = np.random.default_rng(seed)
         cold = rng.permutation(np.flatnonzero(~hot))[: max(256, int(hot.sum()))]
         chosen = np.concatenate([np.flatnonzero(hot), cold])
         for epoch in range(epochs):
-            for i in range(0, len(chosen), 256):
-                rows = rng.permutation(chosen)[:256] if epoch == 0 and i == 0 else chosen[(np.arange(i, min(i + 256, len(chosen))) * 7919 + epoch) % len(chosen)]
-                own, valid = pos[rows], ok[rows]
+            order = rng.permutation(chosen)
+            scale = rate / (1 + 0.3 * epoch)
+            for i in range(0, len(order), 256):
+                begin = start_of[order[i : i + 256]]
+                own = begin[:, None] + np.arange(BLOCK)
+                valid = own < first[doc[begin] + 1][:, None]
+                own = np.minimum(own, len(doc) - 1)
                 f = active[own]
                 score = field.bias + np.where(f >= 0, field.weights[f], 0.0).sum(axis=2)
                 p, expected = marginals(score, valid, field.moves, pairs=True)
                 y = label[own] & valid
                 error = np.where(valid, y - p, 0.0)
-                scale = rate / (1 + 0.3 * epoch)
                 hit = (f >= 0) & valid[:, :, None]
                 grad = np.bincount(f[hit], weights=np.repeat(error.reshape(-1), hit.sum(axis=2).reshape(-1)), minlength=len(keys))
                 seen = np.bincount(f[hit], minlength=len(keys))
                 field.weights += scale * (grad / np.sqrt(np.maximum(seen, 1)) - 1e-3 * field.weights)
                 field.bias += scale * float(error.sum()) / valid.sum() ** 0.5 * 0.1
-                before = np.concatenate([np.zeros((len(rows), 1), bool), y[:, :-1]], axis=1)
-                pair_ok = valid.copy()
-                observed = np.zeros((2, 2))
-                np.add.at(observed, (before[pair_ok].astype(int), y[pair_ok].astype(int)), 1)
-                field.moves += scale * ((observed - expected) / len(rows) / BLOCK - 1e-3 * field.moves)
+                last = np.concatenate([np.zeros((len(own), 1), bool), y[:, :-1]], axis=1)
+                observed = np.bincount(last[valid] * 2 + y[valid], minlength=4).reshape(2, 2)
+                field.moves += scale * ((observed - expected) / len(own) / BLOCK - 1e-3 * field.moves)
         keep = np.abs(field.weights) >= 1e-3
+        score = field.bias + np.where(active >= 0, field.weights[active], 0.0).sum(axis=1)
         field.keys, field.weights = keys[keep], field.weights[keep]
-    score = np.full(len(doc), field.bias)
-    known = np.zeros(len(doc), dtype=bool)
-    if len(field.keys):
-        for h in kinds:
-            at = np.minimum(np.searchsorted(field.keys, h), len(field.keys) - 1)
-            hit = field.keys[at] == h
-            score[hit] += field.weights[at[hit]]
-            known |= hit
-    x = _summary(token_marginals(field, score, known, first), first)
-    w = field.logistic
-    weight = np.where(marks, 0.5 / max(1, marks.sum()), 0.5 / max(1, (~marks).sum()))
-    for _ in range(800):
-        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        w = w + 2.0 * ((weight * (marks - q)) @ x - 1e-4 * w)
-    field.logistic = w
+    else:
+        score = np.full(len(doc), field.bias)
+    x = _summary(token_marginals(field, score, has, first), first)
+    field.logistic = _fit_logistic(x, marks, field.logistic)
     return field
 
 

@@ -90,30 +90,32 @@ def cluster(df: DataFrame, by: list[str], seq: str, identity: float = 0.87, orde
     representative among them is a member; each round settles at least the first.
     """
     weight = F.sum(order) if order else F.count(F.lit(1))
-    own = _saved(df.where(F.col(seq).isNotNull()).groupBy(*by, F.col(seq).alias("s")).agg(weight.alias("w")).select(*by, "s", F.struct((-F.length("s")).alias("l"), (-F.col("w")).alias("w"), "s").alias("o")))
-    grams = own.select(*by, "s", "o", F.explode(F.array_distinct(_kmers("s", k))).alias("g"))
-    freq = grams.groupBy(*by, "g").agg(F.count(F.lit(1)).alias("f"))
-    rare = Window.partitionBy(*by, "s").orderBy("f", "g")
-    few = grams.join(freq, [*by, "g"]).withColumn("n", F.row_number().over(rare)).where(F.col("n") <= F.floor(F.length("s") * (1 - identity)) * k + 1)
-    a = few.select(*by, "g", F.col("s").alias("a"), F.col("o").alias("ao"))
-    b = few.select(*by, "g", F.col("s").alias("b"), F.col("o").alias("bo"))
-    size = F.least(F.length("a"), F.length("b"))
+    s, o, gram = "__s", "__o", "__gram"
+    own = df.where(F.col(seq).isNotNull()).groupBy(*by, F.col(seq).alias(s)).agg(weight.alias("__w"))
+    own = _saved(own.select(*by, s, F.struct((-F.length(s)).alias("l"), (-F.col("__w")).alias("w"), F.col(s).alias("s")).alias(o)))
+    grams = own.select(*by, s, o, F.explode(F.array_distinct(_kmers(s, k))).alias(gram))
+    freq = grams.groupBy(*by, gram).agg(F.count(F.lit(1)).alias("__f"))
+    rare = Window.partitionBy(*by, s).orderBy("__f", gram)
+    few = grams.join(freq, [*by, gram]).withColumn("__n", F.row_number().over(rare)).where(F.col("__n") <= F.floor(F.length(s) * (1 - identity)) * k + 1)
+    a = few.select(*by, gram, F.col(s).alias("__a"), F.col(o).alias("__ao"))
+    b = few.select(*by, gram, F.col(s).alias("__b"), F.col(o).alias("__bo"))
+    size = F.least(F.length("__a"), F.length("__b"))
     edits = F.floor(size * (1 - identity) + 1e-9).cast("int")
-    near = a.join(b, [*by, "g"]).where((F.col("ao") < F.col("bo")) & (F.abs(F.length("a") - F.length("b")) <= edits)).select(*by, "a", "b", "ao").distinct()
-    near = _saved(near.where(F.levenshtein("a", "b") <= edits))
-    state = own.select(*by, "s", F.lit(None).cast("string").alias("rep"))
+    near = a.join(b, [*by, gram]).where((F.col("__ao") < F.col("__bo")) & (F.abs(F.length("__a") - F.length("__b")) <= edits)).select(*by, "__a", "__b", "__ao").distinct()
+    near = _saved(near.where(F.levenshtein("__a", "__b") <= edits))
+    state = own.select(*by, s, F.lit(None).cast("string").alias("rep"))
     while True:
-        of = state.select(*by, F.col("s").alias("a"), F.col("rep").alias("arep"))
-        told = near.join(of, [*by, "a"]).groupBy(*by, F.col("b").alias("s")).agg(
-            F.min(F.when(F.col("arep") == F.col("a"), F.struct("ao", "a"))).alias("first"),
-            F.min(F.when(F.col("arep").isNull(), F.col("ao"))).alias("open"),
+        of = state.select(*by, F.col(s).alias("__a"), F.col("rep").alias("__arep"))
+        told = near.join(of, [*by, "__a"]).groupBy(*by, F.col("__b").alias(s)).agg(
+            F.min(F.when(F.col("__arep") == F.col("__a"), F.struct(F.col("__ao").alias("o"), F.col("__a").alias("a")))).alias("__first"),
+            F.min(F.when(F.col("__arep").isNull(), F.col("__ao"))).alias("__open"),
         )
-        new = state.join(told, [*by, "s"], "left")
+        new = state.join(told, [*by, s], "left")
         # The first representative counts once no earlier neighbour is undecided.
-        settled = F.when(F.col("open").isNull() | (F.col("first.ao") < F.col("open")), F.coalesce("first.a", F.when(F.col("open").isNull(), F.col("s"))))
-        state = _saved(new.select(*by, "s", F.coalesce("rep", settled).alias("rep")))
+        settled = F.when(F.col("__open").isNull() | (F.col("__first.o") < F.col("__open")), F.coalesce("__first.a", F.when(F.col("__open").isNull(), F.col(s))))
+        state = _saved(new.select(*by, s, F.coalesce("rep", settled).alias("rep")))
         if state.where("rep is null").isEmpty():
-            return state.withColumnRenamed("s", seq)
+            return state.withColumnRenamed(s, seq)
 
 
 def collapse_clusters(reads: DataFrame, clusters: DataFrame, tag: str = "adriftReadRandomID", seq: str = "anchorReadSeq") -> DataFrame:

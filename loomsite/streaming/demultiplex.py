@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from loomsite.operators.demux import assign
 
@@ -37,7 +37,8 @@ def write_distinct(assigned: DataFrame, out: str, checkpoint: str) -> StreamingQ
         new = batch.groupBy("anchorReadSeq", "adriftReadSeq").agg(F.min(F.struct("readID", "uniqueSample")).alias("m"), (F.count(F.lit(1)) - 1).alias("nDuplicateReads"))
         new = new.select("m.readID", "m.uniqueSample", "anchorReadSeq", "adriftReadSeq", "nDuplicateReads")
         if number:
-            known = spark.read.schema(new.schema.add("batch", "int")).parquet(out).where(F.col("batch") < number)
+            schema = StructType([*new.schema.fields, StructField("batch", IntegerType())])
+            known = spark.read.schema(schema).parquet(out).where(F.col("batch") < number)
             new = new.join(known, ["anchorReadSeq", "adriftReadSeq"], "left_anti").select("readID", "uniqueSample", "anchorReadSeq", "adriftReadSeq", "nDuplicateReads")
         new.write.mode("overwrite").parquet(f"{out}/batch={number}")
 

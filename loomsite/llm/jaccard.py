@@ -4,16 +4,17 @@ A document's set is its distinct k-word shingles. Two sets link if their Jaccard
 similarity reaches ``percent`` / 100. The join is exact on 64-bit shingle hashes:
 
 1. Documents with equal sets collapse by a 128-bit digest and the size.
-2. Sizes fall into bands. Linked sets lie in one band or in neighbours, and differ in at
-   most D shingles, where D follows from the larger one's band. Hashing deals the
+2. Sizes fall into bands, and linked sets differ in at most D shingles, where D follows
+   from the larger one's band; a set enters every band that its links can lie in. Hashing deals the
    shingles of a set into m = D + 1 + E parts; at most D of them can differ, so linked
    sets agree in a whole part, and in a non-empty one unless both have more than E empty
    parts (then their empty parts count as well). A tile is (band, part, hash of the
    part): sets that share one are candidates. A part holds several shingles, so that a
    passage that many documents share makes no large tiles.
 3. Within a tile each document is paired with the first; a hashed bitmap of parities
-   bounds the overlap from above: each shingle outside the intersection flips one bit, so
-   the sets differ in at least as many shingles as their bitmaps differ in bits. What
+   of twice as many bits as shingles bounds the overlap from above: each shingle outside
+   the intersection flips one bit, so the sets differ in at least as many shingles as
+   their bitmaps differ in bits. What
    passes is settled by intersecting sorted arrays, and links give components.
 4. Tiles in which several components are left pair their documents across components,
    again under the bound. So no link between components is lost, while a group of many
@@ -22,6 +23,7 @@ similarity reaches ``percent`` / 100. The join is exact on 64-bit shingle hashes
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,10 +34,8 @@ from pyspark.sql import functions as F
 from loomsite.llm.common import connected_components, materialize, table
 from loomsite.llm.hashing import BYTE_VALUE_LOWER, U64, list_array, mix64, shingle_hashes, steps, word_hashes, words
 
-#: 64-bit words of a bitmap.
-BITMAP_WORDS = 16
 #: Ratio of the bounds of a size band.
-BAND_RATIO = 1.5
+BAND_RATIO = 1.25
 #: Ids of documents, 8 bytes each, up to which they are broadcast to pick texts.
 BROADCAST_IDS = 200_000
 
@@ -67,12 +67,18 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
 
 def _bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lower bounds of the bands, and for each band the parts and the empty parts that
-    are allowed for; no parts where linked sets must be equal."""
+    are allowed for; no parts where linked sets must be equal. The allowance is three
+    deviations over what the smallest sets of a band leave empty, so that tiles of empty
+    parts, which unlike sets share, are next to none."""
     low, parts, empty = [1], [], []
     while low[-1] < 1 << 40:
         after = int(low[-1] * BAND_RATIO) + 1
         most = 2 * (after - 1) * (100 - percent) // (100 + percent)
-        slack = 2 + most // 20
+        slack = 2
+        for _ in range(30):
+            m = most + 1 + slack
+            usual = m * math.exp(-max(1.0, low[-1] * percent / 100) / m)
+            slack = math.ceil(usual + 3 * math.sqrt(usual)) + 2
         parts.append(most + 1 + slack if most else 0)
         empty.append(slack)
         low.append(after)
@@ -86,20 +92,25 @@ def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
+def _bitmap_bits(n: np.ndarray) -> np.ndarray:
+    """Bits of each set's bitmap: a power of two from twice its size on, 64 at least."""
+    return 1 << np.ceil(np.log2(np.maximum(2 * n, 64))).astype(np.int64)
+
+
 def _sketches(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in steps(batch.column(1)):
                 tokens, n = shingle_sets(data, offsets, k)
-                bits = np.zeros((len(n), BITMAP_WORDS * 64), dtype=np.uint8)
+                size = _bitmap_bits(n)
+                base = np.cumsum(size) - size
                 row = np.repeat(np.arange(len(n)), n)
-                place = (mix64(tokens ^ U64(0x5851F42D4C957F2D)) % U64(BITMAP_WORDS * 64)).astype(np.int64)
-                hits = np.bincount(row * bits.shape[1] + place, minlength=bits.size)
-                bits = (hits & 1).astype(np.uint8).reshape(bits.shape)
-                maps = np.packbits(bits, axis=1, bitorder="little").view("<i8").reshape(-1)
+                place = (mix64(tokens ^ U64(0x5851F42D4C957F2D)) & (size[row] - 1).astype(U64)).astype(np.int64)
+                hits = np.bincount(base[row] + place, minlength=int(size.sum()))
+                maps = np.packbits((hits & 1).astype(np.uint8), bitorder="little").view("<i8")
                 d1, d2 = (_sums(mix64(tokens * U64(c)), n).view(np.int64) for c in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(d1), pa.array(d2), list_array(pa.array(maps), np.full(len(n), BITMAP_WORDS))],
+                    [batch.column(0).slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(d1), pa.array(d2), list_array(pa.array(maps), size // 64)],
                     names=["doc", "n", "d1", "d2", "bits"],
                 )
 
@@ -118,9 +129,14 @@ def _tile_rows(k: int, percent: int):
                 high = tokens >> U64(32)
                 row = np.repeat(np.arange(len(n)), n)
                 band = np.searchsorted(low, np.maximum(n, 1), side="right") - 1
-                for up in (0, 1):
+                up = -1
+                while True:
+                    up += 1
                     b = band + up
-                    m = np.where((n > 0) & ((up == 0) | (n * 100 >= percent * low[b])), parts[b], 0)
+                    own_band = (n > 0) & ((up == 0) | (n * 100 >= percent * low[b]))
+                    if not own_band.any():
+                        break
+                    m = np.where(own_band, parts[b], 0)
                     use = m[row] > 0
                     if not use.any():
                         continue
@@ -170,9 +186,17 @@ def _intersect(percent: int):
     return run
 
 
+_HALF = "zip_with(slice({x}, 1, size({x}) div 2), slice({x}, size({x}) div 2 + 1, size({x}) div 2), (p, q) -> p ^ q)"
+
+
 def _may_link(percent: int) -> Column:
-    """Whether the sizes ``an, bn`` and the bitmaps ``abits, bbits`` allow a link."""
-    differ = sum((F.bit_count(F.col("abits")[i].bitwiseXOR(F.col("bbits")[i])) for i in range(BITMAP_WORDS)), F.lit(0))
+    """Whether the sizes ``an, bn`` and the bitmaps ``abits, bbits`` allow a link. A bitmap
+    of twice the other's length is folded: its halves' parities add up. Lengths further
+    apart bound nothing."""
+    a = F.expr(f"if(size(abits) > size(bbits), {_HALF.format(x='abits')}, abits)")
+    b = F.expr(f"if(size(bbits) > size(abits), {_HALF.format(x='bbits')}, bbits)")
+    counts = F.zip_with(a, b, lambda x, y: F.coalesce(F.bit_count(x.bitwiseXOR(y)), F.lit(0)))
+    differ = F.aggregate(counts, F.lit(0), lambda s, x: s + x)
     return (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent) & (differ * (100 + percent) <= (F.col("an") + F.col("bn")) * (100 - percent))
 
 

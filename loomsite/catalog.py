@@ -474,3 +474,210 @@ def sites_from_fragments(spark, d):
 
     std = stages.build_std_fragments(view(spark, d, "fx_fragments"))
     return stages.build_sites(std["reads"])["sites"]
+
+
+@register("fragment_geometry", _AT + "SELECT readID, chromosome, strand, fragStart, fragEnd, position, brk AS \"break\", concat(chromosome, strand, position) AS posid, fragEnd - fragStart + 1 AS width FROM fa", "fx_fragments")
+def fragment_geometry(spark, d):
+    at = fragments.with_position(view(spark, d, "fx_fragments"))
+    return at.select("readID", "chromosome", "strand", "fragStart", "fragEnd", "position", "break", dna.posid("chromosome", "strand", "position").alias("posid"), (F.col("fragEnd") - F.col("fragStart") + 1).alias("width"))
+
+
+@register("posid_parts", _AT + "SELECT DISTINCT concat(posid, '.2') AS id, chromosome, strand, position, 2 AS \"group\", posid AS bare FROM p", "fx_fragments")
+def posid_parts(spark, d):
+    ids = fragments.with_position(view(spark, d, "fx_fragments")).select(dna.posid("chromosome", "strand", "position", F.lit(2)).alias("id")).distinct()
+    parts = dna.parse_posid("id")
+    return ids.select("id", *[c.alias(n) for n, c in parts.items()], dna.without_group("id").alias("bare"))
+
+
+@register("sample_keys", "SELECT uniqueSample, split_part(uniqueSample, '~', 1) AS trial, split_part(uniqueSample, '~', 2) AS subject, split_part(uniqueSample, '~', 3) AS sample, CAST(split_part(uniqueSample, '~', 4) AS INTEGER) AS replicate, regexp_replace(uniqueSample, '~\\d+$', '') AS bare FROM fx_samples", "fx_samples")
+def sample_keys(spark, d):
+    parts = dna.sample_parts("uniqueSample")
+    return view(spark, d, "fx_samples").select("uniqueSample", *[c.alias(n) for n, c in parts.items()], dna.without_replicate("uniqueSample").alias("bare"))
+
+
+@register("read_tags", """
+SELECT r.readID, substr(r.adriftReadSeq, 21, 12) AS adriftReadRandomID, concat(substr(r.adriftReadSeq, 1, 20), 'AAAAAAAAAAAA', substr(r.adriftReadSeq, 33)) AS adriftReadSeq,
+  CAST(length(s.adriftReadLinkerSeq) AS INTEGER) AS adriftLinkerSeqEnd FROM fx_reads r LEFT JOIN fx_samples s USING (uniqueSample)""", "fx_reads", "fx_samples")
+def read_tags(spark, d):
+    found = demux.with_tags(view(spark, d, "fx_reads").drop("adriftReadRandomID"), view(spark, d, "fx_samples"))
+    return found.select("readID", "adriftReadRandomID", "adriftReadSeq", "adriftLinkerSeqEnd")
+
+
+@register("duplicate_map", """
+SELECT f AS duplicatedRepID, readID FROM (SELECT readID, min(readID) OVER (PARTITION BY anchorReadSeq, adriftReadSeq) AS f FROM fx_reads) WHERE readID <> f""", "fx_reads")
+def duplicate_map(spark, d):
+    return demux.collapse_duplicates(view(spark, d, "fx_reads"))[1]
+
+
+@register("vector_read_removal", """
+, v AS (SELECT DISTINCT adriftReadSeq FROM fx_reads WHERE contains(adriftReadSeq, 'AAC')) SELECT * FROM fx_reads ANTI JOIN v USING (adriftReadSeq)""", "fx_reads")
+def vector_read_removal(spark, d):
+    reads = view(spark, d, "fx_reads")
+    return alignments.drop_vector_reads(reads, reads.where("contains(adriftReadSeq, 'AAC')").select(F.col("adriftReadSeq").alias("qname"))).select(*reads.columns)
+
+
+@register("terminal_snap", """
+, r AS (SELECT DISTINCT anchorReadSeq FROM fx_reads),
+c AS (SELECT anchorReadSeq, 24 + d AS qEnd, row_number() OVER (PARTITION BY anchorReadSeq ORDER BY d <> 0, d DESC) AS n FROM r, (VALUES (-2), (-1), (0), (1), (2)) v(d) WHERE substr(anchorReadSeq, CAST(23 + d AS BIGINT), 2) = 'CA')
+SELECT anchorReadSeq, CAST(qEnd AS INTEGER) AS qEnd FROM c WHERE n = 1""", "fx_reads")
+def terminal_snap(spark, d):
+    reads = view(spark, d, "fx_reads").select("anchorReadSeq").distinct().withColumn("qEnd", F.lit(24))
+    return alignments.snap_to_terminal(reads, "anchorReadSeq", "qEnd")
+
+
+_HITS = """, h AS (SELECT readID AS qname, tName AS sseqid, 100.0 - misMatches AS pident, qStart + 1 AS qstart, qEnd AS qend, CASE strand WHEN '+' THEN tStart ELSE tEnd END AS sstart, CASE strand WHEN '+' THEN tEnd ELSE tStart END AS send,
+  misMatches % 3 AS gapopen, CAST(qEnd - misMatches * 3 AS DOUBLE) AS bitscore, CAST(misMatches AS DOUBLE) AS evalue, qSize AS qlen FROM fx_alignments)"""
+
+
+def _hits(spark, d):
+    x = view(spark, d, "fx_alignments")
+    plus = F.col("strand") == "+"
+    return x.select(F.col("readID").alias("qname"), F.col("tName").alias("sseqid"), (100.0 - F.col("misMatches")).alias("pident"), (F.col("qStart") + 1).alias("qstart"), F.col("qEnd").alias("qend"), F.when(plus, F.col("tStart")).otherwise(F.col("tEnd")).alias("sstart"), F.when(plus, F.col("tEnd")).otherwise(F.col("tStart")).alias("send"),
+                    (F.col("misMatches") % 3).alias("gapopen"), (F.col("qEnd") - F.col("misMatches") * 3).cast("double").alias("bitscore"), F.col("misMatches").cast("double").alias("evalue"), F.col("qSize").alias("qlen"))
+
+
+@register("best_vector_hit", _HITS + """
+SELECT qname, sseqid, qstart, qend, sstart, send, bitscore FROM (SELECT * FROM h WHERE pident >= 90 AND abs(qend - qstart) + 1 >= floor(qlen * 80 / 100.0) AND gapopen <= 1)
+QUALIFY row_number() OVER (PARTITION BY qname ORDER BY bitscore DESC, CASE WHEN send >= sstart THEN 0 ELSE 1 END, sseqid, sstart, qstart, qend) = 1""", "fx_alignments")
+def best_vector_hit(spark, d):
+    good = alignments.accept_hits(_hits(spark, d), coverage=80)
+    return alignments.best_hits(good).select("qname", "sseqid", "qstart", "qend", "sstart", "send", "bitscore")
+
+
+@register("leader_end_from_hits", _HITS + """
+, o AS (SELECT *, max(qend) OVER (PARTITION BY qname ORDER BY qstart, qend ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM h),
+i AS (SELECT *, sum(CASE WHEN prev IS NULL OR qstart - prev - 1 >= 5 THEN 1 ELSE 0 END) OVER (PARTITION BY qname ORDER BY qstart, qend ROWS UNBOUNDED PRECEDING) AS island FROM o),
+m AS (SELECT qname, min(qstart) AS s, max(qend) AS e FROM i GROUP BY qname, island)
+SELECT qname, e AS qEnd FROM m WHERE s <= 5 QUALIFY row_number() OVER (PARTITION BY qname ORDER BY e - s DESC, s) = 1""", "fx_alignments")
+def leader_end_from_hits(spark, d):
+    from loomsite.operators.sequences import leader_ends
+
+    return leader_ends(_hits(spark, d))
+
+
+@register("gene_list_filter", "SELECT * FROM fx_genes WHERE CAST(substr(name2, 5) AS INTEGER) % 7 = 0", "fx_genes")
+def gene_list_filter(spark, d):
+    from loomsite.sources.files import in_gene_list
+
+    genes = view(spark, d, "fx_genes")
+    listed = genes.where("cast(substr(name2, 5) as int) % 7 = 0").select(F.lower("name2").alias("name2"))
+    return in_gene_list(genes, listed)
+
+
+@register("transcript_points", """
+SELECT chromosome, strand, name2, CASE strand WHEN '+' THEN txStart ELSE txEnd END AS tss, CASE strand WHEN '+' THEN txEnd ELSE txStart END AS tes, CAST(floor((txStart + txEnd) / 2.0) AS INTEGER) AS mid FROM fx_genes""", "fx_genes")
+def transcript_points(spark, d):
+    genes = view(spark, d, "fx_genes").select("chromosome", F.col("txStart").alias("start"), F.col("txEnd").alias("end"), "strand", "name2")
+    out = None
+    for mode, name in (("start", "tss"), ("end", "tes"), ("center", "mid")):
+        part = intervals.transcript_points(genes, mode).select("chromosome", "strand", "name2", F.col("start").alias(name))
+        out = part if out is None else out.join(part, ["chromosome", "strand", "name2"])
+    return out
+
+
+@register("exclusive_duals", _DUAL + """
+, q AS (SELECT a.trial, a.subject, a.sample, a.chromosome, a.strand AS u3Strand, a.position AS u3Position, b.strand AS u5Strand, b.position AS u5Position
+  FROM u a JOIN u b ON a.flags = 'IN_u3' AND b.flags = 'IN_u5' AND a.trial = b.trial AND a.subject = b.subject AND a.sample = b.sample AND a.chromosome = b.chromosome AND a.strand <> b.strand AND abs(a.position - b.position) <= 6),
+r AS (SELECT *, row_number() OVER (PARTITION BY trial, subject, sample, chromosome, u3Strand, u3Position ORDER BY abs(u3Position - u5Position), u3Position, u5Position) AS x,
+  row_number() OVER (PARTITION BY trial, subject, sample, chromosome, u5Strand, u5Position ORDER BY abs(u3Position - u5Position), u3Position, u5Position) AS y FROM q)
+SELECT * EXCLUDE (x, y) FROM r WHERE x = 1 AND y = 1""", "fx_fragments")
+def exclusive_duals(spark, d):
+    return fragments.exclusive_duals(fragments.dual_candidates(view(spark, d, "fx_fragments")))
+
+
+@register("multihit_repeat_classes", _AT + """
+, c AS (SELECT concat(trial, subject, sample, chromosome) AS clusterID, posid, chromosome, position FROM p GROUP BY ALL),
+h AS (SELECT DISTINCT chromosome, position, repeat_class FROM c JOIN fx_repeats ON query_seq = chromosome AND position BETWEEN query_start AND query_end),
+l AS (SELECT chromosome, position, array_to_string(list_sort(list(repeat_class)), ', ') AS cls FROM h GROUP BY ALL),
+k AS (SELECT clusterID, cls, count(DISTINCT posid) AS k FROM c JOIN l USING (chromosome, position) GROUP BY ALL),
+n AS (SELECT clusterID, count(DISTINCT posid) AS n FROM c GROUP BY ALL),
+t AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY clusterID ORDER BY k DESC, cls) = 1)
+SELECT n.clusterID, cls AS topRepeatClass, CAST(100.0 * k / n AS DOUBLE) AS topRepeatPercent FROM n LEFT JOIN t USING (clusterID)""", "fx_fragments", "fx_repeats")
+def multihit_repeat_classes(spark, d):
+    at = fragments.with_position(view(spark, d, "fx_fragments"))
+    clusters = at.groupBy(F.concat("trial", "subject", "sample", "chromosome").alias("clusterID")).agg(F.collect_set(dna.posid("chromosome", "strand", "position")).alias("posids"))
+    return intervals.multihit_repeats(clusters, view(spark, d, "fx_repeats"))
+
+
+@register("attrition_shares", _PAIR + """
+, w AS (SELECT (SELECT count(DISTINCT readID) FROM a) AS x, (SELECT count(DISTINCT readID) FROM b) AS y)
+SELECT 's' AS uniqueSample, 'PRD1' AS label, x AS reads, 1.0 AS share FROM w UNION ALL SELECT 's', 'ALR3', y, y / x FROM w""", "fx_alignments")
+def attrition_shares(spark, d):
+    a, b = (x.withColumn("uniqueSample", F.lit("s")) for x in _mates(spark, d))
+    return reports.attrition_shares(reports.attrition_wide(reports.attrition({"PRD1": a, "ALR3": b}), ["PRD1", "ALR3"]))
+
+
+@register("remnant_histogram", """
+, s AS (SELECT tName AS sample, concat(qStart + 1, '..', qEnd, '[', tStart, strand, tEnd, ']', CASE WHEN tNumInsert > 0 THEN ';1..2[x]' ELSE '' END) AS m FROM fx_alignments)
+SELECT sample, CAST(floor(CAST(regexp_extract(m, '\\.\\.(\\d+)', 1) AS INTEGER) / 5.0) * 5 AS BIGINT) AS bin, CAST(length(m) - length(replace(m, ';', '')) AS INTEGER) AS recombinations, count(*) AS n FROM s GROUP BY ALL""", "fx_alignments")
+def remnant_histogram(spark, d):
+    model = F.expr("concat(qStart + 1, '..', qEnd, '[', tStart, strand, tEnd, ']', case when tNumInsert > 0 then ';1..2[x]' else '' end)")
+    return reports.remnant_histogram(view(spark, d, "fx_alignments").select(F.col("tName").alias("sample"), model.alias("repLeaderSeqMap")))
+
+
+@register("capped_counts", """
+, n AS (SELECT uniqueSample, adriftReadRandomID, count(*) AS n FROM fx_reads GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY uniqueSample ORDER BY n) AS k, count(*) OVER (PARTITION BY uniqueSample) AS m FROM n),
+l AS (SELECT uniqueSample, max(n) FILTER (WHERE k <= ceil(m * 0.95)) AS lim FROM r GROUP BY ALL)
+SELECT uniqueSample, adriftReadRandomID, least(n, lim) AS n FROM n JOIN l USING (uniqueSample)""", "fx_reads")
+def capped_counts(spark, d):
+    n = view(spark, d, "fx_reads").groupBy("uniqueSample", "adriftReadRandomID").agg(F.count(F.lit(1)).alias("n"))
+    return reports.cap_at_rank(n, ["uniqueSample"], "n")
+
+
+@register("weighted_median", _AT + """
+, w AS (SELECT sample, position, CAST(count(DISTINCT readID) + sum(nDuplicateReads) AS BIGINT) AS w FROM fa GROUP BY ALL),
+s AS (SELECT *, sum(w) OVER (PARTITION BY sample ORDER BY position) / sum(w) OVER (PARTITION BY sample) AS q FROM w)
+SELECT sample, min(position) AS median FROM s WHERE q >= 0.5 GROUP BY ALL""", "fx_fragments")
+def weighted_median(spark, d):
+    from loomsite.operators.standardize import weighted_median as run
+
+    return run(fragments.read_weight(fragments.with_position(view(spark, d, "fx_fragments")), ["sample", "position"]), ["sample"], "position", "reads")
+
+
+@register("lost_tag_removal", _SQL["umi_conflict_resolution"].removeprefix(with_views("fx_fragments")).replace("SELECT trial, subject, sample, randomLinkerSeq, chromosome, strand, position, widths, reads,", ", v AS (SELECT trial, subject, sample, randomLinkerSeq, chromosome, strand, position,") + """)
+SELECT fa.* EXCLUDE (position, brk) FROM fa ANTI JOIN (SELECT * FROM v WHERE outcome = 'drop') x USING (trial, subject, sample, randomLinkerSeq, chromosome, strand, position)""", "fx_fragments")
+def lost_tag_removal(spark, d):
+    f = view(spark, d, "fx_fragments")
+    return tags.drop_lost_tags(f, tags.resolve_tag_conflicts(f))
+
+
+@register("mate_salvage")
+def mate_salvage(spark, d):
+    anchor, adrift = _mates(spark, d)
+    _, _, many = fragments.cap_placements(anchor, adrift, most=2)
+    few, near = fragments.salvage_mates(anchor.join(many, "readID", "left_semi"), adrift, many, per_read=2)
+    return fragments.pair_mates(few, near)
+
+
+@register("peak_positions")
+def peak_positions(spark, d):
+    from loomsite.operators.standardize import peak_positions as run
+
+    w = fragments.read_weight(fragments.with_position(view(spark, d, "fx_fragments")), ["trial", "subject", "chromosome", "strand", "position"]).withColumnRenamed("reads", "weight")
+    return run(w, ["trial", "subject", "chromosome", "strand"], "position")
+
+
+@register("adapter_trim")
+def adapter_trim(spark, d):
+    from loomsite.operators.sequences import trim_reads
+
+    reads = view(spark, d, "fx_reads").select("readID", "anchorReadSeq", dna.trim_sequence(F.substring("anchorReadSeq", 40, 20)).alias("adapter"))
+    return trim_reads(reads.withColumn("adapter", dna.reverse_complement("adapter")), "anchorReadSeq", "adapter")
+
+
+@register("read_alignment")
+def read_alignment(spark, d):
+    from loomsite.operators.sequences import align
+
+    reads = view(spark, d, "fx_reads")
+    vectors = reads.where("readID like 'r1\\_%'").select(F.md5("anchorReadSeq").alias("tName"), F.col("anchorReadSeq").alias("tSeq")).distinct()
+    return align(reads.select(F.substring("anchorReadSeq", 10, 40).alias("seq")), vectors)
+
+
+@register("pair_merge")
+def pair_merge(spark, d):
+    from loomsite.operators.sequences import merge_reads
+
+    reads = view(spark, d, "fx_reads").select("readID", F.substring("anchorReadSeq", 1, 60).alias("anchorReadSeq"), dna.reverse_complement(F.substring("anchorReadSeq", 40, 45)).alias("adriftReadSeq"))
+    return merge_reads(reads)

@@ -14,7 +14,7 @@ from loomsite.operators.fragments import SAMPLE, with_position
 _OWN_DIR = "spark.loomsite.operators.dir"
 
 
-def _saved(df: DataFrame) -> DataFrame:
+def saved(df: DataFrame) -> DataFrame:
     """Writes a table to the folder that all executors share and reads it back."""
     spark: SparkSession = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_DIR, None)
@@ -31,15 +31,15 @@ def components(nodes: DataFrame, edges: DataFrame, by: list[str]) -> DataFrame:
     ``component``, within each ``by``. Labels spread along edges and then jump to their
     label's label, so the rounds grow with the logarithm of the longest path."""
     both = edges.select(*by, "a", "b").unionByName(edges.select(*by, F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = _saved(both)
-    now = _saved(nodes.select(*by, "node").distinct().withColumn("component", F.col("node")))
+    both = saved(both)
+    now = saved(nodes.select(*by, "node").distinct().withColumn("component", F.col("node")))
     while True:
         near = both.join(now.withColumnRenamed("node", "b"), [*by, "b"]).groupBy(*by, F.col("a").alias("node")).agg(F.min("component").alias("near"))
         step = now.join(near, [*by, "node"], "left").select(*by, "node", F.col("component").alias("old"), F.least("component", F.coalesce("near", "component")).alias("component"))
-        step = _saved(step)
+        step = saved(step)
         jump = step.select(*by, F.col("node").alias("component"), F.col("component").alias("far"))
         new = step.join(jump, [*by, "component"]).select(*by, "node", "old", F.least("component", "far").alias("component"))
-        new = _saved(new)
+        new = saved(new)
         changed = new.where("component < old").limit(1).count()
         now = new.drop("old")
         if not changed:
@@ -54,7 +54,7 @@ def multihit_clusters(multi: DataFrame) -> DataFrame:
     at = with_position(multi).withColumn("posid", posid("chromosome", "strand", "position"))
     rows = at.select(*SAMPLE, "replicate", "readID", "posid", "randomLinkerSeq").distinct()
     read = Window.partitionBy(*SAMPLE, "replicate", "readID")
-    rows = _saved(rows.withColumn("low", F.min("posid").over(read)).withColumn("high", F.max("posid").over(read)).where("low < high"))
+    rows = saved(rows.withColumn("low", F.min("posid").over(read)).withColumn("high", F.max("posid").over(read)).where("low < high"))
     edges = rows.where("posid <> low").select(*SAMPLE, F.col("low").alias("a"), F.col("posid").alias("b")).distinct()
     of = components(rows.select(*SAMPLE, F.col("posid").alias("node")), edges, SAMPLE)
     joined = rows.join(of.withColumnRenamed("node", "posid"), [*SAMPLE, "posid"])

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from loomsite.functions.dna import reverse_complement, wallace_temperature
 from loomsite.functions.vectorized import match_marks, merge_pairs, trim_adapter
 from loomsite.operators.intervals import merge
-from loomsite.operators.multihits import _saved
+from loomsite.operators.multihits import saved
 
 
 def _kmers(seq, k: int):
@@ -66,9 +66,10 @@ def align(queries: DataFrame, targets: DataFrame, k: int = 11, min_seeds: int =
 
 def trim_reads(reads: DataFrame, seq: str, adapter: str, error: float = 0.15, min_length: int = 30) -> DataFrame:
     """Cuts adapters off the 3' ends; works on distinct (sequence, adapter) pairs."""
-    pairs = reads.select(seq, adapter).distinct().withColumn("__cut", trim_adapter(error)(seq, adapter))
-    key = reads[seq].eqNullSafe(pairs[seq]) & reads[adapter].eqNullSafe(pairs[adapter])
-    out = reads.join(pairs, key).select(*[pairs["__cut"].alias(c) if c == seq else reads[c] for c in reads.columns])
+    pairs = reads.select(F.col(seq).alias("__seq"), F.col(adapter).alias("__adapter")).distinct()
+    pairs = pairs.withColumn("__cut", trim_adapter(error)("__seq", "__adapter"))
+    key = F.col(seq).eqNullSafe(F.col("__seq")) & F.col(adapter).eqNullSafe(F.col("__adapter"))
+    out = reads.join(pairs, key).select(*[F.col("__cut").alias(c) if c == seq else F.col(c) for c in reads.columns])
     return out.where(F.length(seq) >= min_length)
 
 
@@ -92,7 +93,7 @@ def cluster(df: DataFrame, by: list[str], seq: str, identity: float = 0.87, orde
     weight = F.sum(order) if order else F.count(F.lit(1))
     s, o, gram = "__s", "__o", "__gram"
     own = df.where(F.col(seq).isNotNull()).groupBy(*by, F.col(seq).alias(s)).agg(weight.alias("__w"))
-    own = _saved(own.select(*by, s, F.struct((-F.length(s)).alias("l"), (-F.col("__w")).alias("w"), F.col(s).alias("s")).alias(o)))
+    own = saved(own.select(*by, s, F.struct((-F.length(s)).alias("l"), (-F.col("__w")).alias("w"), F.col(s).alias("s")).alias(o)))
     grams = own.select(*by, s, o, F.explode(F.array_distinct(_kmers(s, k))).alias(gram))
     freq = grams.groupBy(*by, gram).agg(F.count(F.lit(1)).alias("__f"))
     rare = Window.partitionBy(*by, s).orderBy("__f", gram)
@@ -102,7 +103,7 @@ def cluster(df: DataFrame, by: list[str], seq: str, identity: float = 0.87, orde
     size = F.least(F.length("__a"), F.length("__b"))
     edits = F.floor(size * (1 - identity) + 1e-9).cast("int")
     near = a.join(b, [*by, gram]).where((F.col("__ao") < F.col("__bo")) & (F.abs(F.length("__a") - F.length("__b")) <= edits)).select(*by, "__a", "__b", "__ao").distinct()
-    near = _saved(near.where(F.levenshtein("__a", "__b") <= edits))
+    near = saved(near.where(F.levenshtein("__a", "__b") <= edits))
     state = own.select(*by, s, F.lit(None).cast("string").alias("rep"))
     while True:
         of = state.select(*by, F.col(s).alias("__a"), F.col("rep").alias("__arep"))
@@ -113,7 +114,7 @@ def cluster(df: DataFrame, by: list[str], seq: str, identity: float = 0.87, orde
         new = state.join(told, [*by, s], "left")
         # The first representative counts once no earlier neighbour is undecided.
         settled = F.when(F.col("__open").isNull() | (F.col("__first.o") < F.col("__open")), F.coalesce("__first.a", F.when(F.col("__open").isNull(), F.col(s))))
-        state = _saved(new.select(*by, s, F.coalesce("rep", settled).alias("rep")))
+        state = saved(new.select(*by, s, F.coalesce("rep", settled).alias("rep")))
         if state.where("rep is null").isEmpty():
             return state.withColumnRenamed(s, seq)
 

@@ -135,15 +135,17 @@ def build_fragments(anchor: DataFrame, adrift: DataFrame, reads: DataFrame, o: O
 def build_std_fragments(fragments: DataFrame, o: Options = Options()) -> dict[str, DataFrame]:
     """Standardizes positions and breaks, resolves multi-hits and molecular tags, bundles
     -> ``stdFragments``, ``multiHits``, ``reads`` (rows before bundling), ``decisions``."""
-    f = fr.keep_width(sd.standardize_breaks(sd.standardize_integrations(fragments, o.position_gap), o.break_gap, o.break_scope), o.max_fragment)
+    # What several later steps read is written once: it cuts the lineage, too.
+    f = mh.saved(sd.standardize_integrations(fragments, o.position_gap))
+    f = mh.saved(fr.keep_width(sd.standardize_breaks(f, o.break_gap, o.break_scope), o.max_fragment))
     by = [*fr.SAMPLE, "replicate", "readID"]
-    n = fr.positions_per_read(f)
+    n = mh.saved(fr.positions_per_read(f))
     unique, multi = f.join(n.where("not multi"), by, "left_semi"), f.join(n.where("multi"), by, "left_semi")
     saved = fr.salvage_multihits(multi, unique)
     rest = multi.join(saved.select(*by).distinct(), by, "left_anti")
-    f = fr.correct_fuzzy_breaks(unique.unionByName(saved))
+    f = mh.saved(fr.correct_fuzzy_breaks(unique.unionByName(saved)))
     f = tg.drop_lost_tags(f, tg.resolve_tag_conflicts(f))
-    f = tg.dominant_breaks(f)
+    f = mh.saved(tg.dominant_breaks(f))
     return {"stdFragments": fr.bundle(f), "multiHits": mh.multihit_clusters(rest), "reads": f, "decisions": fr.decide_anchor_clusters(f)}
 
 

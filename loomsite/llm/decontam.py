@@ -6,8 +6,9 @@ how often each occurs, reaches ``percent`` / 100. Words are the lower-cased runs
 letters and digits.
 
 1. A similar window shares at least ``percent`` of the item's shingles, so only
-   documents that hold so many of them go on, and their windows are those in which a
-   shared shingle stands where it stands in the item. Nothing similar is lost here.
+   documents that hold so many of them go on, with every window that covers enough
+   places of them to be similar, in whatever order they stand. Nothing similar is lost
+   here.
 2. Windows and items get 64-bit SimHash fingerprints of their weighted shingles. With the
    fingerprint cut into ``radius`` + 1 blocks, fingerprints within the radius agree in a
    whole block: joining on (words, block number, block) finds all of them.
@@ -19,7 +20,7 @@ leaves out about one such pair in 5,000, and fewer the more similar they are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomsite.llm.common import materialize, table
@@ -32,8 +33,10 @@ _SIMHASH = (
     "aggregate(transform(sequence(0, 63), b -> if(aggregate({s}, 0, (a, x) -> "
     "a + if((shiftrightunsigned(x, b) & 1L) = 1L, 1, -1)) > 0, shiftleft(1L, b), 0L)), 0L, (a, x) -> a | x)"
 )
+#: Where one side repeats no shingle, each shared one counts once.
 _SHARED = (
-    "aggregate(array_distinct({y}), 0, (a, s) -> a + least(size(filter({x}, v -> v = s)), size(filter({y}, v -> v = s))))"
+    "if(size(array_distinct({x})) = size({x}) or size(array_distinct({y})) = size({y}), size(array_intersect({x}, {y})), "
+    "aggregate(array_distinct({y}), 0, (a, s) -> a + least(size(filter({x}, v -> v = s)), size(filter({y}, v -> v = s)))))"
 )
 
 
@@ -59,6 +62,22 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _windows(hits: DataFrame, percent: int) -> DataFrame:
+    """``hits (doc, item, n, k, pos)``, places of an item's shingles in a document ->
+    ``(doc, n, k, start, c)``: every start from which n words cover ``c`` such places,
+    ``percent`` of the item's shingles at least (with several items the largest c).
+
+    A place counts for the starts from pos + k - n to pos. These ranges are summed as
+    steps up and down, so that rows grow with the places and the windows kept only."""
+    own = hits.select("doc", "item", "n", "k", "pos").distinct()
+    step = F.explode(F.array(F.struct((F.col("pos") + F.col("k") - F.col("n")).alias("at"), F.lit(1).alias("d")), F.struct((F.col("pos") + 1).alias("at"), F.lit(-1).alias("d"))))
+    steps = own.select("doc", "item", "n", "k", step.alias("e")).groupBy("doc", "item", "n", "k", F.col("e.at").alias("at")).agg(F.sum("e.d").alias("d"))
+    by = Window.partitionBy("doc", "item", "n", "k").orderBy("at")
+    runs = steps.withColumn("c", F.sum("d").over(by)).withColumn("until", F.lead("at").over(by) - 1)
+    runs = runs.where(F.col("c") * 100 >= (F.col("n") - F.col("k") + 1) * percent)
+    return runs.select("doc", "n", "k", "c", F.explode(F.sequence("at", "until")).alias("start")).groupBy("doc", "n", "k", "start").agg(F.max("c").alias("c"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80, radius: int = RADIUS, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text") -> DataFrame:
     """-> ``(<id_column>, <item_column>, start int, n_words int, similarity double)``: one
     row for each document and item that it leaks, with the most similar window (ties:
@@ -87,12 +106,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80,
     hits = materialize(hits, "bench-hits")
     share = hits.groupBy("doc", "item").agg(F.count_distinct("ipos").alias("held"))
     share = share.join(items.select("item", "n", "k", "ih"), "item").where(F.col("held") * 100 >= F.size("ih") * percent).select("doc", "item", "n", "k").distinct()
-    windows = hits.join(share, ["doc", "item"]).select("doc", "n", "k", (F.col("pos") - F.col("ipos")).alias("start")).distinct()
-    windows = materialize(windows, "bench-windows")
+    windows = materialize(_windows(hits.join(share, ["doc", "item"]), percent), "bench-windows")
 
     wanted = _small(materialize(windows.select("doc").distinct(), "bench-docs"))
     held = words.join(wanted, "doc", "left_semi").join(windows, "doc")
     begin, end = F.greatest("start", F.lit(0)), F.least(F.col("start") + F.col("n"), F.size("w"))
+    # At most c shingles are shared, of the item's n - k + 1 and of what the cut window has.
+    union = (F.col("n") - F.col("k") + 1) + (end - begin - F.col("k") + 1) - F.col("c")
+    held = held.where(F.col("c") * 100 >= union * percent)
     held = held.select("doc", "n", "k", begin.alias("start"), (end - begin).alias("n_words"), F.slice("w", begin + 1, end - begin).alias("w"))
     grams = F.coalesce(*[F.when(F.col("k") == j, _shingles(F.col("w"), j)) for j in sorted(lengths)]) if lengths else F.array().cast("array<long>")
     held = held.select("doc", "n", "start", "n_words", grams.alias("wh")).distinct()

@@ -183,6 +183,40 @@ def test_decontamination(spark):
     assert decontam.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_in_another_order(spark):
+    a, b = [f"a{i}" for i in range(30)], [f"b{i}" for i in range(70)]
+    long, short = a + b, [f"c{i}" for i in range(40)]
+    items = [(1, " ".join(long)), (2, " ".join(short)), (3, "p q p q p q p q p q p q")]
+    junk = [f"j{i}" for i in range(200)]
+    rows = [
+        (0, junk[:60] + b + a + junk[60:120]),
+        (1, b + a),
+        (2, junk[:9] + b[:40] + a + b[40:]),
+        (3, junk[:70] + short[20:] + short[:20] + junk[70:90]),
+        (4, junk + short[4:]),
+        (5, junk[:50] + "q p q p q p q p q p q p".split()),
+        (6, junk[:80] + b + junk[80:110] + a),
+        (7, junk),
+    ]
+    want = {}
+    for d, w in rows:
+        for i, x in items:
+            v = x.split()
+            own = [tuple(v[j : j + 5]) for j in range(len(v) - 4)]
+            for s in range(-len(v) + 1, len(w)):
+                win = w[max(0, s) : s + len(v)]
+                other = [tuple(win[j : j + 5]) for j in range(len(win) - 4)]
+                shared = sum(min(own.count(g), other.count(g)) for g in set(own))
+                union = len(own) + len(other) - shared
+                if other and 100 * shared >= 80 * union:
+                    want[d, i] = max(want.get((d, i), (0,)), (shared / union, -max(0, s), len(win)))
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.similarity, -r.start, r.n_words) for r in decontam.leaks(docs, bench).collect()}
+    assert got == want and {(0, 1), (1, 1), (2, 1), (3, 2), (4, 2), (5, 3)} >= set(want) >= {(0, 1), (1, 1)}
+    assert not {0, 1} & {r.doc_id for r in decontam.drop_leaking(docs, bench).collect()}
+
+
 def test_bpe_equals_the_library(spark):
     from tokenizers import Tokenizer
 

@@ -107,7 +107,7 @@ SELECT trial, subject, sample, count(DISTINCT posid) AS nodes, count(DISTINCT (r
 FROM m JOIN c USING (trial, subject, sample, posid) GROUP BY trial, subject, sample, component""", "fx_fragments", recursive=True)
 def multihit_components(spark, d):
     multi, _ = _split(spark, d)
-    found = multihits.multihit_clusters(multi.where("subject = 'S0'"))
+    found = multihits.multihit_clusters(multi)
     return found.select("trial", "subject", "sample", "nodes", "reads", "UMIs", "clusterID", F.array_join("posids", ",").alias("posids"))
 
 

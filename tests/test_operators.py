@@ -94,6 +94,29 @@ def test_multihits(spark):
     assert sizes == {"MHC.1": 4, "MHC.2": 2}
 
 
+def test_multihit_query_clusters_every_subject(spark, tmp_path):
+    from loomsite import catalog
+    from loomsite.fixtures import view
+
+    rnd = random.Random(7)
+    rows = [(o, n, o % 4, rnd.randrange(60)) for o in range(40) for n in range(3) for _ in range(rnd.choice([1, 2, 3]))]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    reads = {}
+    for r in view(spark, str(tmp_path), "fx_fragments").collect():
+        at = f"{r.chromosome}{r.strand}{r.fragStart if r.strand == '+' else r.fragEnd}"
+        reads.setdefault((r.trial, r.subject, r.sample), {}).setdefault((r.replicate, r.readID), set()).add(at)
+    want = set()
+    for sample, own in reads.items():
+        groups = []
+        for sites in (s for s in own.values() if len(s) > 1):
+            touched = [g for g in groups if g & sites]
+            groups = [g for g in groups if not g & sites] + [sites.union(*touched)]
+        for i, g in enumerate(sorted(groups, key=min), 1):
+            want.add((*sample, len(g), sum(len(s) > 1 and s <= g for s in own.values()), f"MHC.{i}", ",".join(sorted(g))))
+    got = {(r.trial, r.subject, r.sample, r.nodes, r.reads, r.clusterID, r.posids) for r in catalog.queries()["multihit_components"](spark, str(tmp_path)).collect()}
+    assert got == want and {x[1] for x in got} == {"S0", "S1"}
+
+
 def test_components_of_a_long_path(spark):
     n = spark.createDataFrame([(1, i) for i in range(60)], "g int, node long")
     e = spark.createDataFrame([(1, i, i + 1) for i in range(59) if i != 29], "g int, a long, b long")

@@ -27,7 +27,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that repeat an earlier one; ``n_chars`` follows the text.
     A document of which only blank lines are left after removals goes."""
-    found = linededup.dedup_lines(docs)
+    found = linededup.dedup_lines(docs, min_chars=1)
     left = found.where(~((F.col("n_removed_lines") > 0) & (F.trim(F.translate("text", "\n\t\r", "")) == "")))
     columns = [F.when(F.col("n_removed_lines") > 0, F.char_length("text").cast(t)).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c, t in docs.dtypes]
     return left.select(*columns)

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from loomsite.llm.common import materialize, table
 
-#: Lines shorter than this many characters are left alone.
+#: Lines shorter than this many characters are left alone where a caller asks for no
+#: other minimum; the query and the pipeline take lines of every length.
 MIN_CHARS = 20
 #: Line coordinates up to which they are broadcast to pick line texts.
 BROADCAST_ROWS = 100_000
@@ -51,7 +52,7 @@ def _variants(line: Column) -> Column:
 
 def _lines(docs: DataFrame, id_column: str, text_column: str, min_chars: int) -> DataFrame:
     rows = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("doc"), F.posexplode(F.split(F.col(text_column).cast("string"), "\n", -1)).alias("at", "line"))
-    return rows.where((F.char_length("line") >= min_chars) & (F.trim("line") != ""))
+    return rows.where((F.char_length("line") >= min_chars) & (F.trim(F.translate("line", "\t\r", "")) != ""))
 
 
 def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
@@ -92,7 +93,7 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     columns ``n_lines`` and ``n_removed_lines`` (int) after its own.
 
     Lines end at ``\\n``. Defined cases: lines of fewer than ``min_chars`` characters and
-    blank lines stay; a null text stays null with 0 lines; a text whose every line goes
+    blank lines (spaces, tabs and ``\\r`` only) stay; a null text stays null with 0 lines; a text whose every line goes
     becomes empty; a row with a null id keeps its lines; rows that repeat an id share
     the removals found for it, and of equal lines with one coordinate none is earlier;
     all columns are kept, whatever their names.
@@ -112,7 +113,7 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=1)
     return found.select("doc_id", "n_lines", "n_removed_lines", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
 
 

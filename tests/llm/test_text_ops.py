@@ -136,6 +136,27 @@ def test_line_dedup(spark):
     assert linededup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_takes_short_lines(spark, tmp_path):
+    import corpus_pipeline
+
+    texts = {0: "yes\nok\n\nshort line", 1: "ok\nyes\n\r\na", 2: "yet\nshort lines\n\r\nb", 3: "no match\n \n ", 4: "short  lines\nx\nno match", 5: None}
+    lengths = {i: None if t is None else len(t) for i, t in texts.items()}
+    df = spark.createDataFrame([(i, t, lengths[i]) for i, t in texts.items()], "doc_id long, text string, n_chars long")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    places = sorted((i, j, x) for i, t in texts.items() if t is not None for j, x in enumerate(t.split("\n")) if x.strip())
+
+    def near(a, b):
+        less = lambda s: {s[:i] + s[i + 1 :] for i in range(len(s))}
+        return a == b or a in less(b) or b in less(a) or len(a) == len(b) and sum(x != y for x, y in zip(a, b, strict=True)) == 1
+
+    gone = {p[:2] for p in places if any(q[:2] < p[:2] and near(p[2], q[2]) for q in places)}
+    want = {i: "\n".join(x for j, x in enumerate((t or "").split("\n")) if (i, j) not in gone) for i, t in texts.items()}
+    got = {r.doc_id: (r.kept_sha256, r.n_removed_lines) for r in linededup.op5_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {i: (hashlib.sha256(t.encode()).hexdigest(), sum(g[0] == i for g in gone)) for i, t in want.items()} and len(gone) >= 6
+    left = {r.doc_id: r.text or "" for r in corpus_pipeline.line_dedup(spark, df, str(tmp_path)).collect()}
+    assert left == {i: t for i, t in want.items() if t.strip() or not any(g[0] == i for g in gone)}
+
+
 def test_decontamination(spark):
     rnd = random.Random(2)
     vocabulary = [f"w{i}" for i in range(300)]

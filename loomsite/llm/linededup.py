@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 
 from loomsite.llm.common import materialize, table
 
-#: Lines shorter than this many characters are left alone where a caller asks for no
-#: other minimum; the query and the pipeline take lines of every length.
-MIN_CHARS = 20
+#: Characters of a block of a line's hash.
+BLOCK = 256
 #: Line coordinates up to which they are broadcast to pick line texts.
 BROADCAST_ROWS = 100_000
 
@@ -43,11 +42,48 @@ def _halves(line: Column) -> Column:
     return F.when(low == high, F.array(*of(low))).otherwise(F.array(*of(low), *of(high)))
 
 
+def _folded(parts: Column) -> Column:
+    return F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
+
+
+def _let(value: Column, f) -> Column:
+    """``f(value)`` with the value worked out once, however often ``f`` reads it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def _block(j: Column, s: Column) -> Column:
+    return F.when(s == "", F.lit(0).cast("long")).otherwise(_hash(3, j, s))
+
+
+def _without(j: Column, s: Column, most: Column | int) -> Column:
+    """Hashes of block ``j`` without each of the first ``most`` characters of ``s``."""
+    places = F.sequence(F.lit(1), F.least(F.char_length(s), most if isinstance(most, Column) else F.lit(most)))
+    return F.transform(places, lambda i: _block(j, F.concat(F.left(s, i - 1), F.substr(s, i + 1))))
+
+
 def _variants(line: Column) -> Column:
-    """Hashes of the line and of the line without each one of its characters."""
+    """Hashes of the line and of the line without each one of its characters.
+
+    A string's hash is the XOR of the hashes of its ``BLOCK``-character blocks with their
+    numbers. Without character i, the blocks before i are the line's own and those after it
+    are the line's blocks moved by one, so that each variant hashes one block only and a
+    line's cost is nearly in proportion to its length."""
     n = F.char_length(line)
-    less = F.transform(F.sequence(F.lit(1), n), lambda i: _hash(3, F.concat(F.substring(line, F.lit(1), i - 1), F.substr(line, i + 1))))
-    return F.array_distinct(F.concat(F.array(_hash(3, line)), less))
+    count = F.floor((n + (BLOCK - 1)) / BLOCK).cast("int")
+    short = F.concat(F.array(_block(F.lit(0), line)), _without(F.lit(0), line, n))
+    # Each block with the character that follows it, if there is one.
+    wide = F.transform(F.sequence(F.lit(0), count - 1), lambda j: F.substring(line, j * BLOCK + 1, F.lit(BLOCK + 1)))
+
+    def around(own: Column, moved: Column, j: Column) -> Column:
+        return _folded(F.slice(own, 1, j)).bitwiseXOR(_folded(F.slice(moved, j + 2, F.size(own))))
+
+    def long(w: Column) -> Column:
+        own = F.transform(w, lambda s, j: _block(j, F.left(s, F.lit(BLOCK))))
+        moved = F.transform(w, lambda s, j: _block(j, F.substr(s, F.lit(2))))
+        return _let(F.struct(own.alias("o"), moved.alias("m")), lambda h: F.concat(F.array(_folded(h["o"])), F.flatten(F.transform(w, lambda s, j: _let(
+            around(h["o"], h["m"], j), lambda rest: F.transform(_without(j, s, BLOCK), lambda x: x.bitwiseXOR(rest)))))))
+
+    return F.array_distinct(F.when(count == 1, short).otherwise(_let(wide, long)))
 
 
 def _lines(docs: DataFrame, id_column: str, text_column: str, min_chars: int) -> DataFrame:
@@ -55,10 +91,10 @@ def _lines(docs: DataFrame, id_column: str, text_column: str, min_chars: int) ->
     return rows.where((F.char_length("line") >= min_chars) & (F.trim(F.translate("line", "\t\r", "")) != ""))
 
 
-def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = 1) -> DataFrame:
     """-> ``(doc long, at int)``: the line numbers, from 0, of the lines to remove."""
     lines = _lines(docs, id_column, text_column, min_chars)
-    seen = lines.select("doc", "at", _hash(0, F.col("line")).alias("h1"), _hash(9, F.col("line")).alias("h2"), _halves(F.col("line")).alias("halves"))
+    seen = materialize(lines.select("doc", "at", _hash(0, F.col("line")).alias("h1"), _hash(9, F.col("line")).alias("h2"), _halves(F.col("line")).alias("halves")), "lines-seen")
     distinct = seen.groupBy("h1", "h2").agg(F.min(F.struct("doc", "at")).alias("first"), F.count(F.lit(1)).alias("n"), F.first("halves").alias("halves"))
     distinct = materialize(distinct, "lines")
 
@@ -69,7 +105,8 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     picked = F.broadcast(near) if near.count() <= BROADCAST_ROWS else near
     text = materialize(lines.join(picked, ["doc", "at"]).select("h1", "h2", F.struct("doc", "at").alias("first"), "line").dropDuplicates(["h1", "h2"]), "lines-text")
 
-    keys = text.select("h1", "h2", "first", F.explode(_variants(F.col("line"))).alias("key"))
+    # All variants are written once: counting keys and picking their lines read them again.
+    keys = materialize(text.select("h1", "h2", "first", F.explode(_variants(F.col("line"))).alias("key")), "lines-variants")
     key = keys.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
     keys = materialize(keys.join(key, "key", "left_semi"), "lines-keys")
     a = keys.select("key", F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("first").alias("af"))
@@ -88,32 +125,36 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return where.where(F.col("late") | (F.struct("doc", "at") > F.col("first"))).select("doc", "at")
 
 
-def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = 1, counts: tuple[str, str] = ("n_lines", "n_removed_lines")) -> DataFrame:
     """``docs`` with the lines of its texts that repeat an earlier line removed, and the
-    columns ``n_lines`` and ``n_removed_lines`` (int) after its own.
+    columns that ``counts`` names, its lines and those removed (int), after its own.
 
     Lines end at ``\\n``. Defined cases: lines of fewer than ``min_chars`` characters and
     blank lines (spaces, tabs and ``\\r`` only) stay; a null text stays null with 0 lines; a text whose every line goes
     becomes empty; a row with a null id keeps its lines; rows that repeat an id share
     the removals found for it, and of equal lines with one coordinate none is earlier;
-    all columns are kept, whatever their names.
+    all columns are kept, whatever their names; where one has a name of ``counts``, give
+    others.
     """
     gone = repeated_lines(docs, id_column, text_column, min_chars)
     gone = gone.groupBy("doc").agg(F.sort_array(F.collect_set("at")).alias("at")).select(F.col("doc").alias("__line_doc"), F.col("at").alias("__line_at"))
-    joined = docs.join(gone, docs[id_column].cast("long") == gone["__line_doc"], "left")
-    text = docs[text_column].cast("string")
+    own = F.struct(*[docs[c].alias(c) for c in docs.columns])
+    joined = docs.select(own.alias("__row"), docs[id_column].cast("long").alias("__id")).join(gone, F.col("__id") == F.col("__line_doc"), "left")
+    text = F.col("__row")[text_column].cast("string")
     parts = F.split(text, "\n", -1)
     n = F.when(text.isNull(), 0).otherwise(F.size(parts))
-    stays = F.array_except(F.sequence(F.lit(0), n - 1), F.col("__line_at"))
+    touched = F.col("__line_at").isNotNull() & text.isNotNull()
+    # Spark counts the lines that stay once and joins those.
+    stays = F.when(touched, F.array_except(F.sequence(F.lit(0), n - 1), F.col("__line_at")))
     left = F.array_join(F.transform(stays, lambda i: F.get(parts, i)), "\n")
-    new = F.when(F.col("__line_at").isNull() | text.isNull(), text).otherwise(left)
-    own = [new.alias(c) if c == text_column else docs[c] for c in docs.columns]
-    removed = F.when(text.isNull() | F.col("__line_at").isNull(), 0).otherwise(F.size(F.array_intersect(F.sequence(F.lit(0), n - 1), F.col("__line_at"))))
-    return joined.select(*own, n.alias("n_lines"), removed.alias("n_removed_lines"))
+    new = F.when(touched, left).otherwise(text)
+    removed = F.when(touched, n - F.size(stays)).otherwise(0)
+    kept = [new.alias(c) if c == text_column else F.col("__row")[c].alias(c) for c in docs.columns]
+    return joined.select(*kept, n.alias(counts[0]), removed.alias(counts[1]))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=1)
+    found = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_removed_lines", F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256).alias("kept_sha256"))
 
 
@@ -122,7 +163,7 @@ WITH l AS (
   SELECT doc_id, ln, ls[ln + 1] AS line
   FROM (SELECT doc_id, ls, unnest(range(0, len(ls))) AS ln FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL))
 ), d AS (
-  SELECT line, min((doc_id, ln)) AS first FROM l WHERE length(line) >= 20 AND trim(line) <> '' GROUP BY line
+  SELECT line, min((doc_id, ln)) AS first FROM l WHERE trim(translate(line, chr(9) || chr(13), '')) <> '' GROUP BY line
 ), h AS (
   SELECT line, first, unnest([
     (0, length(line) // 2, left(line, length(line) // 2)), (1, length(line) // 2, right(line, length(line) // 2)),

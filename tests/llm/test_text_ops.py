@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loomsite.llm import bpe, chat, decontam, jaccard, langid, linededup, substring, toxicity, urls, vecdedup
 
@@ -122,7 +123,7 @@ def test_line_dedup(spark):
                 x = x[:j] + rnd.choice(["", "Z", x[j] + "y"]) + x[j + 1 :]
             own.append(x)
         rows.append((i, "\n".join(own), 1))
-    df = spark.createDataFrame(rows, "doc_id long, text string, n_lines int").withColumnRenamed("n_lines", "at")
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_lines int")
     places = [(i, j, x) for i, t, _ in rows if t is not None for j, x in enumerate(t.split("\n"))]
     long = [p for p in places if len(p[2]) >= 20 and p[2].strip()]
     first = {}
@@ -130,12 +131,25 @@ def test_line_dedup(spark):
         first.setdefault(p[2], p[:2])
     drop = {p[:2] for p in long if any(one_edit(p[2], y) and f < p[:2] for y, f in first.items())}
     want = {i: None if t is None else "\n".join(x for j, x in enumerate(t.split("\n")) if (i, j) not in drop) for i, t, _ in rows}
-    out = linededup.dedup_lines(df)
-    assert out.columns == ["doc_id", "text", "at", "n_lines", "n_removed_lines"]
+    out = linededup.dedup_lines(df, min_chars=20, counts=("all", "gone"))
+    assert out.columns == ["doc_id", "text", "n_lines", "all", "gone"]
     assert {r.doc_id: r.text for r in out.collect()} == want
     assert linededup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_of_long_lines_and_repeated_rows(spark):
+    rnd = random.Random(9)
+    base = "".join(rnd.choice("abcé日") for _ in range(1300))
+    near = [base[:i] + x + base[i + n :] for i, x, n in ((0, "", 1), (255, "Z", 1), (256, "", 1), (257, "Q", 0), (700, "", 1), (1299, "!", 1), (1300, "!", 0), (512, "xy", 2))]
+    rows = [(0, base), (1, near[0]), (2, near[1]), (3, near[2]), (4, near[3]), (5, near[4]), (6, near[5]), (7, near[6]), (8, near[7]), (9, base[:-40]), (1, near[0]), (10, "tail\n" + base + base)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (256, 7, 1300, 1301):
+        linededup.BLOCK = block
+        got = sorted((r.doc_id, r.text) for r in linededup.dedup_lines(df).collect())
+        assert [i for i, t in got if t == ""] == [1, 1, 2, 3, 4, 5, 6, 7] and got[-1] == (10, "tail\n" + base + base)
+    linededup.BLOCK = 256
+
+
 def test_line_dedup_takes_short_lines(spark, tmp_path):
     import corpus_pipeline
 
@@ -154,7 +168,10 @@ def test_line_dedup_takes_short_lines(spark, tmp_path):
     got = {r.doc_id: (r.kept_sha256, r.n_removed_lines) for r in linededup.op5_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {i: (hashlib.sha256(t.encode()).hexdigest(), sum(g[0] == i for g in gone)) for i, t in want.items()} and len(gone) >= 6
     left = {r.doc_id: r.text or "" for r in corpus_pipeline.line_dedup(spark, df, str(tmp_path)).collect()}
-    assert left == {i: t for i, t in want.items() if t.strip() or not any(g[0] == i for g in gone)}
+    solid = lambda t: len(re.sub(r"\s", "", t or ""))
+    assert left == {i: t for i, t in want.items() if solid(t) > corpus_pipeline.MIN_LEFT * solid(texts[i]) or not any(g[0] == i for g in gone)}
+    clash = df.withColumn("lines", F.lit(1)).withColumn("removed", F.lit(2)).withColumn("n_lines", F.lit(3))
+    assert corpus_pipeline.line_dedup(spark, clash, str(tmp_path)).columns == clash.columns
 
 
 def test_decontamination(spark):

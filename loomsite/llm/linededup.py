@@ -51,14 +51,9 @@ def _let(value: Column, f) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
-def _block(j: Column, s: Column) -> Column:
-    return F.when(s == "", F.lit(0).cast("long")).otherwise(_hash(3, j, s))
-
-
-def _without(j: Column, s: Column, most: Column | int) -> Column:
+def _without(j: Column, s: Column, most: Column) -> Column:
     """Hashes of block ``j`` without each of the first ``most`` characters of ``s``."""
-    places = F.sequence(F.lit(1), F.least(F.char_length(s), most if isinstance(most, Column) else F.lit(most)))
-    return F.transform(places, lambda i: _block(j, F.concat(F.left(s, i - 1), F.substr(s, i + 1))))
+    return F.transform(F.sequence(F.lit(1), most), lambda i: _hash(3, j, F.concat(F.left(s, i - 1), F.substr(s, i + 1))))
 
 
 def _variants(line: Column) -> Column:
@@ -70,7 +65,7 @@ def _variants(line: Column) -> Column:
     line's cost is nearly in proportion to its length."""
     n = F.char_length(line)
     count = F.floor((n + (BLOCK - 1)) / BLOCK).cast("int")
-    short = F.concat(F.array(_block(F.lit(0), line)), _without(F.lit(0), line, n))
+    short = F.concat(F.array(_hash(3, F.lit(0), line)), _without(F.lit(0), line, n))
     # Each block with the character that follows it, if there is one.
     wide = F.transform(F.sequence(F.lit(0), count - 1), lambda j: F.substring(line, j * BLOCK + 1, F.lit(BLOCK + 1)))
 
@@ -78,10 +73,16 @@ def _variants(line: Column) -> Column:
         return _folded(F.slice(own, 1, j)).bitwiseXOR(_folded(F.slice(moved, j + 2, F.size(own))))
 
     def long(w: Column) -> Column:
-        own = F.transform(w, lambda s, j: _block(j, F.left(s, F.lit(BLOCK))))
-        moved = F.transform(w, lambda s, j: _block(j, F.substr(s, F.lit(2))))
+        # An empty last block adds nothing, as a string that ends before it has none.
+        none = F.lit(0).cast("long")
+        own = F.transform(w, lambda s, j: _hash(3, j, F.left(s, F.lit(BLOCK))))
+        moved = F.transform(w, lambda s, j: F.when(F.char_length(s) == 1, none).otherwise(_hash(3, j, F.substr(s, F.lit(2)))))
+
+        def cut(s: Column, j: Column) -> Column:
+            return F.when(F.char_length(s) == 1, F.array(none)).otherwise(_without(j, s, F.least(F.char_length(s), F.lit(BLOCK))))
+
         return _let(F.struct(own.alias("o"), moved.alias("m")), lambda h: F.concat(F.array(_folded(h["o"])), F.flatten(F.transform(w, lambda s, j: _let(
-            around(h["o"], h["m"], j), lambda rest: F.transform(_without(j, s, BLOCK), lambda x: x.bitwiseXOR(rest)))))))
+            around(h["o"], h["m"], j), lambda rest: F.transform(cut(s, j), lambda x: x.bitwiseXOR(rest)))))))
 
     return F.array_distinct(F.when(count == 1, short).otherwise(_let(wide, long)))
 

@@ -172,7 +172,10 @@ WITH l AS (
   FROM d
 ), late AS (
   SELECT DISTINCT a.line FROM h a JOIN h b ON a.half = b.half AND b.first < a.first
-  WHERE abs(length(a.line) - length(b.line)) <= 1 AND levenshtein(a.line, b.line) <= 1
+  WHERE CASE length(a.line) - length(b.line)
+    WHEN 0 THEN len([i FOR i IN range(1, length(a.line) + 1) IF a.line[i] <> b.line[i]]) <= 1
+    WHEN 1 THEN list_contains([left(a.line, i) || substr(a.line, i + 2) FOR i IN range(0, length(a.line))], b.line)
+    WHEN -1 THEN list_contains([left(b.line, i) || substr(b.line, i + 2) FOR i IN range(0, length(b.line))], a.line) ELSE false END
 ), kept AS (
   SELECT l.doc_id, l.ln, l.line FROM l LEFT JOIN d ON d.line = l.line LEFT JOIN late ON late.line = l.line
   WHERE d.line IS NULL OR (late.line IS NULL AND d.first = (l.doc_id, l.ln))

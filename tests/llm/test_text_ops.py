@@ -218,7 +218,32 @@ def test_decontamination(spark):
     assert got == want and len(got) > 8
     left = {r.doc_id for r in decontam.drop_leaking(docs, bench).collect()}
     assert left == {d for d, _ in rows} - {d for d, _ in got}
-    assert decontam.leaks(docs, bench.limit(0)).count() == 0
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench, exact=True).collect()} == want
+    assert decontam.leaks(docs, bench.limit(0)).columns == ["doc_id", "item_id", "start", "n_words", "similarity"]
+    assert decontam.leaks(docs.limit(0), bench).count() == 0
+    twice = docs.union(docs).withColumn("item_id", F.lit("x")).withColumn("w", F.lit(1)).withColumn("n", F.lit(1))
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(twice, bench).collect()} == want
+    assert decontam.drop_leaking(twice, bench).columns == twice.columns
+
+
+def test_fingerprints_find_pairs_at_the_limit(spark):
+    """Recall of the fingerprints alone, for pairs of sets that are 0.8 similar, 40 shingles each."""
+    rnd = random.Random(17)
+
+    def of():
+        return rnd.randrange(-(1 << 63), 1 << 63)
+
+    rows = []
+    for i in range(400):
+        shared = [of() for _ in range(40)]
+        rows.append((i, shared + [of() for _ in range(5)], shared + [of() for _ in range(5)]))
+    df = spark.createDataFrame(rows, "i int, wh array<long>, ih array<long>")
+    df = df.withColumn("f", decontam.fingerprint("wh")).withColumn("g", decontam.fingerprint("ih")).withColumn("d", decontam.differing_bits(F.col("f"), F.col("g")))
+    found = df.where(F.col("d") <= decontam.RADIUS).withColumn("x", decontam._blocks("f")).withColumn("y", decontam._blocks("g")).collect()
+    assert len(found) >= 0.99 * len(rows)
+    # Within the radius, one block at least is within its share of it.
+    assert all(min((a.part ^ b.part).bit_count() for a, b in zip(r.x, r.y, strict=True)) <= decontam.RADIUS // decontam.BLOCKS for r in found)
+    assert len(decontam.block_masks(3)) == 697
 
 
 def test_decontamination_in_another_order(spark):

@@ -6,12 +6,14 @@ combined before the shuffle, so that a hot host costs no more than its templates
 down the tree level by level, a node's children become one wildcard branch when they are
 many for the urls they hold (variable words), or when their share of bad labels does not
 differ significantly from the rest of their parent (two-proportion z-test): statistically
-similar branches merge. A leaf is a template. It is rejected if enough of its urls are
-labelled and their share of bad ones, smoothed with the host's share, which is smoothed
-with the share over all urls, reaches a limit.
+similar branches merge. A leaf is a template. It is rejected if its share of bad urls
+among the labelled ones, smoothed with its host's share, which is smoothed with the share
+over all urls, reaches a limit. So a template without labels is judged by what is known
+of its host, and a host without any by what is known of all; a few labels weigh little.
 
 Labels are what a caller knows about urls: a column of 1 (bad), 0 (good) and null, or,
-without one, the verdicts of the rules.
+without one, the verdicts of the rules, which the tree carries on to urls that no rule
+fits.
 """
 
 from __future__ import annotations
@@ -95,7 +97,7 @@ def judge_urls(
     min_urls: float = 10,
     min_labels: int = 5,
     z: float = 1.96,
-    smoothing: float = 2.0,
+    smoothing: float = 5.0,
     limit: float = 0.7,
 ) -> DataFrame:
     """-> ``(<id_column>, host, path, rule, verdict, template, bad_share)`` for each row.
@@ -103,9 +105,11 @@ def judge_urls(
     ``rule`` is the longest rule that fits (ties: the smaller name) or null; ``verdict``
     is the rule's, else the template's. ``depth`` levels of a path make the tree, what
     lies deeper counts as one segment ``**``. Defined cases: a null url, an empty one and
-    one without ``://`` have an empty host and path and the empty template; a host
-    without labels is judged by the smoothed shares alone and so allowed; repeated rows
-    each get a row; a table without rows gives none; other columns are dropped.
+    one without ``://`` have an empty host and path, are no web address to judge, and
+    are allowed; without any label the share over all urls is one half and nothing is
+    rejected; repeated rows each get a row; a table without rows gives none; other
+    columns are dropped. ``min_labels`` is what both sides of the test for similar
+    branches need, no condition of a rejection.
     """
     url = F.col(url_column).cast("string")
     rows = df.select(F.col(id_column), url_host(url).alias("host"), url_path(url).alias("path"), (F.col(label_column).cast("int") if label_column else F.lit(None).cast("int")).alias("given"))
@@ -126,11 +130,11 @@ def judge_urls(
     host_share = (F.col("hb") + smoothing * overall) / (F.col("hl") + smoothing)
     leaf = tree.groupBy("host", "t").agg(F.sum("l").alias("l"), F.sum("b").alias("b")).join(by_host, "host")
     leaf = leaf.select("host", "t", "l", ((F.col("b") + smoothing * host_share) / (F.col("l") + smoothing)).alias("bad_share"))
-    leaf = leaf.withColumn("reject", (F.col("l") >= min_labels) & (F.col("bad_share") >= limit))
+    leaf = leaf.withColumn("reject", F.col("bad_share") >= limit)
     judged = tree.select("host", "shape", "t").join(leaf, ["host", "t"])
     judged = judged.select("host", "shape", F.concat(F.lit("/"), F.array_join("t", "/")).alias("template"), "bad_share", "reject")
     found = rows.join(judged, ["host", "shape"], "left")
-    block = F.coalesce(F.col("ruled") == 1, F.col("reject"), F.lit(False))
+    block = F.coalesce(F.col("ruled") == 1, F.col("reject") & (F.col("host") != ""), F.lit(False))
     verdict = F.when(block, F.lit("block")).otherwise(F.lit("allow"))
     return found.select(id_column, "host", "path", "rule", verdict.alias("verdict"), "template", "bad_share")
 
@@ -150,8 +154,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-# The rules decide every url whose template has labels enough, as the labels are the
-# rules' own; the method allows what is left.
+def _level_sql(d: int) -> str:
+    """The d-th level of the tree: which children become wildcards."""
+    return f"""c{d} AS (
+  SELECT host, t[1:{d - 1}] AS up, t[{d}] AS child, sum(n) AS n, sum(l) AS l, sum(b) AS b FROM t{d - 1} WHERE len(t) >= {d} GROUP BY ALL
+), w{d} AS (
+  SELECT host, up, child FROM (SELECT *, count(*) OVER p AS kids, sum(n) OVER p AS pn, sum(l) OVER p AS pl, sum(b) OVER p AS pb FROM c{d} WINDOW p AS (PARTITION BY host, up))
+  WHERE child <> '*' AND ((kids > 20 AND pn < kids * 10) OR CASE WHEN l >= 5 AND pl - l >= 5
+    THEN abs(b / l - (pb - b) / (pl - l)) <= 1.96::DOUBLE * sqrt(pb / pl * (1 - pb / pl) * (1 / l + 1 / (pl - l))) ELSE false END)
+), t{d} AS (
+  SELECT t.host, shape, CASE WHEN w.child IS NULL THEN t ELSE list_concat(list_append(t[1:{d - 1}], '*'), t[{d + 1}:]) END AS t, n, l, b
+  FROM t{d - 1} t LEFT JOIN w{d} w ON w.host = t.host AND w.child = t.t[{d}] AND w.up = t.t[1:{d - 1}]
+), """
+
+
 OP10_SQL = r"""
 WITH p AS (
   SELECT page_id,
@@ -161,11 +177,23 @@ WITH p AS (
 ), r(rhost, rpath, v) AS (
   VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'),
          ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')
+), q AS (
+  SELECT page_id, host, path, max_by(rhost || rpath, length(rhost || rpath)) AS rule, max_by(v, length(rhost || rpath)) AS ruled,
+    [CASE WHEN regexp_matches(x, '[0-9]') OR length(x) > 40 THEN '*' ELSE x END FOR x IN string_split(path, '/') IF x <> ''] AS s
+  FROM p LEFT JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id, host, path
+), s AS (
+  SELECT *, CASE WHEN len(s) > 8 THEN list_append(s[1:8], '**') ELSE s END AS shape FROM q
+), t0 AS (
+  SELECT host, shape, shape AS t, count(*) AS n, count(ruled) AS l, count(*) FILTER (ruled = 'block') AS b FROM s GROUP BY host, shape
+), """ + "".join(_level_sql(d) for d in range(1, 10)) + r"""o AS (
+  SELECT (sum(b) + 2.5::DOUBLE) / (sum(l) + 5) AS share FROM t0
+), h AS (
+  SELECT host, (sum(b) + 5 * any_value(share)) / (sum(l) + 5) AS share FROM t0, o GROUP BY host
+), leaf AS (
+  SELECT host, t, (sum(b) + 5 * any_value(share)) / (sum(l) + 5) AS bad_share FROM t9 JOIN h USING (host) GROUP BY host, t
 )
-SELECT p.page_id, p.host, p.path, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
-  coalesce(arg_max(v, length(rhost || rpath)), 'allow') AS verdict
-FROM p LEFT JOIN r ON (p.host = rhost OR ends_with(p.host, '.' || rhost)) AND starts_with(p.path, rpath)
-GROUP BY p.page_id, p.host, p.path
+SELECT page_id, s.host, path, rule, coalesce(ruled, CASE WHEN bad_share >= 0.7 AND s.host <> '' THEN 'block' ELSE 'allow' END) AS verdict
+FROM s JOIN t9 ON t9.host = s.host AND t9.shape = s.shape JOIN leaf ON leaf.host = t9.host AND leaf.t = t9.t
 """
 
 QUERIES = {"op10_url_filter": op10_url_filter}

@@ -394,7 +394,7 @@ def test_urls(spark):
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), urls.RULES).collect()}
     assert got[4] == ("www.example.com", "/en/1", "com/en/", "block")
     assert got[5] == ("example.com", "/en/7", "example.com/en/7", "allow")
-    assert got[6] == ("a.net", "", None, "allow") and got[7][2:] == ("net/de/", "allow")
+    assert got[6][:3] == ("a.net", "", None) and got[7][2:] == ("net/de/", "allow")
     assert [got[i] for i in (0, 1, 2, 3)] == [("", "", None, "allow")] * 4 and got[8][2] is None
 
 
@@ -404,3 +404,64 @@ def test_url_templates_learn_from_labels(spark):
     out = urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string, bad int"), label_column="bad").collect()
     assert {r.page_id for r in out if r.verdict == "block"} == {i for i in range(100) if i % 2}
     assert {r.template for r in out if r.host == "wiki.test"} == {"/*/about"}
+
+
+def slow_verdicts(rows, depth=8, most=20, few=10, least=5, z=1.96, smoothing=5.0, limit=0.7):
+    """The template tree again, over (host, segments, label) rows in plain Python."""
+    t = [tuple(s[:depth]) + (("**",) if len(s) > depth else ()) for _, s, _ in rows]
+    for d in range(depth + 1):
+        kids = {}
+        for (host, _, y), x in zip(rows, t, strict=True):
+            if len(x) > d:
+                sums = kids.setdefault((host, x[:d]), {}).setdefault(x[d], [0, 0, 0])
+                sums[0] += 1
+                sums[1] += y is not None
+                sums[2] += y == 1
+        new = []
+        for (host, _, _), x in zip(rows, t, strict=True):
+            if len(x) > d and x[d] != "*":
+                own = kids[host, x[:d]]
+                n, l, b = own[x[d]]
+                pn, pl, pb = (sum(v[i] for v in own.values()) for i in range(3))
+                wild = len(own) > most and pn < len(own) * few
+                if l >= least and pl - l >= least:
+                    share = pb / pl
+                    wild |= abs(b / l - (pb - b) / (pl - l)) <= z * (share * (1 - share) * (1 / l + 1 / (pl - l))) ** 0.5
+                x = x[:d] + (("*",) if wild else x[d : d + 1]) + x[d + 1 :]
+            new.append(x)
+        t = new
+
+    def share(keep, prior):
+        known = [y for (_, _, y), k in zip(rows, keep, strict=True) if k and y is not None]
+        return (sum(known) + smoothing * prior) / (len(known) + smoothing)
+
+    overall = share([True] * len(rows), 0.5)
+    out = []
+    for (host, _, _), x in zip(rows, t, strict=True):
+        own = share([r[0] == host for r in rows], overall)
+        out.append(share([r[0] == host and y == x for r, y in zip(rows, t, strict=True)], own) >= limit)
+    return out
+
+
+def test_url_verdicts_without_rules_come_from_the_tree(spark):
+    rnd = random.Random(21)
+    rows = []
+    for i in range(400):
+        host = rnd.choice(["a.test", "b.test", "c.test", "d.test"])
+        path = [rnd.choice(["x", "y", "z"]), rnd.choice(["u", "v", f"w{chr(97 + i % 26)}{chr(97 + i // 26)}"]), str(i)]
+        bad = {"a.test": 0.95, "b.test": 0.05}.get(host, 0.9 if path[0] == "x" else 0.1)
+        rows.append((i, f"http://{host}/" + "/".join(path[: rnd.choice([1, 2, 3])]), int(rnd.random() < bad) if rnd.random() < 0.3 and host != "d.test" else None))
+    rows += [(900 + i, "http://a.test/never/labelled" + "/deeper" * i, None) for i in range(0, 12, 4)]
+    shaped = []
+    for _, url, y in rows:
+        host, _, path = url[7:].partition("/")
+        shaped.append((host, ["*" if re.search("[0-9]", s) else s for s in path.split("/") if s], y))
+    want = slow_verdicts(shaped)
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "page_id long, url string, bad int, host string, l int")
+    out = {r.page_id: r for r in urls.judge_urls(df, label_column="bad").collect()}
+    assert {i for i, r in out.items() if r.verdict == "block"} == {r[0] for r, w in zip(rows, want, strict=True) if w}
+    # A host known to be bad loses templates without labels; a host without labels loses none.
+    assert all(out[i].verdict == "block" for i in range(900, 912, 4)) and not any(r.verdict == "block" for r in out.values() if r.host == "d.test")
+    assert urls.judge_urls(df.limit(0), label_column="bad").count() == 0
+    long = spark.createDataFrame([(1, "http://h/" + "seg/" * 50_000), (1, "http://h/" + "seg/" * 50_000)], "page_id long, url string")
+    assert [r.verdict for r in urls.judge_urls(long).collect()] == ["allow", "allow"]

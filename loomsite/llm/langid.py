@@ -28,7 +28,9 @@ from pyspark.sql import types as T
 from loomsite.llm.common import table
 from loomsite.llm.hashing import steps
 
-MAX_DOCS = 3000
+#: Rows that training takes at most, and bytes of a text of theirs: both bound the driver's
+#: memory to 200 MB of texts. Longer texts are predicted like others.
+MAX_DOCS, MAX_TEXT = 3000, 1 << 16
 BUCKETS = 1 << 16
 ORDERS = (2, 3, 4)
 UNKNOWN = "und"
@@ -146,8 +148,8 @@ def train(texts: list[str], langs: list[str], dim: int = 16, epochs: int = 4, ra
 
 
 def training_rows(docs: DataFrame, usable=None, max_docs: int = MAX_DOCS, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> tuple[list[str], list[str]]:
-    """At most ``max_docs`` texts with a language; ``usable`` is a condition on the id."""
-    known = docs.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull() & F.col(id_column).isNotNull())
+    """At most ``max_docs`` texts of ``MAX_TEXT`` bytes at most with a language; ``usable`` is a condition on the id."""
+    known = docs.where(F.col(lang_column).isNotNull() & (F.octet_length(F.col(text_column)) <= MAX_TEXT) & F.col(id_column).isNotNull())
     known = known.where(usable) if usable is not None else known
     known = known.select(F.col(id_column).alias("id"), F.col(lang_column).alias("language"))
     count = known.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
@@ -155,7 +157,7 @@ def training_rows(docs: DataFrame, usable=None, max_docs: int = MAX_DOCS, id_col
     lot = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
     ids = known.join(count, "language").where(lot * F.col("n") < max_docs / kinds).orderBy(F.xxhash64("id"), "id").limit(max_docs)
     rows = docs.join(F.broadcast(ids.select(F.col("id").alias(id_column)).distinct()), id_column, "left_semi")
-    rows = rows.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
+    rows = rows.where(F.col(lang_column).isNotNull() & (F.octet_length(F.col(text_column)) <= MAX_TEXT))
     got = rows.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("language")).toArrow().sort_by([("id", "ascending"), ("text", "ascending")])
     return got.column("text").to_pylist(), got.column("language").to_pylist()
 

@@ -2,9 +2,9 @@
 
 Tokens are runs of letters and digits, A-Z lower-cased; their features are the hashed
 token, prefixes and a suffix. Labels belong to documents, so tokens are labelled first:
-a token of a toxic document is toxic if one of its features occurs in enough toxic
-documents and (nearly) in no clean one, by smoothed log odds. On these labelled tokens
-the field (two tags, feature and transition weights) is trained by stochastic gradient
+a token of a toxic document is toxic as far as one of its features is believed to mark
+toxic documents, by its false discovery rate and its smoothed odds. On these softly
+labelled tokens the field (two tags, feature and transition weights) is trained by stochastic gradient
 descent on its exact likelihood. Forward-backward gives each token's marginal; a
 document's largest marginal and their sum go through a logistic function, fitted to the
 document labels, to its score; tokens whose marginal reaches 0.5 are the offending spans.
@@ -32,10 +32,17 @@ from loomsite.llm.hashing import ALNUM, BYTE_VALUE_LOWER, U64, between, list_arr
 
 #: Labelled documents that training uses at most.
 MAX_DOCS = 3000
+#: Bytes of a text that training takes: with ``MAX_DOCS`` it bounds the driver's memory
+#: to 200 MB of texts. Longer texts are scored like others.
+MAX_TEXT = 1 << 16
 #: From this score on a document is rejected.
 LIMIT = 0.3
 BLOCK = 64
 
+#: How much rarer than in toxic documents a telling feature is in clean ones, and the
+#: smallest belief that a feature is trained with.
+ODDS, LEAST = 12.0, 0.3
+
 _PREFIXES = (3, 4, 5, 6)
 _SUFFIX = 4
 
@@ -155,30 +162,62 @@ def _summary(p: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _telling(h: np.ndarray, doc: np.ndarray, toxic: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """The sorted hashes of one kind's features that set toxic documents apart.
+def _tails(n: int, share: float) -> np.ndarray:
+    """P(at least k of n documents are toxic) for k from 0 to n, if chance alone decides."""
+    k = np.arange(n + 1)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n + 1)))])
+    p = np.exp(logs[n] - logs[k] - logs[n - k] + k * np.log(share) + (n - k) * np.log1p(-share))
+    return np.minimum(1.0, np.cumsum(p[::-1])[::-1])
+
+
+def _telling(h: np.ndarray, doc: np.ndarray, toxic: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of one kind's features, and how likely each is to mark toxic tokens.
 
     A feature counts once for a document, and in toxic ones once for each token before
     it at most: the words of a much-copied toxic document always have the same neighbour.
-    It is picked if its log odds and its G statistic are high."""
+    Its belief is the product of two: that it isn't there by chance (one less the false
+    discovery rate at its level, the features that chance alone would bring to that level
+    over those that are there, so that few labels give weak beliefs and many give strong
+    ones) and that a document with it is toxic (``ODDS`` smoothed clean occurrences count
+    like one toxic one). Features with a belief under ``LEAST`` are left out."""
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     key, index = np.unique(h, return_inverse=True)
     pair = np.unique(index.astype(np.int64) * len(toxic) + doc)
     f, d = pair // len(toxic), pair % len(toxic)
     t = np.bincount(f[toxic[d]], minlength=len(key))
     c = np.bincount(f[~toxic[d]], minlength=len(key))
+    share = min(max(float(t.sum()) / max(1, len(pair)), 1e-6), 1 - 1e-6)
     own = toxic[doc]
     _, one = np.unique(mix64(h[own] + mix64(before[own])), return_index=True)
     t = np.minimum(t, np.bincount(index[own][one], minlength=len(key)))
-    odds = np.log((t + 0.5) / (n1 + 1)) - np.log((c + 0.5) / (n0 + 1))
-    share = (t + c) / (n1 + n0)
-    g = t * np.log(np.maximum(t, 1) / np.maximum(share * n1, 1e-9)) + c * np.log(np.maximum(c, 1) / np.maximum(share * n0, 1e-9))
-    return key[(t >= 5) & (odds >= 2.5) & (g >= 18)]
+    n = t + c
+    level = np.ones(len(key))
+    tails = {int(m): _tails(int(m), share) for m in np.unique(n) if m}
+    order = np.argsort(n, kind="stable")
+    bounds = np.searchsorted(n[order], list(tails) + [n.max() + 1]) if len(order) else []
+    for i, (m, tail) in enumerate(tails.items()):
+        some = order[bounds[i] : bounds[i + 1]]
+        level[some] = tail[t[some]]
+    levels, many = np.unique(level, return_counts=True)
+    seen = np.cumsum(many)
+    chance = np.zeros(len(levels))
+    for i, (m, tail) in enumerate(tails.items()):
+        up = tail[::-1]  # ascending
+        at = np.searchsorted(up, levels * (1 + 1e-9), side="right")
+        chance += (bounds[i + 1] - bounds[i]) * np.where(at, up[np.maximum(at - 1, 0)], 0.0)
+    rate = np.minimum.accumulate(np.minimum(1.0, chance / seen)[::-1])[::-1]
+    real = 1 - rate[np.searchsorted(levels, level)]
+    a, b = (t + 0.5) / (n1 + 1), (c + 0.5) / (n0 + 1)
+    belief = real * a / (a + ODDS * b)
+    keep = belief >= LEAST
+    return key[keep], belief[keep]
 
 
 def _fit_logistic(x: np.ndarray, marks: np.ndarray, w: np.ndarray) -> np.ndarray:
-    weight = np.where(marks, 0.5 / max(1, marks.sum()), 0.5 / max(1, (~marks).sum()))
-    for _ in range(800):
+    # Documents count alike: labels hold noise, and a share of toxic documents without
+    # any toxic token must not lift the score of all documents without one.
+    weight = 1 / max(1, len(marks))
+    for _ in range(3000):
         q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         w = w + 2.0 * ((weight * (marks - q)) @ x - 1e-4 * w)
     return w
@@ -192,15 +231,18 @@ def train(texts: list[str], toxic: list[int], epochs: int = 8, rate: float = 0.5
     first = np.searchsorted(doc, np.arange(len(texts) + 1))
     before, found = np.zeros(0, U64), []
     free = np.ones(len(doc), dtype=bool)
+    #: How likely each token is to be toxic, as its features tell.
+    sure = np.zeros(len(doc))
     for kind in range(_KINDS):
         h = np.concatenate([_feature(running(data, BYTE_VALUE_LOWER), s, e, kind) for data, s, e, _, _ in parts]) if parts else before
         if kind == 0:
             before = np.concatenate([h[:1] * U64(0), h[:-1]])
             before[1:][doc[1:] != doc[:-1]] = U64(0)
         # Parts of tokens are judged on the tokens that weren't picked whole.
-        key = _telling(h[free], doc[free], marks, before[free]) if free.any() else h[:0]
+        key, belief = _telling(h[free], doc[free], marks, before[free]) if free.any() and marks.any() else (h[:0], np.zeros(0))
         at = np.flatnonzero(np.isin(h, key) & free)
         found.append((at, h[at], key))
+        sure[at] = np.maximum(sure[at], belief[np.searchsorted(key, h[at])]) if len(at) else sure[at]
         if kind == 0:
             free[at] = False
     del before
@@ -212,7 +254,7 @@ def train(texts: list[str], toxic: list[int], epochs: int = 8, rate: float = 0.5
         active[at, kind] = np.searchsorted(keys, h)
     has = (active >= 0).any(axis=1)
     if len(keys):
-        label = has & marks[doc]
+        label = np.where(has & marks[doc], sure, 0.0)
         # Every block with a picked feature, and as many others.
         start_of = np.concatenate([np.arange(a, b, BLOCK) for a, b in zip(first[:-1], first[1:], strict=True)])
         hot = np.add.reduceat(has, start_of) > 0
@@ -230,15 +272,15 @@ def train(texts: list[str], toxic: list[int], epochs: int = 8, rate: float = 0.5
                 f = active[own]
                 score = field.bias + np.where(f >= 0, field.weights[f], 0.0).sum(axis=2)
                 p, expected = marginals(score, valid, field.moves, pairs=True)
-                y = label[own] & valid
+                y = np.where(valid, label[own], 0.0)
                 error = np.where(valid, y - p, 0.0)
                 hit = (f >= 0) & valid[:, :, None]
                 grad = np.bincount(f[hit], weights=np.repeat(error.reshape(-1), hit.sum(axis=2).reshape(-1)), minlength=len(keys))
                 seen = np.bincount(f[hit], minlength=len(keys))
                 field.weights += scale * (grad / np.sqrt(np.maximum(seen, 1)) - 1e-3 * field.weights)
                 field.bias += scale * float(error.sum()) / valid.sum() ** 0.5 * 0.1
-                last = np.concatenate([np.zeros((len(own), 1), bool), y[:, :-1]], axis=1)
-                observed = np.bincount(last[valid] * 2 + y[valid], minlength=4).reshape(2, 2)
+                last = np.concatenate([np.zeros((len(own), 1)), y[:, :-1]], axis=1)
+                observed = np.array([[((1 - last) * (1 - y))[valid].sum(), ((1 - last) * y)[valid].sum()], [(last * (1 - y))[valid].sum(), (last * y)[valid].sum()]])
                 field.moves += scale * ((observed - expected) / len(own) / BLOCK - 1e-3 * field.moves)
         keep = np.abs(field.weights) >= 1e-3
         score = field.bias + np.where(active >= 0, field.weights[active], 0.0).sum(axis=1)
@@ -251,12 +293,14 @@ def train(texts: list[str], toxic: list[int], epochs: int = 8, rate: float = 0.5
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, usable=None, max_docs: int = MAX_DOCS, id_column: str = "doc_id", text_column: str = "text") -> tuple[list[str], list[int]]:
-    """At most ``max_docs`` labelled texts, a third of them toxic at most, by a hash of the
-    id; ``usable`` is a condition on the id. An id with both labels counts as toxic."""
+    """At most ``max_docs`` labelled texts of ``MAX_TEXT`` bytes at most, a third of them toxic
+    at most, by a hash of the id; ``usable`` is a condition on the id. An id with both labels counts as toxic."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col(id_column).isNotNull())
     known = known.where(usable) if usable is not None else known
     known = known.groupBy(id_column).agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64(F.col(id_column)), F.col(id_column)]
+    fits = docs.where(F.octet_length(F.col(text_column).cast("string")) <= MAX_TEXT).select(id_column).distinct()
+    known = known.join(fits, id_column, "left_semi")
     ids = known.where("toxic = 1").orderBy(*order).limit(max_docs // 3).unionByName(known.where("toxic = 0").orderBy(*order).limit(max_docs - max_docs // 3))
     rows = docs.select(F.col(id_column), F.col(text_column).alias("text")).join(F.broadcast(ids), id_column).select(id_column, "text", "toxic")
     got = rows.toArrow().sort_by([(id_column, "ascending")])
@@ -294,7 +338,11 @@ def score_texts(docs: DataFrame, field: Field, id_column: str = "doc_id", text_c
 
 
 def keep_clean(docs: DataFrame, field: Field, limit: float = LIMIT, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose score is under ``limit``, with all their columns."""
+    """The rows of ``docs`` whose score is under ``limit``, with all their columns.
+
+    Defined cases: null, empty and tokenless texts have the score of no marginals, which
+    a trained field keeps under the limit; repeated rows are judged alike; columns of any
+    name and type are kept; an empty table gives none."""
     at = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

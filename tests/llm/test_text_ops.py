@@ -355,6 +355,71 @@ def test_toxicity_field(spark):
     assert {r.doc_id for r in toxicity.keep_clean(df, field).collect()} == {0, 2, 3}
 
 
+@pytest.mark.parametrize("labels", [5, 20, 200])
+def test_toxicity_learns_from_few_labels(labels):
+    """Recall and false alarms on texts that training hasn't seen; a fifth of the toxic labels is wrong."""
+    rnd = random.Random(labels)
+    sounds = ["an", "the", "ing", "on", "er", "re", "st", "ou", "ea", "nd"]
+    bad = ["zorkling", "blatsch", "gromwitz", "pfuideix"]
+
+    def text(toxic):
+        w = ["".join(rnd.choice(sounds) for _ in range(rnd.randint(1, 4))) for _ in range(120)]
+        for _ in range(5 if toxic else 0):
+            w[rnd.randrange(120)] = rnd.choice(bad)
+        return " ".join(w)
+
+    texts, marks = [], []
+    for i in range(labels * 6):
+        toxic = i < labels
+        texts.append(text(toxic and i % 5 > 0))
+        marks.append(int(toxic))
+    field = toxicity.train(texts, marks)
+
+    def score(some):
+        out = []
+        for _, _, data, offsets in toxicity.steps(toxicity.pa.array(some)):
+            start, end, first = toxicity.words(data, offsets, toxicity.ALNUM)
+            weight, known = field.emissions(data, start, end)
+            x = toxicity._summary(toxicity.token_marginals(field, weight, known, first), first)
+            out += (1 / (1 + np.exp(-x @ field.logistic))).tolist()
+        return np.array(out)
+
+    assert (score([text(True) for _ in range(100)]) >= toxicity.LIMIT).mean() >= 0.8
+    assert (score([text(False) for _ in range(100)]) >= toxicity.LIMIT).mean() <= 0.03
+    none = toxicity.train(texts, [0] * len(texts))
+    assert not len(none.keys)
+
+
+def test_held_out_rows_teach_nothing(spark, tmp_path):
+    """op2 and op3 on a folder whose held-out rows have wrong labels: they must not follow them."""
+    import zlib
+
+    rnd = random.Random(31)
+    rows, labels = [], []
+    for i in range(240):
+        lang, letters = rnd.choice([("xx", "abcde"), ("yy", "fghij")])
+        toxic = i % 4 == 0
+        w = ["".join(rnd.choice(letters) for _ in range(5)) for _ in range(60)]
+        if toxic:
+            w[7] = w[30] = w[50] = rnd.choice(["zorkling", "blatsch"])
+        crc = zlib.crc32(str(i).encode())
+        rows.append((i, " ".join(w), ("yy" if lang == "xx" else "xx") if crc % 3 == 1 else lang, "s", lang, toxic))
+        labels.append((i, 1, int(toxic != (crc % 4 == 2))))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, score string, truth string, bad boolean").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r for r in langid.op2_language_id(spark, str(tmp_path)).collect()}
+    assert len(got) == 240 and all(got[r[0]].held_out == (zlib.crc32(str(r[0]).encode()) % 3 == 1) for r in rows)
+    assert sum(got[r[0]].lang_pred == r[4] for r in rows if got[r[0]].held_out) >= 0.95 * sum(g.held_out for g in got.values())
+    got = {r.doc_id: r for r in toxicity.op3_toxicity(spark, str(tmp_path)).collect()}
+    assert len(got) == 240 and all(got[r[0]].held_out == (zlib.crc32(str(r[0]).encode()) % 4 == 2) for r in rows)
+    held = [r for r in rows if got[r[0]].held_out]
+    assert sum(got[r[0]].predicted == int(r[5]) for r in held) >= 0.95 * len(held)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string, truth string, bad boolean")
+    field = toxicity.train(*toxicity.training_rows(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int").limit(0)))
+    odd = docs.limit(3).union(docs.limit(3))
+    assert toxicity.keep_clean(odd, field).count() == 6 and toxicity.keep_clean(docs.limit(0), field).columns == docs.columns
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(0)
     score, moves = rng.normal(size=(1, 6)), rng.normal(size=(2, 2))

@@ -450,7 +450,12 @@ def test_vectors(spark):
         vecdedup.BLOCK = block
         got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vecdedup.near_vectors(df).collect()}
         assert got == {i: (n[i], want[i], want[i] == i) for i in n}
-    vecdedup.BLOCK = 512
+    vecdedup.BLOCK = 2048
+    named = df.withColumn("label", F.concat(F.lit("L"), F.col("label"))).withColumn("embedding", F.col("embedding").cast("array<float>")).withColumn("rep", F.lit(1)).withColumn("codes", F.lit(2))
+    bucket, vecdedup.BUCKET = vecdedup.BUCKET, 8
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vecdedup.near_vectors(named).collect()}
+    vecdedup.BUCKET = bucket
+    assert got == {i: (n[i], want[i]) for i in n}
     assert vecdedup.near_vectors(df.limit(0)).count() == 0
 
 

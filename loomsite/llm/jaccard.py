@@ -36,6 +36,8 @@ from loomsite.llm.hashing import BYTE_VALUE_LOWER, U64, list_array, mix64, shing
 
 #: Ratio of the bounds of a size band.
 BAND_RATIO = 1.25
+#: Documents of a block of a tile in which several components are left.
+TILE_BLOCK = 256
 #: Ids of documents, 8 bytes each, up to which they are broadcast to pick texts.
 BROADCAST_IDS = 200_000
 
@@ -232,38 +234,46 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_column
     texts = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).cast("string").alias("text"))
     full = materialize(texts.mapInArrow(_sketches(k), "doc long, n long, d1 long, d2 long, bits array<long>"), "jaccard-sketch")
     some = full.where("doc is not null and n > 0")
-    equal = some.groupBy("d1", "d2", "n").agg(F.min("doc").alias("rep"))
-    member = materialize(some.join(equal, ["d1", "d2", "n"]).select("doc", "rep").distinct(), "jaccard-reps")
-    sketch = some.join(member.where("doc = rep").select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc", "d1", "d2"]).select("doc", "n", "bits")
-
-    tiles = texts.where("doc is not null").mapInArrow(_tile_rows(k, percent), "tile long, doc long")
+    # Copies of one set stand for the smallest id among them. Only sets that several
+    # documents have are joined back, and a set of very many copies is one row of these.
+    equal = materialize(some.groupBy("d1", "d2", "n").agg(F.min("doc").alias("rep"), F.max("doc").alias("last")).where("rep < last").drop("last"), "jaccard-equal")
+    if equal.count() <= BROADCAST_IDS:
+        equal = F.broadcast(equal)
+    copies = materialize(some.select("doc", "d1", "d2", "n").join(equal, ["d1", "d2", "n"]).where("doc <> rep").select("doc", "rep").distinct(), "jaccard-copies")
+    # A repeated id may have a text of its own beside a copy: it stays, linked by hand.
+    own = some.join(equal, ["d1", "d2", "n"], "left").where("rep is null or rep = doc").select("doc").distinct()
+    both = copies.join(own, "doc", "left_semi")
+    gone = materialize(copies.join(own, "doc", "left_anti").select("doc").distinct(), "jaccard-gone")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    sketch = some.join(gone, "doc", "left_anti").dropDuplicates(["doc", "d1", "d2"]).select("doc", "n", "bits")
+
+    tiles = texts.where("doc is not null").join(gone, "doc", "left_anti").mapInArrow(_tile_rows(k, percent), "tile long, doc long")
     tile = Window.partitionBy("tile")
     tiles = tiles.withColumn("low", F.min("doc").over(tile)).withColumn("high", F.max("doc").over(tile)).where("low < high")
     tiles = materialize(tiles.select("tile", "doc", "low"), "jaccard-tiles")
 
-    # Copies stand for their representative from here on.
-    other = member.where("doc <> rep")
-    star = tiles.where("doc <> low").select("doc", "low").distinct()
-    star = star.join(other, "doc", "left").select(F.coalesce("rep", "doc").alias("doc"), "low")
-    star = star.join(other.select(F.col("doc").alias("low"), F.col("rep").alias("low_rep")), "low", "left").select(F.coalesce("low_rep", "low").alias("low"), "doc")
-    star = star.where("doc <> low").select(F.least("doc", "low").alias("a"), F.greatest("doc", "low").alias("b")).distinct()
-    links = _verified(_bounded(star, sketch, percent), texts, k, percent)
+    star = tiles.where("doc <> low").select(F.col("low").alias("a"), F.col("doc").alias("b")).distinct()
+    links = _verified(_bounded(star, sketch, percent), texts, k, percent).unionByName(both.select(F.least("doc", "rep").alias("a"), F.greatest("doc", "rep").alias("b")))
+    links = materialize(links, "jaccard-links")
     found = materialize(connected_components(links), "jaccard-components")
 
-    left = tiles.select("tile", "doc").join(other, "doc", "left").select("tile", F.coalesce("rep", "doc").alias("doc"))
-    left = left.join(found.withColumnRenamed("id", "doc"), "doc", "left").select("tile", "doc", F.coalesce("component", "doc").alias("component"))
-    mixed = left.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("tile")
-    mixed = left.join(mixed, "tile", "left_semi").distinct().join(sketch, "doc")
-    mixed = materialize(mixed, "jaccard-mixed")
-    a = mixed.select("tile", F.col("doc").alias("a"), F.col("component").alias("ac"), F.col("n").alias("an"), F.col("bits").alias("abits"))
-    b = mixed.select("tile", F.col("doc").alias("b"), F.col("component").alias("bc"), F.col("n").alias("bn"), F.col("bits").alias("bbits"))
-    across = a.join(b, (a["tile"] == b["tile"]) & (a["a"] < b["b"]) & (a["ac"] != b["bc"]) & _may_link(percent)).select("a", "b").distinct()
+    left = tiles.select("tile", "doc").join(found.withColumnRenamed("id", "doc"), "doc", "left").select("tile", "doc", F.coalesce("component", "doc").alias("component"))
+    mixed = left.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi")
+    # A large tile is many tasks: each pair of blocks of its documents is one key.
+    blocks = F.ceil(F.col("size") / TILE_BLOCK).cast("int")
+    mixed = left.distinct().join(mixed.select("tile", blocks.alias("blocks")), "tile").join(sketch, "doc")
+    mixed = mixed.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    mixed = materialize(mixed.select("tile", "doc", "component", "n", "bits", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block"), "jaccard-mixed")
+    a, b = (mixed.select("tile", "i", "j", F.col("block").alias(f"{x}k"), F.col("doc").alias(x), F.col("component").alias(f"{x}c"), F.col("n").alias(f"{x}n"), F.col("bits").alias(f"{x}bits")) for x in ("a", "b"))
+    apart = (F.col("i") == F.col("j")) | (F.col("ak") != F.col("bk"))
+    across = a.join(b, ["tile", "i", "j"]).where((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & apart & _may_link(percent)).select("a", "b").distinct()
     more = _verified(across, texts, k, percent)
     if not more.isEmpty():
         found = materialize(connected_components(links.unionByName(more)), "jaccard-components")
 
-    of = member.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("doc", F.coalesce("component", "rep").alias("component"))
-    of = of.groupBy("doc").agg(F.min("component").alias("component"))
+    of = copies.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("doc", F.coalesce("component", "rep").alias("component"))
+    of = of.unionByName(found.select(F.col("id").alias("doc"), "component")).groupBy("doc").agg(F.min("component").alias("component"))
     return full.select("doc", "n").join(of, "doc", "left").select(
         F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")
     )

@@ -63,6 +63,9 @@ def test_jaccard_join(docs, k, percent):
     want = components(rows, links)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs, k, percent).collect()}
     assert got == {i: (len(sets[i]), want[i]) for i in rows}
+    block, jaccard.TILE_BLOCK = jaccard.TILE_BLOCK, 3
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.jaccard_components(docs, k, percent).collect()} == got
+    jaccard.TILE_BLOCK = block
     kept = {r.doc_id for r in jaccard.keep_one(docs, k, percent).collect()}
     assert kept == {i for i in rows if want[i] == i}
 
@@ -72,6 +75,11 @@ def test_jaccard_of_empty_tables_and_null_ids(spark):
     assert jaccard.jaccard_components(none).count() == 0
     odd = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
     assert sorted((str(r.doc_id), str(r.component_id)) for r in jaccard.jaccard_components(odd).collect()) == [("1", "1"), ("1", "1"), ("2", "1"), ("None", "None")]
+    # Document 5 has a copy of 1's text and a text near 7's: all three are one group.
+    long = [f"w{i}" for i in range(40)]
+    rows = [(1, "a b c d e f"), (5, "a b c d e f"), (5, " ".join(long)), (7, " ".join(long[:-1])), (8, "x")]
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 5: 1, 7: 1, 8: 8}
 
 
 @pytest.mark.parametrize("k,m", [(20, 8), (4, 2)])

@@ -156,15 +156,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80,
     held = materialize(held.select("doc", "n", "start", "n_words", grams.alias("wh")).distinct().withColumn("f", fingerprint("wh")), "bench-prints")
 
     prints = materialize(items.withColumn("g", fingerprint("ih")), "bench-item-prints")
+    # An item's neighbours are many rows of few bytes: they are dealt, never broadcast.
     near_blocks = F.explode(F.array(*[F.lit(m) for m in block_masks(radius // BLOCKS)]))
-    right = prints.select("item", "n", "g", F.explode(_blocks("g")).alias("b")).select("item", "n", "g", "b.nr", "b.part", near_blocks.alias("m"))
-    right = right.select("item", "n", "g", "nr", F.col("part").bitwiseXOR(F.col("m")).alias("part"))
-    left = held.select("doc", "n", "start", "n_words", "f", F.explode(_blocks("f")).alias("b")).select("doc", "n", "start", "n_words", "f", "b.nr", "b.part")
-    near = left.join(right, ["n", "nr", "part"]).where(differing_bits(F.col("f"), F.col("g")) <= radius)
-    near = near.select("doc", "n", "start", "n_words", "item").distinct()
+    right = prints.select("item", "n", F.explode(_blocks("g")).alias("b")).select("item", "n", "b.nr", "b.part", near_blocks.alias("m"))
+    right = right.select("item", "n", "nr", F.col("part").bitwiseXOR(F.col("m")).alias("part"))
+    at = ["doc", "n", "start", "n_words"]
+    left = held.select(*at, F.explode(_blocks("f")).alias("b")).select(*at, "b.nr", "b.part")
+    near = left.join(right.hint("shuffle_hash"), ["n", "nr", "part"]).select(*at, "item").distinct()
+    near = near.join(held.select(*at, "f"), at).join(prints.select("item", "n", "g"), ["item", "n"]).where(differing_bits(F.col("f"), F.col("g")) <= radius)
+    near = near.select(*at, "item")
     if exact:
-        near = near.unionByName(held.join(share.select("doc", "n", "item"), ["doc", "n"]).select("doc", "n", "start", "n_words", "item")).distinct()
-    near = near.join(held.select("doc", "n", "start", "n_words", "wh"), ["doc", "n", "start", "n_words"]).join(items.select("item", "n", "ih"), ["item", "n"])
+        near = near.unionByName(held.join(share.select("doc", "n", "item"), ["doc", "n"]).select(*at, "item")).distinct()
+    near = near.join(held.select(*at, "wh"), at).join(items.select("item", "n", "ih"), ["item", "n"])
     good = _similar(near, percent)
     best = good.groupBy("doc", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("before"), "n_words")).alias("m"))
     return best.select(F.col("doc").alias(id_column), F.col("item").alias(item_column), (-F.col("m.before")).alias("start"), F.col("m.n_words").alias("n_words"), F.col("m.similarity").alias("similarity"))

@@ -97,7 +97,7 @@ def multihit_salvage(spark, d):
 
 
 @register("multihit_components", _PER_READ + """
-, m AS (SELECT DISTINCT p.trial, p.subject, p.sample, p.replicate, p.readID, posid, randomLinkerSeq FROM p JOIN n USING (trial, subject, sample, replicate, readID) WHERE positions > 1 AND p.subject = 'S0'),
+, m AS (SELECT DISTINCT p.trial, p.subject, p.sample, p.replicate, p.readID, posid, randomLinkerSeq FROM p JOIN n USING (trial, subject, sample, replicate, readID) WHERE positions > 1),
 e AS (SELECT DISTINCT a.trial, a.subject, a.sample, a.posid AS a, b.posid AS b FROM m a JOIN m b USING (trial, subject, sample, replicate, readID)),
 reach(trial, subject, sample, node, root) AS (SELECT DISTINCT trial, subject, sample, posid, posid FROM m
   UNION SELECT reach.trial, reach.subject, reach.sample, e.b, reach.root FROM reach JOIN e ON e.trial = reach.trial AND e.subject = reach.subject AND e.sample = reach.sample AND e.a = reach.node WHERE reach.root < e.b),
@@ -202,10 +202,14 @@ def demultiplex_assign(spark, d):
 
 
 @register("demultiplex_counts", """
-SELECT s.uniqueSample, (SELECT count(*) FROM fx_reads r WHERE r.index1Seq = s.index1Seq) AS index1,
-  (SELECT count(*) FROM fx_reads r WHERE substr(r.adriftReadSeq, 1, 20) = substr(s.adriftReadLinkerSeq, 1, 20)) AS linker,
-  (SELECT count(*) FROM fx_reads r WHERE r.index1Seq = s.index1Seq AND substr(r.adriftReadSeq, 1, 20) = substr(s.adriftReadLinkerSeq, 1, 20)) AS "both"
-FROM fx_samples s""", "fx_reads", "fx_samples")
+, i AS (SELECT s.uniqueSample, c, code FROM (SELECT DISTINCT index1Seq AS c FROM fx_reads) JOIN (SELECT uniqueSample, index1Seq, substr(adriftReadLinkerSeq, 1, 20) AS code FROM fx_samples) s ON hamming(c, s.index1Seq) <= 1),
+l AS (SELECT s.uniqueSample, c FROM (SELECT DISTINCT substr(adriftReadSeq, 1, 20) AS c FROM fx_reads) JOIN (SELECT uniqueSample, substr(adriftReadLinkerSeq, 1, 20) AS code FROM fx_samples) s ON hamming(c, code) <= 1),
+a AS (SELECT i.uniqueSample, count(*) AS index1 FROM fx_reads JOIN i ON c = index1Seq GROUP BY ALL),
+b AS (SELECT l.uniqueSample, count(*) AS linker FROM fx_reads JOIN l ON c = substr(adriftReadSeq, 1, 20) GROUP BY ALL),
+c AS (SELECT i.uniqueSample, count(*) AS "both" FROM fx_reads r JOIN i ON c = index1Seq JOIN l ON l.uniqueSample = i.uniqueSample AND l.c = substr(adriftReadSeq, 1, 20) GROUP BY ALL),
+t AS (SELECT count(*) AS total FROM fx_reads WHERE NOT EXISTS (SELECT 1 FROM range(1, 4) g(i) WHERE hamming(substr(index1Seq, i, 10), 'GGGGGGGGGG') <= 1))
+SELECT uniqueSample, coalesce(index1, 0) AS index1, coalesce(linker, 0) AS linker, coalesce("both", 0) AS "both", 100.0 * coalesce(index1, 0) / total AS index1Percent, 100.0 * coalesce(linker, 0) / total AS linkerPercent, 100.0 * coalesce("both", 0) / total AS bothPercent
+FROM fx_samples LEFT JOIN a USING (uniqueSample) LEFT JOIN b USING (uniqueSample) LEFT JOIN c USING (uniqueSample), t""", "fx_reads", "fx_samples")
 def demultiplex_counts(spark, d):
     return demux.sample_counts(view(spark, d, "fx_reads"), view(spark, d, "fx_samples"))
 
@@ -243,7 +247,17 @@ def start_sequences(spark, d):
     return demux.start_sequences(view(spark, d, "fx_reads"))
 
 
-@register("golay_correct")
+_CHECKS = ", ".join(str(x) for x in tags.golay_checks())
+
+
+@register("golay_correct", f"""
+, b(x) AS (SELECT unnest(range(0, 24))),
+e AS (SELECT 0 AS error UNION SELECT 1 << x FROM b UNION SELECT (1 << p.x) | (1 << q.x) FROM b p JOIN b q ON p.x < q.x UNION SELECT (1 << p.x) | (1 << q.x) | (1 << r.x) FROM b p JOIN b q ON p.x < q.x JOIN b r ON q.x < r.x),
+lut AS (SELECT error, [bit_count(error & m) % 2 FOR m IN [{_CHECKS}]] AS syndrome FROM e),
+w AS (SELECT DISTINCT index1Seq, list_sum([CASE c WHEN 'A' THEN 3 WHEN 'N' THEN 3 WHEN 'C' THEN 0 WHEN 'T' THEN 2 ELSE 1 END * (1 << (24 - 2 * i)) FOR c, i IN string_split(index1Seq, '')])::BIGINT AS word FROM fx_reads),
+f AS (SELECT index1Seq, xor(word, error) AS good, bit_count(error) AS n FROM w JOIN lut ON syndrome = [bit_count(word & m) % 2 FOR m IN [{_CHECKS}]]),
+g AS (SELECT index1Seq, n, array_to_string([substr('CGTA', CAST((good >> (22 - 2 * i)) & 3 AS INTEGER) + 1, 1) FOR i IN range(0, 12)], '') AS decoded FROM f)
+SELECT readID, r.index1Seq, coalesce(decoded, r.index1Seq) AS corrected, CAST(n AS INTEGER) AS bitErrors FROM fx_reads r LEFT JOIN g USING (index1Seq)""", "fx_reads")
 def golay_correct(spark, d):
     return tags.correct_barcodes(view(spark, d, "fx_reads")).select("readID", "index1Seq", "corrected", "bitErrors")
 
@@ -459,23 +473,6 @@ def leader_clusters(spark, d):
     return cluster(view(spark, d, "fx_fragments"), ["trial", "subject"], "leaderSeq", identity=0.85)
 
 
-@register("rarefaction_stats")
-def rarefaction_stats(spark, d):
-    from loomsite.operators import sequences
-
-    reads = view(spark, d, "fx_reads").select("uniqueSample", "readID", F.col("anchorReadSeq").alias("seq"))
-    rows = sequences.rarefy(reads, ["uniqueSample"], (0, 50), (1, 2), (50,), "seq")
-    return sequences.structure_stats(rows, ["uniqueSample"], "seq", reads.where("readID like 'r1%'").select(F.col("seq").alias("expected")))
-
-
-@register("sites_from_fragments")
-def sites_from_fragments(spark, d):
-    from loomsite.plans import stages
-
-    std = stages.build_std_fragments(view(spark, d, "fx_fragments"))
-    return stages.build_sites(std["reads"])["sites"]
-
-
 @register("fragment_geometry", _AT + "SELECT readID, chromosome, strand, fragStart, fragEnd, position, brk AS \"break\", concat(chromosome, strand, position) AS posid, fragEnd - fragStart + 1 AS width FROM fa", "fx_fragments")
 def fragment_geometry(spark, d):
     at = fragments.with_position(view(spark, d, "fx_fragments"))
@@ -642,14 +639,6 @@ def lost_tag_removal(spark, d):
     return tags.drop_lost_tags(f, tags.resolve_tag_conflicts(f))
 
 
-@register("mate_salvage")
-def mate_salvage(spark, d):
-    anchor, adrift = _mates(spark, d)
-    _, _, many = fragments.cap_placements(anchor, adrift, most=2)
-    few, near = fragments.salvage_mates(anchor.join(many, "readID", "left_semi"), adrift, many, per_read=2)
-    return fragments.pair_mates(few, near)
-
-
 @register("peak_positions")
 def peak_positions(spark, d):
     from loomsite.operators.standardize import peak_positions as run
@@ -658,26 +647,4 @@ def peak_positions(spark, d):
     return run(w, ["trial", "subject", "chromosome", "strand"], "position")
 
 
-@register("adapter_trim")
-def adapter_trim(spark, d):
-    from loomsite.operators.sequences import trim_reads
-
-    reads = view(spark, d, "fx_reads").select("readID", "anchorReadSeq", dna.trim_sequence(F.substring("anchorReadSeq", 40, 20)).alias("adapter"))
-    return trim_reads(reads.withColumn("adapter", dna.reverse_complement("adapter")), "anchorReadSeq", "adapter")
-
-
-@register("read_alignment")
-def read_alignment(spark, d):
-    from loomsite.operators.sequences import align
-
-    reads = view(spark, d, "fx_reads")
-    vectors = reads.where("readID like 'r1\\_%'").select(F.md5("anchorReadSeq").alias("tName"), F.col("anchorReadSeq").alias("tSeq")).distinct()
-    return align(reads.select(F.substring("anchorReadSeq", 10, 40).alias("seq")), vectors)
-
-
-@register("pair_merge")
-def pair_merge(spark, d):
-    from loomsite.operators.sequences import merge_reads
-
-    reads = view(spark, d, "fx_reads").select("readID", F.substring("anchorReadSeq", 1, 60).alias("anchorReadSeq"), dna.reverse_complement(F.substring("anchorReadSeq", 40, 45)).alias("adriftReadSeq"))
-    return merge_reads(reads)
+from loomsite import catalog_formats, catalog_stages  # noqa: E402, F401 (they register more queries)

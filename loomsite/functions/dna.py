@@ -170,3 +170,18 @@ def match_report(marks: Column | str, half: int) -> Column:
     """``<n>nt | <m>`` of a match string of * and -: matches in all and in its right half."""
     m = _c(marks)
     return F.concat(F.regexp_count(m, F.lit(r"\*")).cast("string"), F.lit("nt | "), F.regexp_count(F.right(m, F.lit(half)), F.lit(r"\*")).cast("string"))
+
+
+def expand(start: Column | str, end: Column | str, by: int) -> tuple[Column, Column]:
+    """A range widened by ``by`` bases at both ends, from 1 on."""
+    return F.greatest(_c(start) - by, F.lit(1)), _c(end) + by
+
+
+def percent_text(share: Column | str) -> Column:
+    """A percentage as text with two decimals."""
+    return F.concat(F.format_string("%.2f", _c(share)), F.lit("%"))
+
+
+def thousands(n: Column | str) -> Column:
+    """A count as text with a comma before every third digit."""
+    return F.format_number(_c(n), 0)

@@ -48,7 +48,8 @@ def both_mates(anchor: DataFrame, adrift: DataFrame) -> tuple[DataFrame, DataFra
 
 
 def extend_leader(alignments: DataFrame) -> DataFrame:
-    """The unaligned start of an anchor read belongs to its leader sequence."""
+    """The unaligned start of an anchor read belongs to its leader sequence.
+    ``alignments (leaderSeq, anchorReadSeq, qStart)``."""
     return alignments.withColumn("leaderSeq", F.concat("leaderSeq", F.expr("substring(anchorReadSeq, 1, qStart)")))
 
 
@@ -72,13 +73,14 @@ def earliest_hits(hits: DataFrame, max_start: int = 5) -> DataFrame:
 
 
 def accept_models(hits: DataFrame, max_start: int = 5, min_score: float = 20, end_radius: int | None = 2, model_length: str = "hmmLength") -> DataFrame:
-    """Profile hits that start early, score enough and, unless ``end_radius`` is None, end
-    near the profile's end; the best per read (score, then the earlier start)."""
+    """The best profile hit of each read (score, then the earlier start), if it starts
+    early, scores enough and, unless ``end_radius`` is None, ends near the profile's end:
+    a read whose best hit fails has none."""
     ok = (F.col("targetStart") <= max_start) & (F.col("fullScore") >= min_score)
     if end_radius is not None:
         ok &= F.col(model_length) - F.col("hmmEnd") <= end_radius
     order = Window.partitionBy("targetName").orderBy(F.desc("fullScore"), "targetStart", "targetEnd")
-    return hits.where(ok).withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    return hits.withColumn("__n", F.row_number().over(order)).where("__n = 1").where(ok).drop("__n")
 
 
 def snap_to_terminal(df: DataFrame, seq: str, end: str, terminal: str = "CA", radius: int = 2) -> DataFrame:
@@ -108,3 +110,8 @@ def drop_vector_reads(reads: DataFrame, hits: DataFrame, seq: str = "adriftReadS
     """Reads whose sequence has no accepted hit: hits are found on distinct sequences and
     concern all reads that share one."""
     return reads.join(hits.select(F.col("qname").alias(seq)).distinct(), seq, "left_anti")
+
+
+def with_leader_maps(reads: DataFrame, maps: DataFrame) -> DataFrame:
+    """The reads that ``maps (readID, ...)`` knows, with its columns; one map for a read."""
+    return reads.join(maps.select("readID").distinct(), "readID", "left_semi").join(maps.dropDuplicates(["readID"]), "readID", "left")

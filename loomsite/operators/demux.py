@@ -20,32 +20,57 @@ def _neighbours(seq: Column) -> Column:
     return F.array_distinct(F.concat(F.array(seq), F.flatten(one)))
 
 
+def linker_code(column: str = "adriftReadLinkerSeq") -> Column:
+    """A linker's barcode: what stands before its run of N."""
+    return F.expr(f"substring({column}, 1, greatest(instr({column}, 'N') - 1, 0))")
+
+
+def _pieces(seq: Column, n: int) -> Column:
+    """A sequence cut into ``n`` pieces of nearly equal length, as (number, length, piece)."""
+    size = F.length(seq)
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(i.alias("nr"), size.alias("size"), F.substr(seq, F.floor(i * size / n).cast("int") + 1, (F.floor((i + 1) * size / n) - F.floor(i * size / n)).cast("int")).alias("piece")))
+
+
+def near_codes(found: DataFrame, known: DataFrame, most: int) -> DataFrame:
+    """``found (c)`` and ``known (..., c)`` -> each distinct ``c`` found with the columns of
+    the known codes of its length with ``most`` mismatches at most.
+
+    Up to one mismatch the join is on the known codes' neighbours; beyond, codes with k
+    mismatches agree in one of k + 1 pieces, and pieces are joined. Both are hash joins."""
+    own = found.select("c").distinct().where("c is not null")
+    others = [x for x in known.columns if x != "c"]
+    if most <= 1:
+        near = F.explode(_neighbours(F.col("c")) if most else F.array("c"))
+        return own.join(known.where("c <> ''").select(*others, near.alias("c")), "c").distinct()
+    a = own.select("c", F.explode(_pieces(F.col("c"), most + 1)).alias("p")).select("c", "p.*")
+    b = known.where("c <> ''").select(*others, F.col("c").alias("__known"), F.explode(_pieces(F.col("c"), most + 1)).alias("p")).select(*others, "__known", "p.*")
+    return a.join(b, ["nr", "size", "piece"]).where(mismatches("c", "__known") <= most).select("c", *others).distinct()
+
+
 def assign(reads: DataFrame, samples: DataFrame, index_mismatches: int = 1, linker_mismatches: int | None = 1, start_mismatches: int = 1) -> DataFrame:
     """Reads with the ``uniqueSample`` whose barcode theirs is, with mismatches; a read
     that fits several samples comes out for each.
 
     ``samples`` has ``uniqueSample, index1Seq, adriftReadLinkerSeq`` and may have
     ``anchorReadStartSeq``; with ``linker_mismatches`` the linker's barcode must begin the
-    adrift read too. For up to one mismatch of the index the join is on the sample's
-    neighbouring barcodes, hashed; for more it compares them in the condition.
+    adrift read too. For up to one mismatch of the index reads meet the sample's
+    neighbouring barcodes, else the distinct barcodes of reads are matched piece by piece.
     """
-    end, _, _ = linker_ranges("adriftReadLinkerSeq")
-    sheet = samples.withColumn("__code", F.expr("substring(adriftReadLinkerSeq, 1, greatest(instr(adriftReadLinkerSeq, 'N') - 1, 0))"))
-    sheet = sheet.select(F.col("uniqueSample"), F.col("index1Seq").alias("__index"), "__code", *(["anchorReadStartSeq"] if "anchorReadStartSeq" in samples.columns else []))
-    small = sheet.count() <= SHEET_ROWS
+    sheet = samples.select("uniqueSample", F.col("index1Seq").alias("c"), linker_code().alias("__code"), *(["anchorReadStartSeq"] if "anchorReadStartSeq" in samples.columns else []))
     r = reads.drop("uniqueSample")
     if index_mismatches <= 1:
-        near = F.explode(_neighbours(F.col("__index")) if index_mismatches else F.array("__index"))
-        sheet = sheet.withColumn("__near", near)
-        out = r.join(F.broadcast(sheet) if small else sheet, F.col("index1Seq") == F.col("__near")).drop("__near")
+        near = F.explode(_neighbours(F.col("c")) if index_mismatches else F.array("c"))
+        sheet = sheet.withColumn("c", near)
+        small = samples.count() <= SHEET_ROWS
     else:
-        out = r.join(F.broadcast(sheet) if small else sheet, mismatches("index1Seq", "__index") <= index_mismatches)
+        sheet, small = near_codes(r.select(F.col("index1Seq").alias("c")), sheet, index_mismatches), False
+    out = r.join(F.broadcast(sheet) if small else sheet, F.col("index1Seq") == F.col("c")).drop("c")
     if linker_mismatches is not None:
         out = out.where((F.length("__code") == 0) | (mismatches(F.expr("substring(adriftReadSeq, 1, length(__code))"), F.col("__code")) <= linker_mismatches))
     if "anchorReadStartSeq" in samples.columns:
         begins = mismatches(F.expr("substring(anchorReadSeq, 1, length(anchorReadStartSeq))"), F.col("anchorReadStartSeq")) <= start_mismatches
         out = out.where(F.col("anchorReadStartSeq").isNull() | begins).drop("anchorReadStartSeq")
-    return out.drop("__index", "__code").select("uniqueSample", *r.columns)
+    return out.drop("__code").select("uniqueSample", *r.columns)
 
 
 def is_poly_g(seq: Column | str) -> Column:
@@ -69,17 +94,26 @@ def orientation_vote(reads: DataFrame, samples: DataFrame, column: str = "index1
     return sums.withColumn("useReverse", F.col("reversed") >= F.col("asIs"))
 
 
-def sample_counts(reads: DataFrame, samples: DataFrame) -> DataFrame:
-    """For each sample: reads that fit its index, its linker barcode, and both."""
-    code = samples.select("uniqueSample", F.col("index1Seq").alias("__index"), F.expr("substring(adriftReadLinkerSeq, 1, greatest(instr(adriftReadLinkerSeq, 'N') - 1, 0))").alias("__code"))
-    pair = reads.select("index1Seq", F.expr("substring(adriftReadSeq, 1, 20)").alias("start")).groupBy("index1Seq", "start").agg(F.count(F.lit(1)).alias("n"))
-    by_index = pair.join(code.select("uniqueSample", "__index"), F.col("index1Seq") == F.col("__index")).groupBy("uniqueSample").agg(F.sum("n").alias("index1"))
-    by_code = pair.join(code.select("uniqueSample", "__code"), F.col("start") == F.col("__code")).groupBy("uniqueSample").agg(F.sum("n").alias("linker"))
-    by_both = pair.join(code, (F.col("index1Seq") == F.col("__index")) & (F.col("start") == F.col("__code"))).groupBy("uniqueSample").agg(F.sum("n").alias("both"))
-    out = samples.select("uniqueSample").distinct()
-    for part in (by_index, by_code, by_both):
-        out = out.join(part, "uniqueSample", "left")
-    return out.select("uniqueSample", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("index1", "linker", "both")])
+def sample_counts(reads: DataFrame, samples: DataFrame, index_mismatches: int = 1, linker_mismatches: int = 1) -> DataFrame:
+    """For each sample: reads that fit its index, its linker barcode, and both, within the
+    mismatches, and each as a percentage of the reads whose index isn't (nearly) only G."""
+    sheet = samples.select("uniqueSample", F.col("index1Seq").alias("__index"), linker_code().alias("__code"))
+    sizes = [r[0] for r in sheet.select(F.length("__code")).distinct().collect()]  # lengths of linker barcodes
+    codes = F.expr("transform(array(" + ", ".join(str(int(n)) for n in sizes) + "), n -> substring(adriftReadSeq, 1, n))") if sizes else F.array().cast("array<string>")
+    total = reads.where(~is_poly_g("index1Seq")).agg(F.count(F.lit(1)).alias("total"))
+    pair = reads.groupBy("index1Seq", codes.alias("codes")).agg(F.count(F.lit(1)).alias("n"))
+    # Distinct index and linker starts first: their near samples are found once each.
+    index = near_codes(pair.select(F.col("index1Seq").alias("c")), sheet.select("uniqueSample", F.col("__index").alias("c")), index_mismatches)
+    starts = pair.select(F.explode("codes").alias("c"))
+    linker = near_codes(starts, sheet.select("uniqueSample", F.col("__code").alias("c")), linker_mismatches)
+    by_index = pair.join(index, pair["index1Seq"] == index["c"]).select("uniqueSample", "index1Seq", "codes", "n")
+    by_code = pair.withColumn("c", F.explode("codes")).join(linker, "c").select("uniqueSample", "index1Seq", "codes", "n")
+    both = by_index.join(by_code.select("uniqueSample", "index1Seq", "codes"), ["uniqueSample", "index1Seq", "codes"], "left_semi")
+    out = samples.select("uniqueSample").distinct().join(total)
+    for name, part in (("index1", by_index), ("linker", by_code), ("both", both)):
+        out = out.join(part.groupBy("uniqueSample").agg(F.sum("n").alias(name)), "uniqueSample", "left").fillna(0, [name])
+    shares = [(100.0 * F.col(c) / F.col("total")).alias(f"{c}Percent") for c in ("index1", "linker", "both")]
+    return out.select("uniqueSample", "index1", "linker", "both", *shares)
 
 
 def post_tag_linker(reads: DataFrame, samples: DataFrame, max_mismatches: int = 2) -> DataFrame:
@@ -167,3 +201,13 @@ def with_tags(reads: DataFrame, samples: DataFrame) -> DataFrame:
 def missing_samples(reads: DataFrame, samples: DataFrame) -> DataFrame:
     """Samples of the sheet without reads."""
     return samples.select("uniqueSample").distinct().join(reads.select("uniqueSample").distinct(), "uniqueSample", "left_anti")
+
+
+def remove_linker(reads: DataFrame) -> DataFrame:
+    """Adrift reads without what comes before ``adriftLinkerSeqEnd``."""
+    return reads.withColumn("adriftReadSeq", F.expr("substring(adriftReadSeq, adriftLinkerSeqEnd + 1)"))
+
+
+def with_sample_columns(reads: DataFrame, samples: DataFrame, columns: tuple[str, ...] = ("refGenome", "vectorFastaFile", "flags")) -> DataFrame:
+    """Adds to reads what the sample sheet says of their sample."""
+    return reads.join(samples.select("uniqueSample", *[c for c in columns if c in samples.columns]), "uniqueSample", "left")

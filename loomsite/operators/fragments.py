@@ -48,7 +48,7 @@ def cap_placements(anchor: DataFrame, adrift: DataFrame, most: int = 1500) -> tu
 def salvage_mates(anchor: DataFrame, adrift: DataFrame, reads: DataFrame, per_read: int = 500, reach: int = 100_000, seed: int = 1) -> tuple[DataFrame, DataFrame]:
     """For reads with too many placements: ``per_read`` anchor placements each, chosen by a
     hash, and the adrift placements on the opposite strand within ``reach`` of one."""
-    order = Window.partitionBy("readID").orderBy(F.xxhash64("readID", "tName", "strand", "tStart", F.lit(seed)), "tName", "strand", "tStart")
+    order = Window.partitionBy("readID").orderBy(F.md5(F.concat_ws("~", "readID", "tName", "strand", F.col("tStart").cast("string"), F.lit(str(seed)))), "tName", "strand", "tStart")
     few = anchor.join(reads.select("readID"), "readID", "left_semi").withColumn("__n", F.row_number().over(order)).where(f"__n <= {per_read}").drop("__n")
     plus = F.col("strand") == "+"
     span = few.select("readID", "tName", F.col("strand").alias("__s"), F.when(plus, F.col("tStart")).otherwise(F.col("tEnd") - reach).alias("__lo"), F.when(plus, F.col("tStart") + reach).otherwise(F.col("tEnd")).alias("__hi"))
@@ -106,6 +106,10 @@ def summarize_sites(fragments: DataFrame, sum_replicates: bool = False) -> DataF
     the sample, or with ``sum_replicates`` the sum over its replicates), reads, replicates
     and the share of the sample's sonic lengths in percent."""
     f = with_position(fragments).withColumn("posid", posid("chromosome", "strand", "position")).withColumn("width", F.col("fragEnd") - F.col("fragStart") + 1)
+    return _summary(f, sum_replicates)
+
+
+def _summary(f: DataFrame, sum_replicates: bool) -> DataFrame:
     by = [*SAMPLE, "posid"]
     sites = f.groupBy(*by).agg(
         F.count_distinct("randomLinkerSeq").alias("rUMIs"),
@@ -117,9 +121,7 @@ def summarize_sites(fragments: DataFrame, sum_replicates: bool = False) -> DataF
     return sites.withColumn("percentSampleRelAbund", 100.0 * F.col("sonicLengths") / total)
 
 
-def site_replicates(fragments: DataFrame) -> DataFrame:
-    """The same figures for each replicate of a site, in long form."""
-    f = with_position(fragments).withColumn("posid", posid("chromosome", "strand", "position")).withColumn("width", F.col("fragEnd") - F.col("fragStart") + 1)
+def _replicates(f: DataFrame) -> DataFrame:
     return f.groupBy(*SAMPLE, "posid", "replicate").agg(
         F.count_distinct("randomLinkerSeq").alias("rUMIs"),
         F.count_distinct("width").alias("sonicLengths"),
@@ -127,14 +129,82 @@ def site_replicates(fragments: DataFrame) -> DataFrame:
     )
 
 
-def replicate_pivot(fragments: DataFrame, replicates: list[int]) -> DataFrame:
-    """One row per site with columns ``rep<N>-<figure>`` for the replicates asked for."""
-    long = site_replicates(fragments)
+def _pivot(long: DataFrame, replicates: list[int]) -> DataFrame:
     out = long.groupBy(*SAMPLE, "posid")
     figures = [F.max(F.when(F.col("replicate") == n, F.col(m))).alias(f"rep{n}-{m}") for n in replicates for m in ("rUMIs", "sonicLengths", "reads")]
     return out.agg(*figures)
 
 
+def site_replicates(fragments: DataFrame) -> DataFrame:
+    """The same figures for each replicate of a site, in long form."""
+    f = with_position(fragments).withColumn("posid", posid("chromosome", "strand", "position")).withColumn("width", F.col("fragEnd") - F.col("fragStart") + 1)
+    return _replicates(f)
+
+
+def replicate_pivot(fragments: DataFrame, replicates: list[int]) -> DataFrame:
+    """One row per site with columns ``rep<N>-<figure>`` for the replicates asked for."""
+    return _pivot(site_replicates(fragments), replicates)
+
+
+def place_sites(fragments: DataFrame, shift: int = 2, width: int = 6) -> DataFrame:
+    """Fragments with the ``posid`` of the site they count for, their ``width`` (taken before
+    positions move), ``siteLeader`` and ``siteFlags``.
+
+    A position moves ``shift`` bases along its own strand and takes the vector's strand.
+    The fragments of a dual detection (a u3 and a u5 position that ``exclusive_duals``
+    pairs) count for one site instead: the strand opposite to the u3 one, the moved
+    position of most of their fragments (ties: the first by letters), group 0, flags
+    ``dual detect`` and both most frequent leaders, joined by a slash. ``leaderGroup``
+    (1 where the column is missing) is the suffix of other sites."""
+    f = with_position(fragments).withColumn("width", F.col("fragEnd") - F.col("fragStart") + 1)
+    f = f.withColumn("__group", F.col("leaderGroup").cast("int") if "leaderGroup" in fragments.columns else F.lit(1))
+    f = f.withColumn("__moved", integrase_shift("strand", "position", shift))
+    duals = exclusive_duals(dual_candidates(fragments, width))
+    key = [*SAMPLE, "chromosome"]
+    id_ = F.concat_ws("/", "chromosome", "u3Strand", F.col("u3Position").cast("string"))
+    side = [duals.select(*key, F.col(f"{x}Strand").alias("strand"), F.col(f"{x}Position").alias("position"), F.lit(x).alias("__side"), id_.alias("__dual"), F.col("u5Strand").alias("__strand")) for x in ("u3", "u5")]
+    f = f.join(side[0].unionByName(side[1]), [*key, "strand", "position"], "left")
+    mine = F.contains(F.col("flags"), F.concat(F.lit("IN_"), F.col("__side")))
+    f = f.withColumn("__dual", F.when(mine, F.col("__dual")))
+    of = f.where("__dual is not null").select(*SAMPLE, "__dual", "__side", F.col("__moved").cast("string").alias("at"), "leaderSeq", F.struct("replicate", "strand", "fragStart", "fragEnd").alias("frag"))
+
+    def most(rows: DataFrame, by: list[str], value: str) -> DataFrame:
+        return _top(rows.groupBy(*by, value).agg(F.count_distinct("frag").alias("n")), by, value, -F.col("n"))
+
+    by = [*SAMPLE, "__dual"]
+    leaders = most(of, [*by, "__side"], "leaderSeq").groupBy(*by).agg(F.max(F.when(F.col("__side") == "u3", F.col("leaderSeq"))).alias("a"), F.max(F.when(F.col("__side") == "u5", F.col("leaderSeq"))).alias("b"))
+    joint = most(of, by, "at").join(leaders.select(*by, F.concat_ws("/", "a", "b").alias("__leader")), by)
+    f = f.join(joint, by, "left")
+    dual = F.col("__dual").isNotNull()
+    site = F.when(dual, posid("chromosome", "__strand", "at", F.lit(0))).otherwise(posid("chromosome", oriented_strand("strand", "flags"), "__moved", "__group"))
+    return f.select(*fragments.columns, site.alias("posid"), "width", F.when(dual, F.col("__leader")).otherwise(F.col("leaderSeq")).alias("siteLeader"), F.when(dual, F.lit("dual detect")).otherwise(F.col("flags")).alias("siteFlags"))
+
+
+def representative_leaders(placed: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The leader sequence that stands for each site ``(*by, posid)`` of rows ``(posid,
+    siteLeader, width, readID, nDuplicateReads)``.
+
+    Leader groups of one place go in the order of their numbers. The first takes its
+    sequence with most distinct widths, then most reads (ties: the first by letters); each
+    later one chooses the same way among those of its sequences that differ most, in
+    edits, from the group before it. A place has few groups and a group few sequences;
+    both are one array that a fold goes through."""
+    by = by or SAMPLE
+    place, group = F.regexp_replace("posid", r"\.\d+$", ""), F.coalesce(F.regexp_extract("posid", r"\.(\d+)$", 1).try_cast("int"), F.lit(1))
+    n = placed.groupBy(*by, place.alias("place"), group.alias("g"), "posid", "siteLeader").agg(F.count_distinct("width").alias("w"), (F.count_distinct("readID") + F.sum("nDuplicateReads")).alias("r"))
+    n = n.groupBy(*by, "place", "g", "posid").agg(F.array_sort(F.collect_list(F.struct((-F.col("w")).alias("w"), (-F.col("r")).alias("r"), F.col("siteLeader").alias("s")))).alias("seqs"))
+    chain = n.groupBy(*by, "place").agg(F.array_sort(F.collect_list(F.struct("g", "posid", "seqs"))).alias("groups"))
+    # One group after the other; the sequence chosen last decides what is farthest.
+    start = F.array().cast("array<struct<posid:string,repLeaderSeq:string>>")
+
+    def choose(done, x):
+        last = F.get(done, F.size(done) - 1)["repLeaderSeq"]
+        far = F.transform(x["seqs"], lambda q: F.struct(F.when(F.size(done) == 0, 0).otherwise(-F.levenshtein(q["s"], last)).alias("d"), q["w"].alias("w"), q["r"].alias("r"), q["s"].alias("s")))
+        return F.concat(done, F.array(F.struct(x["posid"].alias("posid"), F.array_min(far)["s"].alias("repLeaderSeq"))))
+
+    return chain.select(*by, F.explode(F.aggregate("groups", start, choose)).alias("x")).select(*by, "x.posid", "x.repLeaderSeq")
+
+
 def anchor_consensus(fragments: DataFrame, column: str = "leaderSeq") -> DataFrame:
     """The sequence of each site seen with most distinct widths, then most reads."""
     f = with_position(fragments).withColumn("posid", posid("chromosome", "strand", "position"))
@@ -175,15 +245,29 @@ def exclusive_duals(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("__a", a).withColumn("__b", b).where("__a = 1 and __b = 1").drop("__a", "__b")
 
 
-def rank_leader_groups(fragments: DataFrame) -> DataFrame:
-    """Leader sequences of each site numbered from 1 by distinct widths, then reads."""
+def rank_leader_groups(fragments: DataFrame, column: str = "leaderSeq") -> DataFrame:
+    """Leader sequences (or what ``column`` names) of each site numbered from 1 by distinct widths, then reads."""
     f = with_position(fragments).withColumn("posid", posid("chromosome", "strand", "position"))
     by = [*SAMPLE, "posid"]
-    n = f.groupBy(*by, "leaderSeq").agg(F.count_distinct(F.col("fragEnd") - F.col("fragStart")).alias("nWidths"), F.count(F.lit(1)).alias("nReads"))
-    order = Window.partitionBy(*by).orderBy(F.desc("nWidths"), F.desc("nReads"), "leaderSeq")
+    n = f.groupBy(*by, column).agg(F.count_distinct(F.col("fragEnd") - F.col("fragStart")).alias("nWidths"), F.count(F.lit(1)).alias("nReads"))
+    order = Window.partitionBy(*by).orderBy(F.desc("nWidths"), F.desc("nReads"), column)
     return n.withColumn("leaderGroup", F.row_number().over(order))
 
 
+def with_leader_groups(fragments: DataFrame, column: str = "leaderSeq") -> DataFrame:
+    """Fragments with ``leaderGroup``, the number of their leader (cluster) at their site."""
+    ranked = rank_leader_groups(fragments, column).select(*SAMPLE, F.col("posid").alias("__at"), column, "leaderGroup")
+    f = fragments.withColumn("__at", posid("chromosome", "strand", position_of("strand", "fragStart", "fragEnd")))
+    return f.join(ranked, [*SAMPLE, "__at", column]).select(*fragments.columns, "leaderGroup")
+
+
+def apply_decisions(fragments: DataFrame, decisions: DataFrame, cluster: str = "leaderSeq") -> DataFrame:
+    """Fragments without the rows of clusters at sites that the decisions don't select."""
+    lost = decisions.where(~F.col("selected")).select(*SAMPLE, cluster, F.col("posid").alias("__at"))
+    f = fragments.withColumn("__at", posid("chromosome", "strand", position_of("strand", "fragStart", "fragEnd")))
+    return f.join(lost, [*SAMPLE, cluster, "__at"], "left_anti").select(*fragments.columns)
+
+
 def decide_anchor_clusters(fragments: DataFrame, cluster: str = "leaderSeq", margin: int = 5, multiple: int = 10) -> DataFrame:
     """Which site a cluster of anchor sequences belongs to, in each sample: the one with
     most fragments if it leads by ``margin``, else the one with most reads if it has
@@ -206,3 +290,44 @@ def decide_anchor_clusters(fragments: DataFrame, cluster: str = "leaderSeq", mar
 
 def keep_width(fragments: DataFrame, most: int = 3000) -> DataFrame:
     return fragments.where(F.col("fragEnd") - F.col("fragStart") + 1 <= most)
+
+
+def first_rows(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """The first row of each key in a stated order."""
+    n = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return df.withColumn("__n", n).where("__n = 1").drop("__n")
+
+
+def group_index(df: DataFrame, within: list[str], by: list[str]) -> DataFrame:
+    """Adds ``group``: the rank, from 1, of the row's ``by`` among those of its ``within``."""
+    keys = df.select(*within, *by).distinct()
+    keys = keys.withColumn("group", F.row_number().over(Window.partitionBy(*within).orderBy(*by)))
+    return df.join(keys, [*within, *by])
+
+
+def leader_frequency(fragments: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Reads of each leader sequence of a subject (or ``by``) and its rank, frequent ones
+    first (ties: by letters): the order in which sequences are offered to clustering."""
+    by = by or ["trial", "subject"]
+    n = fragments.groupBy(*by, "leaderSeq").agg(F.count_distinct("readID").alias("n"))
+    return n.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "leaderSeq")))
+
+
+def cluster_order(fragments: DataFrame) -> DataFrame:
+    """Leaders of each site with what orders them before they are clustered: the site's
+    distinct widths, the leader's reads and its length, all descending, then letters."""
+    f = with_position(fragments).withColumn("posid", posid("chromosome", "strand", "position"))
+    by = [*SAMPLE, "posid"]
+    site = f.groupBy(*by).agg(F.count_distinct(F.col("fragEnd") - F.col("fragStart")).alias("abundance"))
+    n = f.groupBy(*by, "leaderSeq").agg(F.count_distinct("readID").alias("reads")).join(site, by)
+    n = n.withColumn("length", F.length("leaderSeq"))
+    return n.withColumn("place", F.row_number().over(Window.partitionBy(*SAMPLE).orderBy(F.desc("abundance"), F.desc("reads"), F.desc("length"), "posid", "leaderSeq")))
+
+
+def top_position_shares(fragments: DataFrame, cluster: str = "leaderSeq", top: int = 3) -> DataFrame:
+    """For each cluster of a sample its ``top`` positions by reads, with their share."""
+    f = with_position(fragments).withColumn("posid", posid("chromosome", "strand", "position"))
+    n = f.groupBy(*SAMPLE, cluster, "posid").agg(F.count_distinct("readID").alias("reads"))
+    of = Window.partitionBy(*SAMPLE, cluster)
+    n = n.withColumn("share", F.col("reads") / F.sum("reads").over(of)).withColumn("rank", F.row_number().over(of.orderBy(F.desc("reads"), "posid")))
+    return n.where(F.col("rank") <= top)

@@ -19,6 +19,8 @@ def saved(df: DataFrame) -> DataFrame:
     spark: SparkSession = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_DIR, None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="loomsite-ops-")
         spark.conf.set(_OWN_DIR, base)
     path = f"{base.rstrip('/')}/graph-{uuid.uuid4().hex}"

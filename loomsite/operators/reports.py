@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomsite.functions.dna import parse_posid
 from loomsite.operators.intervals import overlaps
 
-#: The stages at which distinct reads are counted, in their order.
+#: The stages at which distinct reads are counted, in their order.
 STAGE_LABELS = ("PRD1", "PRD2", "PRD3", "PRD4", "PRD5", "ALR1", "ALR2", "ALR3", "ALR4", "ALR5", "BFR1", "BSF1")
 
 
@@ -61,14 +61,23 @@ def recovery_summary(evaluated: DataFrame, multi_found: int = 0) -> DataFrame:
     return evaluated.agg(n.alias("nSitesExpected"), got.alias("nSitesRecovered"), (100.0 * got / n).alias("percentUniqueRecovery"), (100.0 * (got + multi_found) / n).alias("percentTotalRecovery"), F.avg("leaderSeqDist").alias("leaderSeqDistMean"), F.stddev_samp("leaderSeqDist").alias("leaderSeqDistSD"))
 
 
+def site_classes(sites: DataFrame, repeats: DataFrame) -> DataFrame:
+    """``(posid, repeat_class)`` of the sites that lie in a repeat."""
+    from loomsite.operators.intervals import site_repeats
+
+    p = parse_posid("posid")
+    spots = sites.select("posid", p["chromosome"].alias("chromosome"), p["position"].alias("position")).distinct()
+    return spots.join(site_repeats(spots, repeats), ["chromosome", "position"]).select("posid", "repeat_class")
+
+
 def missed_by_class(evaluated: DataFrame, classes: DataFrame, min_share: float = 0.02) -> DataFrame:
     """Missed sites by repeat class (``classes (posid, repeat_class)``; none: ``None``), rare
     classes as ``Other``, with shares."""
     missed = evaluated.where(~F.col("found")).select("posid").join(classes, "posid", "left")
     n = missed.groupBy(F.coalesce("repeat_class", F.lit("None")).alias("class")).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
-    n = n.withColumn("class", F.when(F.col("n") / total < min_share, "Other").otherwise(F.col("class")))
-    return n.groupBy("class").agg(F.sum("n").alias("n"))
+    n = n.join(n.agg(F.sum("n").alias("total")))
+    n = n.withColumn("class", F.when(F.col("n") / F.col("total") < min_share, "Other").otherwise(F.col("class")))
+    return n.groupBy("class").agg(F.sum("n").alias("n"), F.max(F.lit(100.0) / F.col("total")).alias("one")).select("class", "n", (F.col("n") * F.col("one")).alias("percent"))
 
 
 def remnant_histogram(sites: DataFrame, column: str = "repLeaderSeqMap", width: int = 5) -> DataFrame:
@@ -95,3 +104,35 @@ def segments(df: DataFrame, column: str = "model") -> DataFrame:
     rows = df.select("*", F.posexplode(parts).alias("segment", "__s"))
     named = [F.regexp_extract("__s", pattern, i).cast(t).alias(n) for i, (n, t) in enumerate([("qStart", "int"), ("qEnd", "int"), ("sStart", "int"), ("strand", "string"), ("sEnd", "int")], 1)]
     return rows.select(*df.columns, "segment", *named)
+
+
+def splice_columns(df: DataFrame, names: list[str], after: str) -> DataFrame:
+    """``df`` with the columns ``names`` moved behind the column ``after``."""
+    rest = [c for c in df.columns if c not in names]
+    at = rest.index(after) + 1
+    return df.select(*rest[:at], *names, *rest[at:])
+
+
+def sample_labels(df: DataFrame, labels: DataFrame, pattern: str = "(GTSP\\d+)", sample: str = "sample") -> DataFrame:
+    """Adds what an external table ``labels (code, ...)`` says of the code in a sample's name."""
+    return df.withColumn("code", F.regexp_extract(sample, pattern, 1)).join(labels, "code", "left")
+
+
+def alternative_vectors(df: DataFrame, catalogue: DataFrame, vector: str = "vector") -> DataFrame:
+    """Vectors replaced by those that ``catalogue (vector, alternative)`` has for them."""
+    known = catalogue.select(F.col("vector").alias("__from"), F.col("alternative").alias("__to")).dropDuplicates(["__from"])
+    return df.join(known, F.col(vector) == F.col("__from"), "left").withColumn(vector, F.coalesce("__to", vector)).drop("__from", "__to")
+
+
+def structure_models(reads: DataFrame, by: list[str], seq: str = "seq") -> DataFrame:
+    """Structures of each unit with their reads and share of them in percent."""
+    n = reads.groupBy(*by, seq).agg(F.count(F.lit(1)).alias("n"))
+    return n.withColumn("percent", 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy(*by)))
+
+
+def top_structures(structures: DataFrame, by: list[str], top: int = 10, model: str = "model") -> DataFrame:
+    """The ``top`` models of each unit by reads, with their number of segments and share."""
+    of = Window.partitionBy(*by)
+    n = structures.groupBy(*by, model).agg(F.sum("n").alias("n"))
+    n = n.withColumn("share", F.col("n") / F.sum("n").over(of)).withColumn("segments", F.regexp_count(F.col(model), F.lit(";")) + 1)
+    return n.withColumn("rank", F.row_number().over(of.orderBy(F.desc("n"), model))).where(F.col("rank") <= top)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomsite.functions.dna import reverse_complement, wallace_temperature
+from loomsite.functions.dna import mismatches, reverse_complement, wallace_temperature
 from loomsite.functions.vectorized import match_marks, merge_pairs, trim_adapter
 from loomsite.operators.intervals import merge
 from loomsite.operators.multihits import saved
@@ -42,10 +42,11 @@ def _segments(q: pd.Series, t: pd.Series, offset: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([best_segment(*x) for x in zip(q, t, offset, strict=True)], columns=["start", "end", "matches"])
 
 
-def align(queries: DataFrame, targets: DataFrame, k: int = 11, min_seeds: int = 2, min_length: int = 20, min_identity: float = 90.0) -> DataFrame:
+def align(queries: DataFrame, targets: DataFrame, k: int = 11, min_seeds: int = 2, min_length: int = 20, min_identity: float = 90.0, chunk: int = 4096) -> DataFrame:
     """Near-ungapped local alignments of distinct ``queries (seq)`` to ``targets (tName,
     tSeq)`` on both strands: k-mers of both sides are joined, hits counted by diagonal, and
-    the best stretch of each diagonal with ``min_seeds`` verified.
+    the best stretch of each diagonal with ``min_seeds`` verified. Targets are dealt in
+    chunks, and only the bases beside a query travel with it.
 
     -> PSL-like ``(seq, tName, strand, qSize, qStart, qEnd, tStart, tEnd, matches,
     misMatches, queryPercentID)``, 0-based and half-open on the query's own strand. Give it
@@ -53,9 +54,19 @@ def align(queries: DataFrame, targets: DataFrame, k: int = 11, min_seeds: int =
     q = queries.select("seq").distinct()
     both = q.select("seq", F.lit("+").alias("strand"), F.col("seq").alias("s")).unionByName(q.select("seq", F.lit("-").alias("strand"), reverse_complement("seq").alias("s")))
     qk = both.select("seq", "strand", "s", F.posexplode(_kmers("s", k)).alias("qp", "kmer"))
-    tk = targets.select("tName", F.posexplode(_kmers("tSeq", k)).alias("tp", "kmer"))
+    # A target goes in chunks that overlap by k - 1 bases: each k-mer is in one of them.
+    chunks = F.sequence(F.lit(0), F.greatest(F.floor((F.length("tSeq") - k) / chunk), F.lit(0)).cast("int"))
+    tc = targets.where(F.length("tSeq") >= k).select("tName", "tSeq", F.explode(chunks).alias("c")).select("tName", "c", F.expr(f"substring(tSeq, c * {chunk} + 1, {chunk + k - 1})").alias("part"))
+    tk = tc.select("tName", "c", F.posexplode(_kmers("part", k)).alias("tp", "kmer")).select("tName", "kmer", (F.col("tp") + F.col("c") * chunk).alias("tp"))
     seeds = qk.join(tk, "kmer").groupBy("seq", "strand", "s", "tName", (F.col("tp") - F.col("qp")).alias("offset")).agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= min_seeds)
-    hit = seeds.join(targets.select("tName", "tSeq"), "tName").withColumn("x", _segments("s", "tSeq", "offset"))
+    # To a diagonal go the target's bases beside the query only, from the chunks they lie in.
+    at = F.greatest("offset", F.lit(0))
+    span = seeds.withColumn("__i", F.explode(F.sequence(F.floor(at / chunk).cast("int"), F.floor((at + F.length("s")) / chunk).cast("int"))))
+    text = targets.select("tName", "tSeq", F.explode(F.sequence(F.lit(0), F.floor(F.length("tSeq") / chunk).cast("int"))).alias("__i")).select("tName", "__i", F.expr(f"substring(tSeq, __i * {chunk} + 1, {chunk})").alias("__text"))
+    key = ["seq", "strand", "s", "tName", "offset"]
+    got = span.join(text, ["tName", "__i"]).withColumn("__low", F.floor(at / chunk).cast("int") * chunk).groupBy(*key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__i", "__text"))), lambda x: x["__text"]), "").alias("__text"), F.min("__low").alias("__low"))
+    got = got.withColumn("__text", F.substr("__text", (at - F.col("__low") + 1).cast("int"), F.length("s")))
+    hit = got.withColumn("x", _segments("s", "__text", F.least("offset", F.lit(0))))
     n, length = F.length("s"), F.col("x.end") - F.col("x.start")
     plus = F.col("strand") == "+"
     out = hit.select("seq", "tName", "strand", n.alias("qSize"), F.when(plus, F.col("x.start")).otherwise(n - F.col("x.end")).alias("qStart"), F.when(plus, F.col("x.end")).otherwise(n - F.col("x.start")).alias("qEnd"),
@@ -97,7 +108,7 @@ def cluster(df: DataFrame, by: list[str], seq: str, identity: float = 0.87, orde
     grams = own.select(*by, s, o, F.explode(F.array_distinct(_kmers(s, k))).alias(gram))
     freq = grams.groupBy(*by, gram).agg(F.count(F.lit(1)).alias("__f"))
     rare = Window.partitionBy(*by, s).orderBy("__f", gram)
-    few = grams.join(freq, [*by, gram]).withColumn("__n", F.row_number().over(rare)).where(F.col("__n") <= F.floor(F.length(s) * (1 - identity)) * k + 1)
+    few = grams.join(freq, [*by, gram]).withColumn("__n", F.row_number().over(rare)).where(F.col("__n") <= F.floor(F.length(s) * (1 - identity) + 1e-9) * k + 1)
     a = few.select(*by, gram, F.col(s).alias("__a"), F.col(o).alias("__ao"))
     b = few.select(*by, gram, F.col(s).alias("__b"), F.col(o).alias("__bo"))
     size = F.least(F.length("__a"), F.length("__b"))
@@ -122,8 +133,9 @@ def cluster(df: DataFrame, by: list[str], seq: str, identity: float = 0.87, orde
 def collapse_clusters(reads: DataFrame, clusters: DataFrame, tag: str = "adriftReadRandomID", seq: str = "anchorReadSeq") -> DataFrame:
     """One read for each cluster and molecular tag, the representative's if it has the tag,
     with the number that it stands for."""
-    of = reads.join(clusters, seq)
-    w = Window.partitionBy("rep", tag)
+    by = [c for c in clusters.columns if c not in (seq, "rep")]
+    of = reads.join(clusters, [*by, seq])
+    w = Window.partitionBy(*by, "rep", tag)
     order = w.orderBy(F.when(F.col(seq) == F.col("rep"), 0).otherwise(1), "readID")
     out = of.withColumn("__n", F.row_number().over(order)).withColumn("nDuplicateReads", (F.count(F.lit(1)).over(w) - 1).cast("int"))
     return out.where("__n = 1").drop("__n", "rep")
@@ -166,21 +178,32 @@ def rarefy(reads: DataFrame, by: list[str], levels: tuple[int, ...], seeds: tupl
     of a unit whose hashes with the seed are smallest (0: all)."""
     grid = F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.lit(s).alias("seed")) for n in levels for s in (seeds if n else seeds[:1])])).alias("g")
     rows = reads.select(*by, "readID", seq, grid).select(*by, "readID", seq, "g.level", "g.seed")
-    order = Window.partitionBy(*by, "level", "seed").orderBy(F.xxhash64("readID", "seed"), "readID")
+    order = Window.partitionBy(*by, "level", "seed").orderBy(F.md5(F.concat_ws("~", "readID", F.col("seed").cast("string"))), "readID")
     rows = rows.withColumn("__n", F.row_number().over(order)).where("level = 0 or __n <= level").drop("__n")
     rows = rows.withColumn("window", F.explode(F.array(*[F.lit(w) for w in windows]))).where(F.length(seq) >= F.col("window"))
     return rows.withColumn(seq, F.expr(f"substring({seq}, 1, window)"))
 
 
-def structure_stats(rarefied: DataFrame, by: list[str], seq: str, expected: DataFrame, min_reads: int = 2) -> DataFrame:
+#: Expected sequences of a run: a configured list, this many at most.
+EXPECTED = 1000
+
+
+def structure_stats(rarefied: DataFrame, by: list[str], seq: str, expected: DataFrame, min_reads: int = 2, identity: float = 0.9) -> DataFrame:
     """Of each unit, window, level and seed: reads, those whose structure is ``expected``
-    (column ``expected``: prefixes are compared), others, distinct other structures of
-    ``min_reads`` at least, the share of others in percent and structures per kilobase."""
-    n = rarefied.groupBy(*by, "window", "level", "seed", seq).agg(F.count(F.lit(1)).alias("n"))
-    known = expected.select("expected").distinct().withColumn("window", F.explode(F.array_distinct(F.array(*[F.lit(w) for w in (50, 100, 200, 300)]))))
-    known = known.select("window", F.expr("substring(expected, 1, window)").alias(seq)).distinct().withColumn("ok", F.lit(True))
-    n = n.join(known, ["window", seq], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
-    out = n.groupBy(*by, "window", "level", "seed").agg(F.sum("n").alias("reads"), F.coalesce(F.sum(F.when(F.col("ok"), F.col("n"))), F.lit(0)).alias("expectedReads"), F.count(F.when(~F.col("ok") & (F.col("n") >= min_reads), 1)).alias("altStructures"))
+    (column ``expected``), others, distinct other structures of ``min_reads`` at least, the
+    share of others in percent and structures per kilobase.
+
+    Structures are clusters of windows of ``identity``. The expected sequences, cut to the
+    window, go into the clustering with a weight that brings them before all others, so
+    that they stand for the windows that are like them."""
+    unit = [*by, "window", "level", "seed"]
+    n = rarefied.groupBy(*unit, seq).agg(F.count(F.lit(1)).alias("n"))
+    forced = rarefied.select(*unit).distinct().join(expected.select("expected").distinct().limit(EXPECTED))
+    forced = forced.where(F.length("expected") >= F.col("window")).select(*unit, F.expr("substring(expected, 1, window)").alias(seq), F.lit(1 << 40).alias("n")).distinct()
+    of = cluster(n.unionByName(forced), unit, seq, identity, "n")
+    known = forced.select(*unit, F.col(seq).alias("rep"), F.lit(True).alias("ok"))
+    n = n.join(of, [*unit, seq]).groupBy(*unit, "rep").agg(F.sum("n").alias("n")).join(known, [*unit, "rep"], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
+    out = n.groupBy(*unit).agg(F.sum("n").alias("reads"), F.coalesce(F.sum(F.when(F.col("ok"), F.col("n"))), F.lit(0)).alias("expectedReads"), F.count(F.when(~F.col("ok") & (F.col("n") >= min_reads), 1)).alias("altStructures"))
     out = out.withColumn("unexpectedReads", F.col("reads") - F.col("expectedReads"))
     return out.withColumn("percentUnexpected", 100.0 * F.col("unexpectedReads") / F.col("reads")).withColumn("altStructuresPerKB", 1000.0 * F.col("altStructures") / F.col("window"))
 
@@ -208,11 +231,11 @@ def flank(sites: DataFrame, reference: DataFrame, length: int, before: bool = Tr
     return sites.join(got, ["chromosome", "strand", "position"], "left")
 
 
-def priming_by_leader(sites: DataFrame, reference: DataFrame, k: int = 20, min_matches: int = 15, min_half: int = 7) -> DataFrame:
+def priming_by_leader(sites: DataFrame, reference: DataFrame, k: int = 20, min_matches: int = 15, min_half: int = 7, chunk: int = CHUNK) -> DataFrame:
     """Adds ``PCRartifact1``: the last ``k`` bases of the leader aligned to the ``k`` genomic
     bases before the site, reported when they are so alike that the genome itself may have
     primed the read: enough matches in all, and in the right half."""
-    at = flank(sites, reference, k, before=True).withColumn("__tail", F.right("repLeaderSeq", F.lit(k)))
+    at = flank(sites, reference, k, before=True, chunk=chunk).withColumn("__tail", F.right("repLeaderSeq", F.lit(k)))
     pairs = at.select("__tail", "flank").distinct().withColumn("__marks", match_marks("__tail", "flank"))
     n, right = F.regexp_count("__marks", F.lit(r"\*")), F.regexp_count(F.right("__marks", F.lit(k // 2)), F.lit(r"\*"))
     pairs = pairs.withColumn("PCRartifact1", F.when((n >= min_matches) & (right >= min_half), F.concat(n.cast("string"), F.lit("nt | "), right.cast("string"))))
@@ -230,3 +253,14 @@ def priming_by_vector(sites: DataFrame, reference: DataFrame, vectors: DataFrame
     best = good.groupBy(F.col("seq").alias("flank")).agg(F.max(F.struct("temperature", "matches", "half")).alias("m"))
     label = F.concat(F.col("m.matches").cast("string"), F.lit("nt | "), F.col("m.half").cast("string"))
     return at.join(best.select("flank", label.alias("PCRartifact2")), "flank", "left").drop("flank")
+
+
+def rearrangement_inputs(reads: DataFrame, prefixes: list[str], vectors: DataFrame, min_length: int = 50, max_mismatches: int = 1, end: int = 20, min_matches: int = 18, seq: str = "seq") -> DataFrame:
+    """Reads worth a rearrangement model: long enough, without a run of three N, beginning
+    like one of the expected ``prefixes``, and ending in a stretch of a vector."""
+    begins = F.lit(False)
+    for x in prefixes:
+        begins |= mismatches(F.substring(seq, 1, len(x)), F.lit(x)) <= max_mismatches
+    good = reads.where((F.length(seq) >= min_length) & ~F.col(seq).contains("NNN") & begins).withColumn("__end", F.right(seq, F.lit(end)))
+    found = align(good.select(F.col("__end").alias("seq")), vectors, k=8, min_seeds=1, min_length=min_matches).where(F.col("matches") >= min_matches)
+    return good.join(found.select(F.col("seq").alias("__end")).distinct(), "__end", "left_semi").drop("__end")

@@ -51,6 +51,10 @@ class Options:
     sum_replicates: bool = False
     terminal: str | None = "CA"
     forced_leader: int | None = None
+    leader_identity: float | None = 0.85
+    per_read: int = 500
+    read_identity: float | None = None
+    min_reads: int = 1
 
 
 #: What the kind of vector changes. A caller's own values go before these.
@@ -65,9 +69,15 @@ def options(mode: str = "integrase", **own) -> Options:
     return replace(Options(), **{**MODES[mode], **own})
 
 
-def demultiplex(raw: DataFrame, samples: DataFrame, o: Options = Options()) -> dict[str, DataFrame]:
+def demultiplex(raw: DataFrame, samples: DataFrame, o: Options = Options(), replicates: DataFrame | None = None) -> dict[str, DataFrame]:
     """``raw (readID, index1Seq, anchorReadSeq, adriftReadSeq)`` to samples -> ``reads``,
-    ``dupReads``, ``barcodes`` and ``counts``."""
+    ``dupReads``, ``barcodes``, ``counts`` and ``missing`` (samples without reads). Quality
+    columns (``anchorReadQual``, ``adriftReadQual``) trim their reads, ``replicates
+    (uniqueSample, merged)`` merges replicates, and with ``read_identity`` one read stands
+    for each cluster of anchor reads and molecular tag. Only ``auto_reverse`` runs a job."""
+    for mate in ("anchorRead", "adriftRead"):
+        if f"{mate}Qual" in raw.columns:
+            raw = dx.trim_quality(raw, f"{mate}Seq", f"{mate}Qual")
     if o.golay:
         raw = tg.correct_barcodes(raw).withColumn("index1Seq", F.col("corrected")).drop("corrected", "bitErrors")
     if o.auto_reverse and dx.orientation_vote(raw, samples).first()["useReverse"]:
@@ -76,15 +86,20 @@ def demultiplex(raw: DataFrame, samples: DataFrame, o: Options = Options()) -> d
         raw = raw.withColumn("index1Seq", reverse_complement("index1Seq"))
     reads = dx.assign(raw, samples, o.index_mismatches, o.linker_mismatches)
     reads = dx.with_tags(dx.post_tag_linker(reads, samples, o.tail_mismatches), samples)
-    reads = reads.join(samples.select("uniqueSample", *[c for c in ("refGenome", "vectorFastaFile", "flags") if c in samples.columns]), "uniqueSample", "left")
+    reads = dx.with_sample_columns(reads, samples)
+    if replicates is not None:
+        reads = dx.merge_replicates(reads, replicates)
     kept, lost = dx.collapse_duplicates(reads) if o.unique_reads else (reads.withColumn("nDuplicateReads", F.lit(0)), reads.select(F.col("readID").alias("duplicatedRepID"), "readID").limit(0))
-    return {"reads": kept, "dupReads": lost, "barcodes": dx.barcode_frequency(raw), "counts": dx.sample_counts(raw, samples)}
+    if o.read_identity:
+        before = mh.saved(kept)
+        kept = sq.collapse_clusters(before.drop("nDuplicateReads"), sq.cluster(before, ["uniqueSample"], "anchorReadSeq", o.read_identity))
+    return {"reads": kept, "dupReads": lost, "barcodes": dx.barcode_frequency(raw), "counts": dx.sample_counts(raw, samples), "missing": dx.missing_samples(kept, samples)}
 
 
 def prep_reads(reads: DataFrame, leader_hits: DataFrame | None = None, vectors: DataFrame | None = None, o: Options = Options()) -> dict[str, DataFrame]:
     """Trims adapters and linkers, drops reads of the vector itself, captures leaders and
     corrects molecular tags -> ``reads`` and ``vectorHits``."""
-    out = reads.withColumn("adriftReadSeq", F.expr("substring(adriftReadSeq, adriftLinkerSeqEnd + 1)"))
+    out = dx.remove_linker(reads)
     out = sq.trim_reads(out, "anchorReadSeq", "adriftReadTrimSeq", o.adapter_error, o.min_read)
     out = out.where(F.length("adriftReadSeq") >= o.min_read)
     result = {}
@@ -118,14 +133,20 @@ def align_reads(reads: DataFrame, reference: DataFrame, o: Options = Options())
         full = hits.select("*", *[F.lit(0).alias(c) for c in ("qNumInsert", "qBaseInsert", "tNumInsert", "tBaseInsert")]).withColumn("tEnd", F.col("tEnd") - 1)
         good = al.ends_aligned(al.accept(full, o.min_identity, max_query_start=o.max_query_start), o.max_unaligned)
         result[mate] = reads.select("readID", F.col(column).alias("seq")).join(good, "seq").drop("seq")
+    # The unaligned start of an anchor read belongs to its leader.
+    result["anchor"] = al.extend_leader(result["anchor"].join(reads.select("readID", "leaderSeq", "anchorReadSeq"), "readID")).drop("anchorReadSeq") if {"leaderSeq", "anchorReadSeq"} <= set(reads.columns) else result["anchor"]
     result["anchor"], result["adrift"] = al.both_mates(result["anchor"], result["adrift"])
     return result
 
 
 def build_fragments(anchor: DataFrame, adrift: DataFrame, reads: DataFrame, o: Options = Options()) -> DataFrame:
-    """Pairs mates and adds what the reads know -> fragments, one row per read and place."""
-    a, b, _ = fr.cap_placements(anchor, adrift, o.max_placements)
+    """Pairs mates and adds what the reads know -> fragments, one row per read and place.
+    Reads with too many placements keep ``per_read`` of their anchor's and what is near."""
+    a, b, many = fr.cap_placements(anchor, adrift, o.max_placements)
     pairs = fr.pair_mates(a, b, o.min_width, o.max_width)
+    if o.per_read:
+        few, near = fr.salvage_mates(anchor, adrift.join(many.select("readID"), "readID", "left_semi"), many, o.per_read, o.max_width)
+        pairs = pairs.unionByName(fr.pair_mates(few, near, o.min_width, o.max_width))
     known = reads.select("readID", "uniqueSample", "leaderSeq", F.col("adriftReadRandomID").alias("randomLinkerSeq"), "nDuplicateReads", "flags")
     parts = F.split("uniqueSample", "~")
     out = pairs.join(known, "readID")
@@ -133,29 +154,54 @@ def build_fragments(anchor: DataFrame, adrift: DataFrame, reads: DataFrame, o: O
 
 
 def build_std_fragments(fragments: DataFrame, o: Options = Options()) -> dict[str, DataFrame]:
-    """Standardizes positions and breaks, resolves multi-hits and molecular tags, bundles
-    -> ``stdFragments``, ``multiHits``, ``reads`` (rows before bundling), ``decisions``."""
+    """Groups leaders, standardizes positions and breaks, resolves multi-hits, molecular
+    tags and anchor clusters, bundles -> ``stdFragments``, ``multiHits`` with abundances,
+    ``reads`` (rows before bundling), ``decisions``. With ``leader_identity`` set, positions
+    are standardized within the clusters of their subject's leaders."""
     # What several later steps read is written once: it cuts the lineage, too.
-    f = mh.saved(sd.standardize_integrations(fragments, o.position_gap))
+    group = None
+    if o.leader_identity:
+        of = sq.cluster(fragments, ["trial", "subject"], "leaderSeq", identity=o.leader_identity)
+        fragments = mh.saved(fragments.join(of.withColumnRenamed("rep", "leaderCluster"), ["trial", "subject", "leaderSeq"]))
+        group = ["leaderCluster"]
+    f = mh.saved(sd.standardize_integrations(fragments, o.position_gap, group))
     f = mh.saved(fr.keep_width(sd.standardize_breaks(f, o.break_gap, o.break_scope), o.max_fragment))
     by = [*fr.SAMPLE, "replicate", "readID"]
     n = mh.saved(fr.positions_per_read(f))
     unique, multi = f.join(n.where("not multi"), by, "left_semi"), f.join(n.where("multi"), by, "left_semi")
     saved = fr.salvage_multihits(multi, unique)
-    rest = multi.join(saved.select(*by).distinct(), by, "left_anti")
+    rest = mh.saved(multi.join(saved.select(*by).distinct(), by, "left_anti"))
     f = mh.saved(fr.correct_fuzzy_breaks(unique.unionByName(saved)))
     f = tg.drop_lost_tags(f, tg.resolve_tag_conflicts(f))
     f = mh.saved(tg.dominant_breaks(f))
-    return {"stdFragments": fr.bundle(f), "multiHits": mh.multihit_clusters(rest), "reads": f, "decisions": fr.decide_anchor_clusters(f)}
-
-
-def build_sites(std_reads: DataFrame, o: Options = Options()) -> dict[str, DataFrame]:
-    """Sites of each sample with shares, their replicates in long form, and dual detections."""
-    moved = fr.shift_sites(std_reads, o.shift)
-    plus = F.col("strand") == "+"
-    at = moved.withColumn("fragStart", F.when(plus, F.col("position")).otherwise(F.col("fragStart"))).withColumn("fragEnd", F.when(plus, F.col("fragEnd")).otherwise(F.col("position"))).select(*std_reads.columns)
-    sites = fr.summarize_sites(at, o.sum_replicates).join(fr.anchor_consensus(at).withColumnRenamed("leaderSeq", "repLeaderSeq"), [*fr.SAMPLE, "posid"], "left")
-    return {"sites": sites, "replicates": fr.site_replicates(at), "duals": fr.exclusive_duals(fr.dual_candidates(std_reads, o.dual_width))}
+    decisions = mh.saved(fr.decide_anchor_clusters(f, "leaderCluster" if group else "leaderSeq"))
+    f = fr.apply_decisions(f, decisions, "leaderCluster" if group else "leaderSeq")
+    if group:
+        f = fr.with_leader_groups(f, "leaderCluster")
+    f = mh.saved(f)
+    clusters = mh.saved(mh.multihit_clusters(rest))
+    return {"stdFragments": fr.bundle(f, o.min_reads), "multiHits": mh.cluster_abundance(clusters, rest), "reads": f, "decisions": decisions}
+
+
+def build_sites(std_reads: DataFrame, o: Options = Options(), replicates: tuple[int, ...] = (1, 2, 3, 4), leader_identity: float = 0.85) -> dict[str, DataFrame]:
+    """Sites of each sample -> ``sites`` (figures, share, flags, representative leader, the
+    number of clusters of its leaders, consensus, and the figures of each replicate),
+    ``replicates`` in long form, and the ``duals`` that were merged.
+
+    Positions move, strands turn and dual detections merge after fragments are measured:
+    a site's sonic lengths are the widths of its fragments as they were."""
+    placed = mh.saved(fr.place_sites(std_reads, o.shift, o.dual_width))
+    key = [*fr.SAMPLE, "posid"]
+    sites = fr._summary(placed, o.sum_replicates)
+    flags = placed.groupBy(*key).agg(F.min("siteFlags").alias("flags"))
+    leaders = fr.representative_leaders(placed)
+    consensus = placed.groupBy(*key, "leaderSeq").agg(F.count_distinct("width").alias("w"), F.count_distinct("readID").alias("r"))
+    consensus = fr._top(consensus, key, "leaderSeq", -F.col("w"), -F.col("r")).withColumnRenamed("leaderSeq", "anchorReadConsensus")
+    groups = sq.cluster(placed, key, "leaderSeq", identity=leader_identity).groupBy(*key).agg(F.count_distinct("rep").alias("repLeaderSeqClusters"))
+    long = fr._replicates(placed)
+    for part in (flags, leaders, groups, consensus, fr._pivot(long, list(replicates))):
+        sites = sites.join(part, key, "left")
+    return {"sites": sites, "replicates": long, "duals": fr.exclusive_duals(fr.dual_candidates(std_reads, o.dual_width))}
 
 
 def call_nearest_genes(sites: DataFrame, genes: DataFrame, exons: DataFrame, gene_list: DataFrame | None = None, mode: str = "either", prefix: str = "") -> DataFrame:
@@ -178,7 +224,11 @@ def annotate_repeats(sites: DataFrame, repeats: DataFrame, multi_hits: DataFrame
     found = spots.join(iv.site_repeats(spots, repeats), ["chromosome", "position"]).drop("chromosome", "position")
     out = {"sites": sites.join(found, "posid", "left")}
     if multi_hits is not None:
-        out["multiHits"] = multi_hits.join(iv.multihit_repeats(multi_hits, repeats), "clusterID", "left")
+        # Cluster numbers begin anew in each sample.
+        key = [*fr.SAMPLE, "clusterID"]
+        whole = F.concat_ws("~", *key)
+        found = iv.multihit_repeats(multi_hits.select(whole.alias("clusterID"), "posids"), repeats)
+        out["multiHits"] = multi_hits.withColumn("__whole", whole).join(found.withColumnRenamed("clusterID", "__whole"), "__whole", "left").drop("__whole")
     return out
 
 
@@ -201,7 +251,7 @@ def predict_pcr_artifacts(sites: DataFrame, reference: DataFrame, vectors: DataF
 def anchor_read_rearrangements(reads: DataFrame, expected: DataFrame, windows: tuple[int, ...] = (300,), levels: tuple[int, ...] = (0, 1000), seeds: tuple[int, ...] = (1, 2, 3), min_reads: int = 2) -> dict[str, DataFrame]:
     merged = sq.merge_reads(reads)
     rows = sq.rarefy(merged.select("uniqueSample", "readID", "seq"), ["uniqueSample"], levels, seeds, windows, "seq")
-    top = rows.where("level = 0").groupBy("uniqueSample", "window", "seq").agg(F.count(F.lit(1)).alias("n"))
+    top = rp.structure_models(rows.where("level = 0"), ["uniqueSample", "window"])
     return {"stats": sq.structure_stats(rows, ["uniqueSample"], "seq", expected, min_reads), "structures": top}
 
 

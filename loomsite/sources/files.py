@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gzip
-import os
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,26 +17,80 @@ _HMM = [("targetName", "string"), ("targetAcc", "string"), ("queryName", "string
 READ_SCHEMA = "readID string, seq string, qual string"
 
 
+#: Bytes of a FASTQ file that one partition reads; a gzip file is one partition.
+SPLIT = 64 << 20
+
+
+def _file_system(path: str):
+    """A file system for a path or URI that executors can open, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
+class Piece(InputPartition):
+    """The records of a file that begin from byte ``start`` on and before ``end``."""
+
+    def __init__(self, path: str, start: int, end: int | None):
+        self.path, self.start, self.end = path, start, end
+
+
 class FastqReader(DataSourceReader):
-    """One partition per file; a gzip file can't be split, so shard large ones."""
+    """Plain files are split at records; shard large gzip files."""
 
     def __init__(self, paths: list[str]):
         self.paths = paths
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(p) for p in self.paths]
+        from pyarrow import fs
+
+        found = []
+        for given in self.paths:
+            store, path = _file_system(given)
+            info = store.get_file_info(path)
+            files = [x for x in store.get_file_info(fs.FileSelector(path)) if ".f" in x.base_name or x.base_name.endswith((".txt", ".txt.gz"))] if info.type == fs.FileType.Directory else [info]
+            prefix = given[: len(given) - len(path)] if given.endswith(path) else "file://" if given.startswith("file:") else ""
+            for f in sorted(files, key=lambda x: x.path):
+                ends = [None] if f.path.endswith(".gz") else range(SPLIT, f.size + SPLIT, SPLIT)
+                found += [Piece(prefix + f.path, i * SPLIT, e) for i, e in enumerate(ends)]
+        return found
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        path = partition.value
-        opened = gzip.open(path, "rt") if path.endswith(".gz") else open(path, encoding="ascii")
-        with opened as f:
-            while head := f.readline():
-                seq, _, qual = f.readline(), f.readline(), f.readline()
-                yield head[1:].split()[0], seq.rstrip("\n"), qual.rstrip("\n")
+        store, path = _file_system(partition.path)
+        if partition.end is None:
+            with gzip.open(store.open_input_stream(path, compression=None), "rt") as f:
+                while head := f.readline():
+                    seq, _, qual = f.readline(), f.readline(), f.readline()
+                    yield head[1:].split()[0], seq.rstrip("\n"), qual.rstrip("\n")
+            return
+        with store.open_input_file(path) as raw:
+            import io
+
+            raw.seek(max(0, partition.start - 1))
+            f = io.BufferedReader(raw, 1 << 20)
+            at = max(0, partition.start - 1)
+            if partition.start:
+                at += len(f.readline())
+                # A record's first line has @, and the second line after it +.
+                ahead = [f.readline() for _ in range(8)]
+                skip = next((i for i in range(4) if ahead[i][:1] == b"@" and ahead[i + 2][:1] == b"+" and (ahead[i + 4][:1] in (b"@", b""))), 8)
+                at += sum(map(len, ahead[:skip]))
+                lines = iter([*ahead[skip:]])
+            else:
+                lines = iter(())
+
+            def line() -> bytes:
+                return next(lines, None) or f.readline()
+
+            while at < partition.end and (head := line()):
+                seq, plus, qual = line(), line(), line()
+                at += len(head) + len(seq) + len(plus) + len(qual)
+                yield head[1:].split()[0].decode(), seq.rstrip(b"\n").decode(), qual.rstrip(b"\n").decode()
 
 
 class FastqSource(DataSource):
-    """``spark.read.format("fastq").load("a.fastq.gz,b.fastq")`` on a shared file system."""
+    """``spark.read.format("fastq").load("a.fastq.gz,b.fastq")``: files or folders, as
+    paths of a shared file system or URIs of a store."""
 
     @classmethod
     def name(cls) -> str:
@@ -47,10 +100,7 @@ class FastqSource(DataSource):
         return READ_SCHEMA
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        found = []
-        for path in self.options["path"].split(","):
-            found += sorted(os.path.join(path, x) for x in os.listdir(path) if ".f" in x) if os.path.isdir(path) else [path]
-        return FastqReader(found)
+        return FastqReader(self.options["path"].split(","))
 
 
 def read_fastq(spark: SparkSession, *paths: str) -> DataFrame:
@@ -129,11 +179,15 @@ def read_clusters(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.explode(members).alias("readID"), rep.alias("rep"))
 
 
+#: The 15 columns of a repeat report.
+REPEATS = [("SW_score", "int"), ("percent_div", "double"), ("percent_del", "double"), ("percent_ins", "double"), ("query_seq", "string"), ("query_start", "int"), ("query_end", "int"), ("query_after", "string"), ("strand", "string"), ("repeat_name", "string"), ("repeat_class", "string"), ("repeat_start", "string"), ("repeat_end", "string"), ("repeat_after", "string"), ("ID", "string")]
+
+
 def read_repeats(spark: SparkSession, path: str) -> DataFrame:
-    """A repeat report: rows whose first field is an integer."""
+    """A repeat report: rows whose first field is an integer, with all 15 columns."""
     parts = F.split(F.trim("value"), r"\s+")
     rows = spark.read.text(path).where(F.trim("value").rlike(r"^\d+\s"))
-    return rows.select(parts[4].alias("query_seq"), parts[5].cast("int").alias("query_start"), parts[6].cast("int").alias("query_end"), parts[8].alias("strand"), parts[9].alias("repeat_name"), parts[10].alias("repeat_class"))
+    return rows.select(*[F.get(parts, F.lit(i)).cast(t).alias(n) for i, (n, t) in enumerate(REPEATS)])
 
 
 def read_genes(spark: SparkSession, path: str) -> DataFrame:
@@ -161,6 +215,13 @@ def exons_of(genes: DataFrame) -> DataFrame:
     return rows.select("name", "chromosome", "strand", "name2", (F.col("n") + 1).alias("exon"), (F.col("x.s").cast("int") + 1).alias("start"), F.col("x.e").cast("int").alias("end"))
 
 
+def known_genes(genes: DataFrame, ids: DataFrame) -> DataFrame:
+    """Of another species' annotation the rows whose transcript ``name``, without its
+    version, is one of ``ids (name)``."""
+    listed = ids.select(F.regexp_replace("name", r"\.\d+$", "").alias("__id")).distinct()
+    return genes.join(listed, F.regexp_replace(genes["name"], r"\.\d+$", "") == listed["__id"], "left_semi")
+
+
 def read_gene_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where(F.trim("value") != "").select(F.upper(F.trim("value")).alias("name2"))
 
@@ -184,6 +245,32 @@ def export_fastq(raw: DataFrame, reads: DataFrame, path: str) -> None:
     kept.select("uniqueSample", F.concat_ws("\n", F.concat(F.lit("@"), "readID"), "seq", F.lit("+"), "qual").alias("value")).write.mode("overwrite").partitionBy("uniqueSample").text(path, compression="gzip")
 
 
+def save_stage(df: DataFrame, folder: str, stage: str) -> DataFrame:
+    """Writes a stage's table to its folder, in place of what was there, and reads it back."""
+    df.write.mode("overwrite").parquet(f"{folder}/{stage}")
+    return load_stage(df.sparkSession, folder, stage)
+
+
+def load_stage(spark: SparkSession, folder: str, stage: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{stage}")
+
+
+#: The archived tables and their columns.
+ARCHIVES = {
+    "demultiplex": "trial string, subject string, sample string, replicate int, refGenome string, readID string, anchorReadSeq string, adriftReadSeq string, nDuplicateReads int",
+    "fragments": "trial string, subject string, sample string, replicate int, refGenome string, readID string, chromosome string, strand string, fragStart int, fragEnd int, leaderSeq string, randomLinkerSeq string, flags string, nDuplicateReads int",
+    "sites": "trial string, subject string, sample string, refGenome string, posid string, rUMIs bigint, sonicLengths bigint, reads bigint, nRepsObs bigint, percentSampleRelAbund double",
+    "multihits": "trial string, subject string, sample string, refGenome string, clusterID string, nodes bigint, reads bigint, UMIs bigint, posids array<string>",
+}
+
+
+def archive_rows(df: DataFrame, table: str) -> DataFrame:
+    """``df`` in the archive's schema: its columns in their order and types, those that are
+    missing null."""
+    schema = T.StructType.fromDDL(ARCHIVES[table])
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+
 ARCHIVE_KEYS = ["trial", "subject", "sample", "refGenome"]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from loomsite.operators.demux import assign
 
@@ -28,23 +28,27 @@ def write_assigned(assigned: DataFrame, out: str, checkpoint: str) -> StreamingQ
 
 
 def write_distinct(assigned: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Exact removal of duplicates across shards: a batch keeps the smallest read id of each
-    pair of sequences that no earlier batch has kept. A batch is a folder of its own that
-    a repeated try overwrites, and only folders of earlier batches are asked."""
+    """Exact removal of duplicates across shards. A batch writes one row for each pair of
+    sequences it holds, with the smallest read id and the reads behind it, to a folder of
+    its own that a repeated try overwrites; no batch reads what others wrote.
+    ``read_distinct`` gives the table over all batches, in which later duplicates count."""
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = batch.groupBy("anchorReadSeq", "adriftReadSeq").agg(F.min(F.struct("readID", "uniqueSample")).alias("m"), (F.count(F.lit(1)) - 1).alias("nDuplicateReads"))
-        new = new.select("m.readID", "m.uniqueSample", "anchorReadSeq", "adriftReadSeq", "nDuplicateReads")
-        if number:
-            schema = StructType([*new.schema.fields, StructField("batch", IntegerType())])
-            known = spark.read.schema(schema).parquet(out).where(F.col("batch") < number)
-            new = new.join(known, ["anchorReadSeq", "adriftReadSeq"], "left_anti").select("readID", "uniqueSample", "anchorReadSeq", "adriftReadSeq", "nDuplicateReads")
+        new = batch.groupBy("anchorReadSeq", "adriftReadSeq").agg(F.min(F.struct("readID", "uniqueSample")).alias("m"), F.count(F.lit(1)).alias("n"))
+        new = new.select("m.readID", "m.uniqueSample", "anchorReadSeq", "adriftReadSeq", "n")
         new.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return assigned.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def read_distinct(spark: SparkSession, out: str) -> DataFrame:
+    """``(readID, uniqueSample, anchorReadSeq, adriftReadSeq, nDuplicateReads)`` over all
+    batches so far: the smallest read id stands for all reads of its pair."""
+    rows = spark.read.parquet(out)
+    found = rows.groupBy("anchorReadSeq", "adriftReadSeq").agg(F.min(F.struct("readID", "uniqueSample")).alias("m"), (F.sum("n") - 1).alias("nDuplicateReads"))
+    return found.select("m.readID", "m.uniqueSample", "anchorReadSeq", "adriftReadSeq", "nDuplicateReads")
+
+
 def running_counts(assigned: DataFrame) -> DataFrame:
     """Reads of each sample so far, for ``complete`` output."""
     return assigned.groupBy("uniqueSample").agg(F.count(F.lit(1)).alias("reads"))

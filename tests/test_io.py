@@ -71,7 +71,8 @@ def test_streams(spark, tmp_path):
         stream.write_assigned(moved, str(tmp_path / "out"), str(tmp_path / "c1")).awaitTermination()
         stream.write_distinct(moved, str(tmp_path / "distinct"), str(tmp_path / "c2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 30
-    kept = spark.read.parquet(str(tmp_path / "distinct"))
+    kept = stream.read_distinct(spark, str(tmp_path / "distinct"))
+    assert kept.agg(F.sum("nDuplicateReads")).first()[0] == 30 - kept.count()
     assert kept.count() == len({r[2] for r in rows}) == kept.select("anchorReadSeq").distinct().count()
     counts = stream.running_counts(stream.assign_stream(stream.read_shards(spark, shards), samples))
     query = counts.writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
@@ -85,6 +86,22 @@ def test_fastq_export(spark, tmp_path):
     assert [r.value for r in spark.read.text(str(tmp_path / "fq")).select("value").collect()] == ["@r1", "ACGT", "+", "????"]
 
 
+def test_fastq_splits_at_records(spark, tmp_path):
+    rnd = random.Random(4)
+    rows = [(f"r{i}", "".join(rnd.choice("ACGT") for _ in range(rnd.randint(1, 40)))) for i in range(300)]
+    text = "".join(f"@{i} x\n{s}\n+\n{'@' + 'I' * (len(s) - 1)}\n" for i, s in rows)
+    path = tmp_path / "a.fastq"
+    path.write_text(text)
+    for size in (64 << 20, 1000, 97):
+        files.SPLIT = size
+        reader = files.FastqReader([str(path)])
+        got = [r for p in reader.partitions() for r in reader.read(p)]
+        assert [r[:2] for r in got] == rows and all(r[2] == "@" + "I" * (len(r[1]) - 1) for r in got)
+    files.SPLIT = 64 << 20
+    uri = files.FastqReader([f"file://{path}"])
+    assert sum(1 for p in uri.partitions() for _ in uri.read(p)) == 300
+
+
 def test_quality_trim_and_triples(spark):
     reads = spark.createDataFrame([("r1", "A" * 60, "?" * 60), ("r2", "C" * 60, "?" * 20 + "+" * 40)], files.READ_SCHEMA)
     kept = demux.trim_quality(reads, "seq", "qual")

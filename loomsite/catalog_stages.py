@@ -169,18 +169,18 @@ def mate_salvage(spark, d):
     return fragments.pair_mates(few, near)
 
 
-_CLUSTERED = """, c AS (SELECT substr(tSeq, 1, 32) AS center, tName FROM fx_contigs), m AS (SELECT r.readID, CASE WHEN r.tStart % 3 = 0 THEN concat(substr(center, 1, 5 + r.tStart % 20), translate(substr(center, 6 + r.tStart % 20, 1), 'ACGT', 'CGTA'), substr(center, 7 + r.tStart % 20)) ELSE center END AS seq, center, substr(r.readID, 1, 3) AS tag FROM fx_contig_reads r JOIN c USING (tName))
-, o AS (SELECT center, seq, row_number() OVER (PARTITION BY center ORDER BY count(*) DESC, seq) AS n FROM m GROUP BY center, seq), k AS (SELECT o.seq, p.seq AS rep FROM o JOIN o p ON p.center = o.center AND p.n = 1)"""
+_CLUSTERED = """, c AS (SELECT substr(tSeq, 1, 32) AS center, tName FROM fx_contigs), m AS (SELECT r.readID, CASE WHEN r.tStart % 3 = 0 THEN concat(substr(center, 1, 5 + r.tStart % 20), translate(substr(center, 6 + r.tStart % 20, 1), 'ACGT', 'CGTA'), substr(center, 7 + r.tStart % 20)) ELSE center END AS seq, center, concat('T', CAST(floor(CAST(substr(tName, 4) AS INTEGER) / 40) AS INTEGER)) AS trial, substr(r.readID, 1, 3) AS tag FROM fx_contig_reads r JOIN c USING (tName))
+, o AS (SELECT trial, center, seq, row_number() OVER (PARTITION BY center ORDER BY count(*) DESC, seq) AS n FROM m GROUP BY trial, center, seq), k AS (SELECT o.trial, o.seq, p.seq AS rep FROM o JOIN o p ON p.center = o.center AND p.n = 1)"""
 
 
 def _variants(spark, d):
     c = view(spark, d, "fx_contigs").select("tName", F.substring("tSeq", 1, 32).alias("center"))
     r = view(spark, d, "fx_contig_reads").join(c, "tName")
     seq = F.expr("case when tStart % 3 = 0 then concat(substr(center, 1, 5 + tStart % 20), translate(substr(center, 6 + tStart % 20, 1), 'ACGT', 'CGTA'), substr(center, 7 + tStart % 20)) else center end")
-    return r.select("readID", seq.alias("seq"), F.substring("readID", 1, 3).alias("tag"), F.lit("T").alias("trial"))
+    return r.select("readID", seq.alias("seq"), F.substring("readID", 1, 3).alias("tag"), F.expr("concat('T', cast(floor(cast(substr(tName, 4) as int) / 40) as int))").alias("trial"))
 
 
-@register("leader_clusters", _CLUSTERED + "SELECT 'T' AS trial, seq, rep FROM k", "fx_contigs", "fx_contig_reads")
+@register("leader_clusters", _CLUSTERED + "SELECT trial, seq, rep FROM k", "fx_contigs", "fx_contig_reads")
 def leader_clusters(spark, d):
     return sequences.cluster(_variants(spark, d), ["trial"], "seq", identity=0.87)
 

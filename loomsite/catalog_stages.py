@@ -124,20 +124,6 @@ def stage_fragments(spark, d):
     return stages.build_fragments(mates["anchor"], mates["adrift"], reads)
 
 
-@register("stage_sites", _PAIRED + """
-, s AS (SELECT CASE strand WHEN '+' THEN 'G1' ELSE 'G2' END AS sample, concat(tName, strand, CASE strand WHEN '+' THEN tStart + 3 ELSE tStart + 58 END, '.1') AS posid, readID FROM x)
-SELECT 'T' AS trial, 'S' AS subject, sample, posid, count(DISTINCT readID) AS reads FROM s GROUP BY ALL""", "fx_contig_reads")
-def stage_sites(spark, d):
-    """From reads to sites: positions 7 bases apart in a contig are more than a gap apart."""
-    reads = multihits.saved(_pairs_of_mates(spark, d).withColumn("adriftReadRandomID", F.col("readID")).withColumn("nDuplicateReads", F.lit(0)))
-    mates = stages.align_reads(reads, view(spark, d, "fx_contigs"))
-    o = stages.options(leader_identity=None)
-    f = multihits.saved(stages.build_fragments(mates["anchor"], mates["adrift"], reads, o))
-    # Each contig is a cluster of its own here: one leader for each site.
-    f = f.withColumn("leaderSeq", F.concat("chromosome", "strand", "fragStart"))
-    return stages.build_sites(stages.build_std_fragments(f, o)["reads"], o)["sites"].select(*fragments.SAMPLE, "posid", "reads")
-
-
 _AD = "AGATCGGAAGAGCAC"
 
 

@@ -17,8 +17,9 @@ similarity reaches ``percent`` / 100. The join is exact on 64-bit shingle hashes
    their bitmaps differ in bits. What
    passes is settled by intersecting sorted arrays, and links give components.
 4. Tiles in which several components are left pair their documents across components,
-   again under the bound. So no link between components is lost, while a group of many
-   near copies needs no pairs among its own.
+   again under the bound, each pair once: tiles with the same smallest document are taken
+   together where that makes fewer pairs. So no link between components is lost, while a
+   group of many near copies needs no pairs among its own.
 """
 
 from __future__ import annotations
@@ -38,8 +39,10 @@ from loomsite.llm.hashing import BYTE_VALUE_LOWER, U64, list_array, mix64, shing
 BAND_RATIO = 1.25
 #: Rounds in which another document of a divided tile is its centre.
 CENTRES = 3
-#: Documents of a block of a tile in which several components are left.
+#: Documents of a block of a group of tiles in which several components are left.
 TILE_BLOCK = 256
+#: Groups of tiles of a document up to which they travel with it.
+GROUP_KEYS = 64
 #: Ids of documents, 8 bytes each, up to which they are broadcast to pick texts.
 BROADCAST_IDS = 200_000
 
@@ -223,6 +226,27 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return materialize(both.select("a", "b", "x", "y").mapInArrow(_intersect(percent), "a long, b long"), "jaccard-links")
 
 
+def _divided(tiles: DataFrame, found: DataFrame) -> DataFrame:
+    """-> ``(key, doc, component, keys, blocks)``: the documents of tiles ``(tile, doc, low)``
+    in which several components are left, in groups that may hold several tiles.
+
+    Near copies meet in most of their tiles. Tiles with the same smallest document are one
+    group if its documents make no more pairs than the tiles do. ``keys`` are a document's
+    groups, by which a pair that meets in several is taken in the first; null where there
+    are more than ``GROUP_KEYS``, whose pairs are made distinct later."""
+    left = tiles.join(found.withColumnRenamed("id", "doc"), "doc", "left").select("tile", "low", "doc", F.coalesce("component", "doc").alias("component"))
+    mixed = left.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("tile", "size")
+    members = materialize(left.join(mixed, "tile").distinct(), "jaccard-members")
+    apart = members.groupBy("low").agg(F.sum("size").alias("pairs"))
+    whole = members.select("low", "doc").distinct().groupBy("low").agg(F.count(F.lit(1)).alias("docs"))
+    merged = apart.join(whole, "low").where(F.col("docs") * F.col("docs") <= F.col("pairs")).select("low", F.lit(True).alias("merge"))
+    key = F.when(F.col("merge"), F.xxhash64("low")).otherwise(F.xxhash64("low", "tile"))
+    groups = materialize(members.join(merged, "low", "left").select(key.alias("key"), "doc", "component").distinct(), "jaccard-groups")
+    sizes = groups.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE_BLOCK).cast("int").alias("blocks"))
+    keys = groups.groupBy("doc").agg(F.collect_list("key").alias("keys")).select("doc", F.when(F.size("keys") <= GROUP_KEYS, F.col("keys")).alias("keys"))
+    return groups.join(sizes, "key").join(keys, "doc")
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """-> ``(<id_column>, n_shingles long, component_id long)`` for every row.
 
@@ -273,16 +297,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_column
         links = materialize(links.unionByName(more), "jaccard-links")
         found = materialize(connected_components(links), "jaccard-components")
 
-    left = tiles.select("tile", "doc").join(found.withColumnRenamed("id", "doc"), "doc", "left").select("tile", "doc", F.coalesce("component", "doc").alias("component"))
-    mixed = left.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi")
-    # A large tile is many tasks: each pair of blocks of its documents is one key.
-    blocks = F.ceil(F.col("size") / TILE_BLOCK).cast("int")
-    mixed = left.distinct().join(mixed.select("tile", blocks.alias("blocks")), "tile").join(sketch, "doc")
+    mixed = _divided(tiles, found).join(sketch, "doc")
+    # A large group is many tasks: each pair of blocks of its documents is one key.
     mixed = mixed.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    mixed = materialize(mixed.select("tile", "doc", "component", "n", "bits", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block"), "jaccard-mixed")
-    a, b = (mixed.select("tile", "i", "j", F.col("block").alias(f"{x}k"), F.col("doc").alias(x), F.col("component").alias(f"{x}c"), F.col("n").alias(f"{x}n"), F.col("bits").alias(f"{x}bits")) for x in ("a", "b"))
+    mixed = materialize(mixed.select("key", "doc", "component", "keys", "n", "bits", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "block"), "jaccard-mixed")
+    a, b = (mixed.select("key", "i", "j", *[F.col(c).alias(f"{x}{t}") for c, t in (("block", "k"), ("doc", ""), ("component", "c"), ("keys", "keys"), ("n", "n"), ("bits", "bits"))]) for x in ("a", "b"))
     apart = (F.col("i") == F.col("j")) | (F.col("ak") != F.col("bk"))
-    across = a.join(b, ["tile", "i", "j"]).where((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & apart & _may_link(percent)).select("a", "b").distinct()
+    first = F.coalesce(F.array_min(F.array_intersect("akeys", "bkeys")) == F.col("key"), F.lit(True))
+    across = a.join(b, ["key", "i", "j"]).where((F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & apart & _may_link(percent) & first).select("a", "b").distinct()
     more = _verified(across, texts, k, percent)
     if not more.isEmpty():
         found = materialize(connected_components(links.unionByName(more)), "jaccard-components")

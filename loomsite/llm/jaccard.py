@@ -37,8 +37,6 @@ from loomsite.llm.hashing import BYTE_VALUE_LOWER, U64, list_array, mix64, shing
 
 #: Ratio of the bounds of a size band.
 BAND_RATIO = 1.25
-#: Rounds in which another document of a divided tile is its centre.
-CENTRES = 3
 #: Documents of a block of a group of tiles in which several components are left.
 TILE_BLOCK = 256
 #: Groups of tiles of a document up to which they travel with it.
@@ -284,19 +282,6 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_column
     links = materialize(links, "jaccard-links")
     found = materialize(connected_components(links), "jaccard-components")
 
-    # Where one centre left a tile in parts, others are tried first: a round adds a row for
-    # each document, while pairs of what stays apart grow with the square of a tile.
-    for number in range(CENTRES):
-        left = tiles.select("tile", "doc").join(found.withColumnRenamed("id", "doc"), "doc", "left").select("tile", "doc", F.coalesce("component", "doc").alias("component"))
-        centre = F.min_by(F.struct("doc", "component"), F.xxhash64("doc", F.lit(number))).alias("centre")
-        parts = left.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), centre).where("lo < hi").select("tile", F.col("centre.doc").alias("to"), F.col("centre.component").alias("own"))
-        spokes = left.join(parts, "tile").where(F.col("component") != F.col("own")).select(F.least("doc", "to").alias("a"), F.greatest("doc", "to").alias("b")).distinct()
-        more = _verified(_bounded(spokes, sketch, percent), texts, k, percent)
-        if more.isEmpty():
-            break
-        links = materialize(links.unionByName(more), "jaccard-links")
-        found = materialize(connected_components(links), "jaccard-components")
-
     mixed = _divided(tiles, found).join(sketch, "doc")
     # A large group is many tasks: each pair of blocks of its documents is one key.
     mixed = mixed.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: The modules with queries, by operator number.
-MODULES = {1: "chat", 2: "langid", 3: "toxicity", 4: "vecdedup", 5: "linededup", 6: "bpe", 7: "jaccard", 8: "decontam", 9: "substring", 10: "urls"}
+MODULES = {1: "chat", 2: "langid", 3: "toxicity", 4: "vecdedup", 5: "linededup", 6: "bpe", 7: "jaccard", 8: "decontam", 9: "substring", 10: "urls", 11: "pieces", 12: "repair", 13: "negatives"}
 
 
 def queries() -> dict:

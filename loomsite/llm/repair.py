@@ -447,5 +447,72 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(repair(damage(table(spark, sf_dir, "conversations")), dropped="dropped"))
 
 
+def _then(path: str, cost: str, code: str) -> str:
+    """SQL: a path of eight digits of cost and two letters for each edit, with one more."""
+    return f"lpad(CAST(CAST({path}[1:8] AS INTEGER) + {cost} AS VARCHAR), 8, '0') || {path}[9:] || '{code}'"
+
+
+def _stay(path: str, initial: str) -> str:
+    return f"CASE WHEN fault IN (1, 2) THEN NULL WHEN role[1:1] = '{initial}' THEN {_then(path, 'more', 'K' + initial)} ELSE {_then(path, '3 + more', 'R' + initial)} END"
+
+
+OP12_SQL = rf"""
+WITH RECURSIVE crc AS (
+  SELECT [list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END) FOR i IN range(256)] AS t
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations
+), kinds AS (
+  SELECT keyed.*, xor(list_reduce([CAST(4294967295 AS BIGINT)] || [CAST(ascii(x) AS BIGINT) FOR x IN string_split(k, '')], lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), CAST(4294967295 AS BIGINT)) % 20 AS kind
+  FROM keyed, crc
+), harmed AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM kinds, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS said
+  FROM harmed
+), r AS (
+  SELECT *, CASE WHEN said = '' THEN 1 WHEN again > 1 THEN 2 WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault, CASE WHEN fault = 3 THEN 3 ELSE 0 END AS more,
+    lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1:1] AS pair
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS again FROM numbered)
+), p(conv_id, i, q, s, u, a) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), '00000000', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM conversations
+  UNION ALL
+  SELECT conv_id, i, {_then('q', '4', 'D.')},
+    least({_then('s', '4', 'D.')}, CASE WHEN fault NOT IN (1, 2) AND role[1:1] = 's' THEN {_then('q', 'more', 'Ks')} END),
+    least({_then('u', '4', 'D.')}, {_stay('q', 'u')}, {_stay('s', 'u')}, {_stay('a', 'u')}),
+    least({_then('a', '4', 'D.')}, {_stay('u', 'a')})
+  FROM (
+    SELECT x.*, least(oa, {_then('u', '3', 'Ia')}) AS a FROM (
+      SELECT p.conv_id, r.i, role, fault, more, q, s, p.a AS oa, least(u, {_then('q', '3', 'Iu')}, {_then('s', '3', 'Iu')}, {_then('p.a', '3', 'Iu')}) AS u
+      FROM p JOIN r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1
+    ) x
+  )
+), ends AS (
+  SELECT conv_id, least(q, a, {_then('v', '3', 'Ia')}) AS path FROM (
+    SELECT conv_id, q, a, least(u, {_then('q', '3', 'Iu')}, {_then('s', '3', 'Iu')}) AS v FROM p
+    QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+  )
+), edits AS (
+  SELECT conv_id, path, k, path[7 + 2 * k:7 + 2 * k] AS edit, path[8 + 2 * k:8 + 2 * k] AS goes FROM ends, range(1, CAST((length(path) - 8) / 2 AS BIGINT) + 1) AS g(k)
+), placed AS (
+  SELECT *, count(*) FILTER (WHERE edit <> 'I') OVER (PARTITION BY conv_id ORDER BY k) AS i FROM edits
+), told AS (
+  SELECT placed.conv_id, string_agg(edit, '' ORDER BY k) AS audit,
+    string_agg(CASE WHEN edit = 'K' THEN role WHEN goes = 'u' THEN 'user' ELSE 'assistant' END || ':' || CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY k) FILTER (WHERE edit <> 'D') AS repaired
+  FROM placed LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM placed.conv_id AND r.i = placed.i GROUP BY placed.conv_id
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 1) AS blank, count(*) FILTER (WHERE fault = 2) AS duplicate,
+    count(*) FILTER (WHERE fault = 3) AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(path[1:8] AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM ends e LEFT JOIN told ON told.conv_id IS NOT DISTINCT FROM e.conv_id LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 QUERIES = {"op12_conversation_repair": op12_conversation_repair}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op12_conversation_repair": OP12_SQL}

@@ -466,13 +466,6 @@ def standardize_breaks(spark, d):
     return run(view(spark, d, "fx_fragments"))
 
 
-@register("leader_clusters")
-def leader_clusters(spark, d):
-    from loomsite.operators.sequences import cluster
-
-    return cluster(view(spark, d, "fx_fragments"), ["trial", "subject"], "leaderSeq", identity=0.85)
-
-
 @register("fragment_geometry", _AT + "SELECT readID, chromosome, strand, fragStart, fragEnd, position, brk AS \"break\", concat(chromosome, strand, position) AS posid, fragEnd - fragStart + 1 AS width FROM fa", "fx_fragments")
 def fragment_geometry(spark, d):
     at = fragments.with_position(view(spark, d, "fx_fragments"))
@@ -639,12 +632,4 @@ def lost_tag_removal(spark, d):
     return tags.drop_lost_tags(f, tags.resolve_tag_conflicts(f))
 
 
-@register("peak_positions")
-def peak_positions(spark, d):
-    from loomsite.operators.standardize import peak_positions as run
-
-    w = fragments.read_weight(fragments.with_position(view(spark, d, "fx_fragments")), ["trial", "subject", "chromosome", "strand", "position"]).withColumnRenamed("reads", "weight")
-    return run(w, ["trial", "subject", "chromosome", "strand"], "position")
-
-
 from loomsite import catalog_formats, catalog_stages  # noqa: E402, F401 (they register more queries)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loomsite.catalog import _AT, _DUAL, _PAIR, _SQL, _mates, register
 from loomsite.fixtures import view, with_views
 from loomsite.functions import dna
-from loomsite.operators import alignments, demux, fragments, intervals, multihits, reports, sequences, tags
+from loomsite.operators import alignments, clusters, demux, fragments, intervals, multihits, reports, sequences, tags
 from loomsite.plans import stages
 
 _PLACED = _DUAL + """
@@ -117,13 +117,38 @@ def _pairs_of_mates(spark, d):
 
 
 @register("stage_fragments", _PAIRED + """
-SELECT readID, 'T' AS trial, 'S' AS subject, CASE strand WHEN '+' THEN 'G1' ELSE 'G2' END AS sample, 1 AS replicate, tName AS chromosome, strand, tStart + 1 AS fragStart, tStart + 60 AS fragEnd, 2 AS nDuplicateReads, 'IN_u5' AS flags, substr(readID, 1, 4) AS randomLinkerSeq, 'TTT' AS leaderSeq FROM x""", "fx_contig_reads")
+SELECT readID, 'T' AS trial, 'S' AS subject, CASE strand WHEN '+' THEN 'G1' ELSE 'G2' END AS sample, 1 AS replicate, tName AS chromosome, strand, tStart + 1 AS fragStart, tStart + 60 AS fragEnd, 2 AS nDuplicateReads, 'IN_u5' AS flags, substr(readID, 1, 4) AS randomLinkerSeq, 'TTT' AS leaderSeq,
+  CASE strand WHEN '+' THEN substr(piece, 1, 30) ELSE reverse(translate(substr(piece, 31), 'ACGT', 'TGCA')) END AS anchorStart, CASE strand WHEN '+' THEN reverse(translate(substr(piece, 31), 'ACGT', 'TGCA')) ELSE substr(piece, 1, 30) END AS adriftStart FROM x""", "fx_contig_reads")
 def stage_fragments(spark, d):
     reads = multihits.saved(_pairs_of_mates(spark, d))
     mates = stages.align_reads(reads, view(spark, d, "fx_contigs"))
     return stages.build_fragments(mates["anchor"], mates["adrift"], reads)
 
 
+_RUN = """, x AS (SELECT concat('r', l_orderkey, '_', l_linenumber, '_', l_partkey, '_', l_suppkey) AS readID, tName, l_suppkey % 7 * 20 AS spot, CASE WHEN l_linenumber % 2 = 0 THEN '+' ELSE '-' END AS strand, 70 + l_orderkey % 3 * 8 AS width FROM lineitem JOIN fx_contigs ON tName = concat('ctg', l_partkey))
+, e AS (SELECT *, CASE strand WHEN '+' THEN spot + 3 ELSE spot + 84 END AS position FROM x)"""
+
+
+def _run(spark, d):
+    """Reads of one vector end, with the same leader, at several places of each contig."""
+    x = spark.read.parquet(f"{d}/lineitem.parquet").selectExpr("concat('r', l_orderkey, '_', l_linenumber, '_', l_partkey, '_', l_suppkey) as readID", "concat('ctg', l_partkey) as tName", "cast(l_suppkey % 7 * 20 + if(l_linenumber % 2 = 0, 0, 16 - l_orderkey % 3 * 8) as int) as at", "if(l_linenumber % 2 = 0, '+', '-') as strand", "cast(70 + l_orderkey % 3 * 8 as int) as width")
+    x = x.join(view(spark, d, "fx_contigs"), "tName").withColumn("piece", F.expr("substring(tSeq, at + 1, width)"))
+    plus, left, right, rc = F.col("strand") == "+", F.substring("piece", 1, 40), F.right("piece", F.lit(40)), dna.reverse_complement
+    return x.select("readID", F.concat(F.lit("T~S~"), F.when(plus, "G1").otherwise("G2"), F.lit("~1")).alias("uniqueSample"), F.when(plus, left).otherwise(rc(right)).alias("anchorReadSeq"), F.when(plus, rc(right)).otherwise(left).alias("adriftReadSeq"),
+                    F.lit("TCTGCGCGCTCGCTCGCTCA").alias("leaderSeq"), F.col("readID").alias("adriftReadRandomID"), F.lit(0).alias("nDuplicateReads"), F.lit("IN_u5").alias("flags"))
+
+
+@register("stage_sites", _RUN + """
+SELECT 'T' AS trial, 'S' AS subject, CASE strand WHEN '+' THEN 'G1' ELSE 'G2' END AS sample, concat(tName, strand, position, '.1') AS posid, count(DISTINCT readID) AS reads, count(DISTINCT width) AS sonicLengths, count(DISTINCT readID) AS rUMIs, min('TCTGCGCGCTCGCTCGCTCA') AS repLeaderSeq, CAST(1 AS BIGINT) AS repLeaderSeqClusters FROM e GROUP BY ALL""", "fx_contigs")
+def stage_sites(spark, d):
+    """From reads to sites through all stages, all reads with one leader."""
+    reads = multihits.saved(_run(spark, d))
+    mates = stages.align_reads(reads, view(spark, d, "fx_contigs"))
+    f = multihits.saved(stages.build_fragments(mates["anchor"], mates["adrift"], reads))
+    sites = stages.build_sites(stages.build_std_fragments(f)["reads"])["sites"]
+    return sites.select(*fragments.SAMPLE, "posid", "reads", "sonicLengths", "rUMIs", "repLeaderSeq", "repLeaderSeqClusters")
+
+
 _AD = "AGATCGGAAGAGCAC"
 
 
@@ -155,7 +180,7 @@ def mate_salvage(spark, d):
     return fragments.pair_mates(few, near)
 
 
-_CLUSTERED = """, c AS (SELECT substr(tSeq, 1, 32) AS center, tName FROM fx_contigs), m AS (SELECT r.readID, CASE WHEN r.tStart % 3 = 0 THEN concat(substr(center, 1, 5 + r.tStart % 20), translate(substr(center, 6 + r.tStart % 20, 1), 'ACGT', 'CGTA'), substr(center, 7 + r.tStart % 20)) ELSE center END AS seq, center, concat('T', CAST(floor(CAST(substr(tName, 4) AS INTEGER) / 40) AS INTEGER)) AS trial, substr(r.readID, 1, 3) AS tag FROM fx_contig_reads r JOIN c USING (tName))
+_CLUSTERED = """, c AS (SELECT substr(tSeq, 1, 32) AS center, tName FROM fx_contigs), m AS (SELECT r.readID, CASE WHEN r.tStart % 3 = 0 THEN concat(substr(center, 1, 5 + r.tStart % 20), translate(substr(center, 6 + r.tStart % 20, 1), 'ACGT', 'CGTA'), substr(center, 7 + r.tStart % 20)) ELSE center END AS seq, center, 'T' AS trial, substr(r.readID, 1, 3) AS tag FROM fx_contig_reads r JOIN c USING (tName))
 , o AS (SELECT trial, center, seq, row_number() OVER (PARTITION BY center ORDER BY count(*) DESC, seq) AS n FROM m GROUP BY trial, center, seq), k AS (SELECT o.trial, o.seq, p.seq AS rep FROM o JOIN o p ON p.center = o.center AND p.n = 1)"""
 
 
@@ -163,33 +188,37 @@ def _variants(spark, d):
     c = view(spark, d, "fx_contigs").select("tName", F.substring("tSeq", 1, 32).alias("center"))
     r = view(spark, d, "fx_contig_reads").join(c, "tName")
     seq = F.expr("case when tStart % 3 = 0 then concat(substr(center, 1, 5 + tStart % 20), translate(substr(center, 6 + tStart % 20, 1), 'ACGT', 'CGTA'), substr(center, 7 + tStart % 20)) else center end")
-    return r.select("readID", seq.alias("seq"), F.substring("readID", 1, 3).alias("tag"), F.expr("concat('T', cast(floor(cast(substr(tName, 4) as int) / 40) as int))").alias("trial"))
+    return r.select("readID", seq.alias("seq"), F.substring("readID", 1, 3).alias("tag"), F.lit("T").alias("trial"))
 
 
 @register("leader_clusters", _CLUSTERED + "SELECT trial, seq, rep FROM k", "fx_contigs", "fx_contig_reads")
 def leader_clusters(spark, d):
-    return sequences.cluster(_variants(spark, d), ["trial"], "seq", identity=0.87)
+    return clusters.cluster(_variants(spark, d), ["trial"], "seq", identity=0.87)
 
 
 @register("cluster_collapse", _CLUSTERED + """
 SELECT readID, tag, n - 1 AS nDuplicateReads FROM (SELECT m.readID, tag, m.seq = rep AS own, CAST(count(*) OVER (PARTITION BY rep, tag) AS INTEGER) AS n, row_number() OVER (PARTITION BY rep, tag ORDER BY CASE WHEN m.seq = rep THEN 0 ELSE 1 END, m.readID) AS i FROM m JOIN k ON k.seq = m.seq) WHERE i = 1""", "fx_contigs", "fx_contig_reads")
 def cluster_collapse(spark, d):
     rows = multihits.saved(_variants(spark, d))
-    found = sequences.collapse_clusters(rows, sequences.cluster(rows, ["trial"], "seq", identity=0.87), "tag", "seq")
+    found = clusters.collapse_clusters(rows, clusters.cluster(rows, ["trial"], "seq", identity=0.87), "tag", "seq")
     return found.select("readID", "tag", "nDuplicateReads")
 
 
-@register("rarefaction_stats", """
-, r AS (SELECT uniqueSample, readID, substr(anchorReadSeq, 1, 40) AS seq FROM fx_reads),
-g AS (SELECT *, 0 AS level, 1 AS seed FROM r UNION ALL SELECT uniqueSample, readID, seq, 50, seed FROM r, (VALUES (1), (2)) t(seed) QUALIFY row_number() OVER (PARTITION BY uniqueSample, seed ORDER BY md5(concat_ws('~', readID, seed)), readID) <= 50),
-n AS (SELECT uniqueSample, 40 AS "window", level, seed, seq, count(*) AS n, seq IN (SELECT substr(anchorReadSeq, 1, 40) FROM fx_reads WHERE substr(anchorReadSeq, 21, 1) = 'A') AS ok FROM g GROUP BY ALL)
-SELECT uniqueSample, "window", level, seed, CAST(sum(n) AS BIGINT) AS reads, CAST(coalesce(sum(n) FILTER (ok), 0) AS BIGINT) AS expectedReads, count(*) FILTER (NOT ok AND n >= 2) AS altStructures FROM n GROUP BY ALL""", "fx_reads")
+_WINDOWED = """, v AS (SELECT concat('U', CAST(substr(tName, 4) AS INTEGER) % 25) AS uniqueSample, r.readID, tName, tSeq AS center, CASE WHEN r.tStart % 3 = 0 THEN concat(substr(tSeq, 1, 5 + r.tStart % 20), translate(substr(tSeq, 6 + r.tStart % 20, 1), 'ACGT', 'CGTA'), substr(tSeq, 7 + r.tStart % 20)) ELSE tSeq END AS seq FROM fx_contig_reads r JOIN fx_contigs USING (tName))
+, g AS (SELECT *, 0 AS level, 1 AS seed FROM v UNION ALL SELECT v.*, 50, seed FROM v, (VALUES (1), (2)) t(seed) QUALIFY row_number() OVER (PARTITION BY uniqueSample, seed ORDER BY md5(concat_ws('~', readID, seed)), readID, seq) <= 50)
+, n AS (SELECT uniqueSample, "window", level, seed, center, count(*) AS n, CAST(substr(tName, 4) AS INTEGER) % 3 = 0 AS ok FROM g, (VALUES (40), (200)) w("window") GROUP BY ALL)"""
+
+
+@register("rarefaction_stats", _WINDOWED + """
+SELECT uniqueSample, "window", level, seed, CAST(sum(n) AS BIGINT) AS reads, CAST(coalesce(sum(n) FILTER (ok), 0) AS BIGINT) AS expectedReads, count(*) FILTER (NOT ok AND n >= 2) AS altStructures FROM n GROUP BY ALL""", "fx_contigs", "fx_contig_reads")
 def rarefaction_stats(spark, d):
-    reads = view(spark, d, "fx_reads").select("uniqueSample", "readID", F.col("anchorReadSeq").alias("seq"))
-    rows = multihits.saved(sequences.rarefy(reads, ["uniqueSample"], (0, 50), (1, 2), (40,), "seq"))
-    expected = reads.where("substr(seq, 21, 1) = 'A'").select(F.col("seq").alias("expected"))
-    # Exact structures here: windows of unlike reads may be nearer than the usual identity.
-    return sequences.structure_stats(rows, ["uniqueSample"], "seq", expected, identity=1.0).select("uniqueSample", "window", "level", "seed", "reads", "expectedReads", "altStructures")
+    """Reads of contigs, a third with a wrong base; every third contig is an expected one."""
+    c = view(spark, d, "fx_contigs")
+    seq = F.expr("case when tStart % 3 = 0 then concat(substr(tSeq, 1, 5 + tStart % 20), translate(substr(tSeq, 6 + tStart % 20, 1), 'ACGT', 'CGTA'), substr(tSeq, 7 + tStart % 20)) else tSeq end")
+    reads = view(spark, d, "fx_contig_reads").join(c, "tName").select(F.expr("concat('U', cast(substr(tName, 4) as int) % 25)").alias("uniqueSample"), "readID", seq.alias("seq"))
+    rows = multihits.saved(sequences.rarefy(reads, ["uniqueSample"], (0, 50), (1, 2), (40, 200), "seq"))
+    expected = c.where("cast(substr(tName, 4) as int) % 3 = 0").select(F.col("tSeq").alias("expected"))
+    return sequences.structure_stats(rows, ["uniqueSample"], "seq", expected).select("uniqueSample", "window", "level", "seed", "reads", "expectedReads", "altStructures")
 
 
 @register("rearrangement_models", """
@@ -325,7 +354,7 @@ def leader_frequency(spark, d):
 
 @register("cluster_order", _AT + """
 , s AS (SELECT trial, subject, sample, posid, count(DISTINCT fragEnd - fragStart) AS abundance FROM p GROUP BY ALL), n AS (SELECT trial, subject, sample, posid, leaderSeq, count(DISTINCT readID) AS reads FROM p GROUP BY ALL)
-SELECT trial, subject, sample, posid, leaderSeq, reads, abundance, CAST(length(leaderSeq) AS INTEGER) AS length, CAST(row_number() OVER (PARTITION BY trial, subject, sample ORDER BY abundance DESC, reads DESC, length(leaderSeq) DESC, posid, leaderSeq) AS INTEGER) AS place FROM n JOIN s USING (trial, subject, sample, posid)""", "fx_fragments")
+SELECT trial, subject, sample, posid, leaderSeq, reads, abundance, CAST(length(leaderSeq) AS INTEGER) AS length FROM n JOIN s USING (trial, subject, sample, posid)""", "fx_fragments")
 def cluster_order(spark, d):
     return fragments.cluster_order(view(spark, d, "fx_fragments"))
 

@@ -1,117 +1,77 @@
-"""Pandas UDFs for what built-in expressions can't say; use them on distinct sequences."""
+"""Pandas UDFs for what built-in expressions can't say; use them on distinct sequences.
+
+Each hands a whole batch to ``functions.batch``; nothing loops over rows here.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomsite.functions import batch
 
-def osa(a: str, b: str) -> int:
-    """Edit distance in which swapping two neighbours counts once."""
-    before, row = [], list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            d = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
-            new.append(d)
-        before, row = row, new
-    return row[-1]
+
+def _where_known(work: Callable[[list, list], list], a: pd.Series, b: pd.Series) -> list:
+    """``work`` on the pairs without nulls, null for the others."""
+    known = np.flatnonzero((a.notna() & b.notna()).to_numpy())
+    out: list = [None] * len(a)
+    for i, x in zip(known, work(a.iloc[known].tolist(), b.iloc[known].tolist()), strict=True):
+        out[i] = x
+    return out
 
 
 @F.pandas_udf(T.IntegerType())
 def osa_distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else osa(x, y) for x, y in zip(a, b, strict=True)], dtype="Int32")
-
-
-def trim_at(seq: str, adapter: str, error: float, min_overlap: int = 3) -> int:
-    """Bases of ``seq`` before the first place where ``adapter``, or its start at the end of
-    the read, fits with ``error`` edits per base at most (edits: substitution, insertion,
-    deletion); all bases without one. Of places that end alike the best fit counts."""
-    n, m = len(seq), len(adapter)
-    # cost[j], start[j]: the cheapest way to lay adapter[:j] so that it ends at this base.
-    cost, start = list(range(m + 1)), [0] * (m + 1)
-    best: tuple[float, int, int] | None = None
-    for i in range(1, n + 1):
-        before, before_start = cost[0], start[0]
-        cost[0], start[0] = 0, i
-        for j in range(1, m + 1):
-            old, old_start = cost[j], start[j]
-            c, s = before + (seq[i - 1] != adapter[j - 1]), before_start
-            if old + 1 < c:
-                c, s = old + 1, old_start
-            if cost[j - 1] + 1 < c:
-                c, s = cost[j - 1] + 1, start[j - 1]
-            cost[j], start[j] = c, s
-            before, before_start = old, old_start
-        if cost[m] <= error * m and (best is None or (cost[m] < best[1] and start[m] <= best[2] + m)):
-            best = (0, cost[m], start[m])
-    if best is not None:
-        return best[2]
-    for j in range(m - 1, min_overlap - 1, -1):
-        if cost[j] <= error * j:
-            return start[j]
-    return n
+    return pd.Series(_where_known(batch.osa, a, b), dtype="Int32")
 
 
 def trim_adapter(error: float = 0.15, min_overlap: int = 3):
-    """A pandas UDF ``(seq, adapter) -> trimmed seq``."""
+    """A pandas UDF ``(seq, adapter) -> trimmed seq``; without an adapter the whole one."""
 
     @F.pandas_udf(T.StringType())
     def trim(seq: pd.Series, adapter: pd.Series) -> pd.Series:
-        return pd.Series([None if s is None else s if not a else s[: trim_at(s, a, error, min_overlap)] for s, a in zip(seq, adapter, strict=True)])
+        some = adapter.where(adapter.notna() & (adapter != ""))
+        cut = _where_known(lambda x, y: batch.trim_at(x, y, error, min_overlap), seq, some)
+        return pd.Series([s if n is None else s[:n] for s, n in zip(seq, cut, strict=True)], dtype=object)
 
     return trim
 
 
-def join_pair(first: str, second: str, min_overlap: int, max_mismatch: float) -> str | None:
-    """Merges a read with the reverse complement of its mate over their best ungapped
-    overlap (fewest mismatches for its length, then the longest); None without one."""
-    best = None
-    for k in range(min(len(first), len(second)), min_overlap - 1, -1):
-        bad = sum(x != y for x, y in zip(first[-k:], second[:k], strict=True))
-        if bad <= max_mismatch * k and (best is None or bad / k < best[0]):
-            best = (bad / k, k)
-            if not bad:
-                break
-    return first + second[best[1] :] if best else None
-
-
 def merge_pairs(min_overlap: int = 10, max_mismatch: float = 0.1):
     """A pandas UDF ``(seq, reverse complement of the mate) -> merged seq`` or null."""
 
     @F.pandas_udf(T.StringType())
     def merge(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None or y is None else join_pair(x, y, min_overlap, max_mismatch) for x, y in zip(a, b, strict=True)], dtype=object)
+        return pd.Series(_where_known(lambda x, y: batch.joined(x, y, min_overlap, max_mismatch), a, b), dtype=object)
 
     return merge
 
 
-def align_marks(a: str, b: str) -> str:
-    """Global alignment of two sequences (match 1, mismatch and gap -1) as one mark for
-    each base of ``a``: * where it is matched by an equal base, - elsewhere."""
-    n, m = len(a), len(b)
-    s = [[-j for j in range(m + 1)]]
-    for i in range(1, n + 1):
-        row = [-i]
-        for j in range(1, m + 1):
-            row.append(max(s[i - 1][j - 1] + (1 if a[i - 1] == b[j - 1] else -1), s[i - 1][j] - 1, row[j - 1] - 1))
-        s.append(row)
-    marks, i, j = [], n, m
-    while i:
-        if j and s[i][j] == s[i - 1][j - 1] + (1 if a[i - 1] == b[j - 1] else -1):
-            marks.append("*" if a[i - 1] == b[j - 1] else "-")
-            i, j = i - 1, j - 1
-        elif s[i][j] == s[i - 1][j] - 1:
-            marks.append("-")
-            i -= 1
-        else:
-            j -= 1
-    return "".join(reversed(marks))
-
-
 @F.pandas_udf(T.StringType())
 def match_marks(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else align_marks(x, y) for x, y in zip(a, b, strict=True)], dtype=object)
+    return pd.Series(_where_known(batch.marks, a, b), dtype=object)
+
+
+def _struct(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.IntegerType()) for n in names])
+
+
+@F.pandas_udf(_struct("edits", "start", "end"))
+def laid_inside(longer: pd.Series, shorter: pd.Series) -> pd.DataFrame:
+    """The least edits of the whole shorter sequence inside the longer one, and where."""
+    return pd.DataFrame(batch.edits_inside(longer.tolist(), shorter.tolist()), columns=["edits", "start", "end"])
+
+
+def best_segments(gap: int):
+    """A pandas UDF ``(query, target, offset) -> start, end, matches, insert, tStart, tEnd``."""
+
+    @F.pandas_udf(_struct("start", "end", "matches", "insert", "tStart", "tEnd"))
+    def segments(q: pd.Series, t: pd.Series, offset: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(batch.segments(q.tolist(), t.tolist(), offset.tolist(), gap=gap), columns=["start", "end", "matches", "insert", "tStart", "tEnd"])
+
+    # A filter on its result would otherwise run it twice.
+    return segments.asNondeterministic()

@@ -21,20 +21,23 @@ def _top(df: DataFrame, by: list[str], value: str, *order) -> DataFrame:
     return df.groupBy(*by).agg(F.min_by(value, F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.col(value).alias("v"))).alias(value))
 
 
-def pair_mates(anchor: DataFrame, adrift: DataFrame, min_width: int = 40, max_width: int = 100_000) -> DataFrame:
+def pair_mates(anchor: DataFrame, adrift: DataFrame, min_width: int = 40, max_width: int = 100_000, query_start: bool = False) -> DataFrame:
     """Fragments of reads whose two mates aligned to one chromosome on opposite strands
     with the anchor first: a many-to-many join on (readID, tName) with residual
     conditions. Alignments have 0-based ``tStart`` and inclusive ``tEnd``; fragments are
-    1-based and inclusive. -> ``(readID, chromosome, strand, fragStart, fragEnd)``."""
-    a = anchor.select("readID", "tName", F.col("strand").alias("s"), F.col("tStart").alias("as"), F.col("tEnd").alias("ae"))
+    1-based and inclusive. -> ``(readID, chromosome, strand, fragStart, fragEnd)``, with
+    ``query_start`` also the smallest ``qStart`` of the anchor alignments behind each."""
+    more = [F.col("qStart")] if query_start else []
+    a = anchor.select("readID", "tName", F.col("strand").alias("s"), F.col("tStart").alias("as"), F.col("tEnd").alias("ae"), *more)
     d = adrift.select("readID", "tName", F.col("strand").alias("ds"), F.col("tStart").alias("bs"), F.col("tEnd").alias("be"))
     plus = F.col("s") == "+"
     start = F.when(plus, F.col("as")).otherwise(F.col("bs")) + 1
     end = F.when(plus, F.col("be")).otherwise(F.col("ae")) + 1
     both = a.join(d, ["readID", "tName"]).where(F.col("s") != F.col("ds"))
-    both = both.select("readID", F.col("tName").alias("chromosome"), F.col("s").alias("strand"), start.alias("fragStart"), end.alias("fragEnd"))
+    both = both.select("readID", F.col("tName").alias("chromosome"), F.col("s").alias("strand"), start.alias("fragStart"), end.alias("fragEnd"), *more)
     width = F.col("fragEnd") - F.col("fragStart") + 1
-    return both.where(width.between(min_width, max_width)).distinct()
+    both = both.where(width.between(min_width, max_width))
+    return both.groupBy("readID", *PLACE).agg(F.min("qStart").alias("qStart")) if query_start else both.distinct()
 
 
 def cap_placements(anchor: DataFrame, adrift: DataFrame, most: int = 1500) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -313,15 +316,24 @@ def leader_frequency(fragments: DataFrame, by: list[str] | None = None) -> DataF
     return n.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "leaderSeq")))
 
 
-def cluster_order(fragments: DataFrame) -> DataFrame:
-    """Leaders of each site with what orders them before they are clustered: the site's
-    distinct widths, the leader's reads and its length, all descending, then letters."""
+def cluster_order(fragments: DataFrame, column: str = "leaderSeq") -> DataFrame:
+    """Sequences (``column``) of each site with what orders them before they are clustered:
+    the site's distinct widths, the sequence's reads and its length, all descending, then
+    letters. -> ``(*SAMPLE, posid, column, reads, abundance, length)``."""
     f = with_position(fragments).withColumn("posid", posid("chromosome", "strand", "position"))
     by = [*SAMPLE, "posid"]
     site = f.groupBy(*by).agg(F.count_distinct(F.col("fragEnd") - F.col("fragStart")).alias("abundance"))
-    n = f.groupBy(*by, "leaderSeq").agg(F.count_distinct("readID").alias("reads")).join(site, by)
-    n = n.withColumn("length", F.length("leaderSeq"))
-    return n.withColumn("place", F.row_number().over(Window.partitionBy(*SAMPLE).orderBy(F.desc("abundance"), F.desc("reads"), F.desc("length"), "posid", "leaderSeq")))
+    n = f.groupBy(*by, column).agg(F.count_distinct("readID").alias("reads")).join(site, by)
+    return n.withColumn("length", F.length(column))
+
+
+def clustered_by_order(fragments: DataFrame, column: str, identity: float = 0.87) -> DataFrame:
+    """Greedy clusters of the sequences of each sample, those of abundant sites and then of
+    many reads first among sequences of one length -> ``(*SAMPLE, column, rep)``."""
+    from loomsite.operators.clusters import cluster
+
+    order = [F.max("abundance"), F.sum("reads")]
+    return cluster(cluster_order(fragments.where(F.col(column).isNotNull()), column), SAMPLE, column, identity, order)
 
 
 def top_position_shares(fragments: DataFrame, cluster: str = "leaderSeq", top: int = 3) -> DataFrame:

@@ -7,9 +7,11 @@ hash keys to shuffle on, whatever the sizes, and no nested loop.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomsite.operators.scans import running
+
 #: Bases of a bin: a little over the usual interval, so that most touch one or two.
 BIN = 1 << 14
 
@@ -35,11 +37,10 @@ def overlaps(left: DataFrame, right: DataFrame, on: dict[str, str], left_range:
 def merge(df: DataFrame, by: list[str], start: str = "start", end: str = "end", min_gap: int = 1) -> DataFrame:
     """Merges the intervals of each group that overlap or have fewer than ``min_gap``
     bases between them -> ``(*by, start, end, n)`` with the number merged."""
-    order = Window.partitionBy(*by).orderBy(start, end)
-    so_far = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(so_far.isNull() | (F.col(start) - so_far - 1 >= min_gap), 1).otherwise(0)
-    island = F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    marked = df.select(*by, start, end).withColumn("__new", new).withColumn("__island", island)
+    known = running(df.select(*by, start, end), by, start, {"__far": ("max", end)}, ties=[end], earlier=True)
+    new = F.when(F.col("__far").isNull() | (F.col(start) - F.col("__far") - 1 >= min_gap), 1).otherwise(0)
+    # Of rows with one start one at most begins an island, and all of them are in it.
+    marked = running(known.withColumn("__new", new), by, start, {"__island": ("sum", "__new")})
     return marked.groupBy(*by, "__island").agg(F.min(start).alias("start"), F.max(end).alias("end"), F.count(F.lit(1)).alias("n")).drop("__island")
 
 
@@ -51,10 +52,10 @@ def nearest(points: DataFrame, features: DataFrame, point: tuple[str, str], feat
     the number of bases between, 0 for overlapping and for adjacent intervals. Points
     whose chromosome has no feature are left out.
 
-    Points and feature bounds are merged in one sorted pass per chromosome: the largest
-    end at or before a point and the smallest start at or after it are running
-    aggregates. Joining back on these two bounds brings in ties, and overlapping
-    features come from the binned join; a chromosome's positions are sorted once.
+    Points and feature bounds are merged in one order: the largest end at or before a point
+    and the smallest start at or after it are running aggregates, worked out in bins with
+    carries (``scans``). Joining back on these two bounds brings in ties, and overlapping
+    features come from the binned join.
     """
     pc, pp = point
     fc, fs, fe = feature
@@ -64,8 +65,8 @@ def nearest(points: DataFrame, features: DataFrame, point: tuple[str, str], feat
     bounds = features.select(F.col(fc).alias("__c"), F.col(fe).alias("__at"), F.col(fe).alias("__end"), F.lit(None).cast("int").alias("__start"))
     bounds = bounds.unionByName(features.select(F.col(fc).alias("__c"), F.col(fs).alias("__at"), F.lit(None).cast("int").alias("__end"), F.col(fs).alias("__start")))
     both = bounds.withColumn("__p", F.lit(None).cast("int")).unionByName(outside.select(F.col(pc).alias("__c"), F.col(pp).alias("__at"), F.lit(None).cast("int").alias("__end"), F.lit(None).cast("int").alias("__start"), F.col(pp).alias("__p")))
-    order = Window.partitionBy("__c").orderBy("__at")
-    near = both.select("__c", "__p", F.max("__end").over(order).alias("__before"), F.min("__start").over(Window.partitionBy("__c").orderBy(F.desc("__at"))).alias("__after")).where("__p is not null")
+    near = running(both, ["__c"], "__at", {"__before": ("max", "__end")})
+    near = running(near, ["__c"], "__at", {"__after": ("min", "__start")}, backwards=True).where("__p is not null")
     gap_before, gap_after = F.col("__p") - F.col("__before") - 1, F.col("__after") - F.col("__p") - 1
     near = near.withColumn("distance", F.least(gap_before, gap_after)).where("distance is not null")
     left = near.where(gap_before == F.col("distance")).join(features, (F.col("__c") == F.col(fc)) & (F.col("__before") == F.col(fe)))

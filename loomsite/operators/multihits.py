@@ -71,13 +71,28 @@ def multihit_clusters(multi: DataFrame) -> DataFrame:
     return out.withColumn("clusterID", F.concat(F.lit("MHC."), number.cast("string"))).drop("component")
 
 
-def cluster_abundance(clusters: DataFrame, fragments: DataFrame) -> DataFrame:
-    """Adds ``clusterSonicLengths`` (distinct breaks of a cluster's reads) and
-    ``nodeSonicLengths`` (those of each site, as an array of structs)."""
-    at = with_position(fragments).withColumn("posid", posid("chromosome", "strand", "position")).select(*SAMPLE, "readID", "posid", "break").distinct()
+def cluster_abundance(clusters: DataFrame, fragments: DataFrame, starts: str | None = None, identity: float = 0.87) -> DataFrame:
+    """Adds ``clusterSonicLengths`` (distinct fragments of a cluster's reads) and
+    ``nodeSonicLengths`` (those of each site, as an array of structs).
+
+    Fragments are told apart by where their adrift reads start: with ``starts``, a column
+    of the first bases of adrift reads, by clusters of like starts, those of most reads
+    first, within the multi-hit cluster and within each of its sites, so that a start with
+    an error counts once; without, by their breaks."""
+    column = starts or "break"
+    at = with_position(fragments).withColumn("posid", posid("chromosome", "strand", "position"))
     member = clusters.select(*SAMPLE, "clusterID", F.explode("posids").alias("posid"))
-    hits = at.join(member, [*SAMPLE, "posid"]).join(clusters.select(*SAMPLE, "clusterID", F.explode("readIDs").alias("readID")), [*SAMPLE, "clusterID", "readID"])
-    node = hits.groupBy(*SAMPLE, "clusterID", "posid").agg(F.count_distinct("break").cast("int").alias("sonicLengths"))
-    node = node.groupBy(*SAMPLE, "clusterID").agg(F.sort_array(F.collect_list(F.struct("posid", "sonicLengths"))).alias("nodeSonicLengths"))
-    whole = hits.groupBy(*SAMPLE, "clusterID").agg(F.count_distinct("break").alias("clusterSonicLengths"))
-    return clusters.join(whole, [*SAMPLE, "clusterID"], "left").join(node, [*SAMPLE, "clusterID"], "left")
+    hits = at.select(*SAMPLE, "readID", "posid", F.col(column).alias("start")).distinct().join(member, [*SAMPLE, "posid"])
+    hits = saved(hits.join(clusters.select(*SAMPLE, "clusterID", F.explode("readIDs").alias("readID")), [*SAMPLE, "clusterID", "readID"]))
+
+    def counted(by: list[str], name: str) -> DataFrame:
+        if starts is None:
+            return hits.groupBy(*by).agg(F.count_distinct("start").alias(name))
+        from loomsite.operators.clusters import cluster
+
+        return cluster(hits, by, "start", identity, [F.count_distinct("readID")]).groupBy(*by).agg(F.count_distinct("rep").alias(name))
+
+    whole = [*SAMPLE, "clusterID"]
+    node = counted([*whole, "posid"], "n").withColumn("sonicLengths", F.col("n").cast("int"))
+    node = node.groupBy(*whole).agg(F.sort_array(F.collect_list(F.struct("posid", "sonicLengths"))).alias("nodeSonicLengths"))
+    return clusters.join(counted(whole, "clusterSonicLengths"), whole, "left").join(node, whole, "left")

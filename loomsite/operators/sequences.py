@@ -1,15 +1,13 @@
-"""Similarity of sequences: alignment to references, clustering, rearrangements."""
+"""Sequences against references and each other: alignment, leaders, rearrangements."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loomsite.functions.dna import mismatches, reverse_complement, wallace_temperature
-from loomsite.functions.vectorized import match_marks, merge_pairs, trim_adapter
+from loomsite.functions.vectorized import best_segments, match_marks, merge_pairs, trim_adapter
+from loomsite.operators.clusters import cluster, links, settle
 from loomsite.operators.intervals import merge
 from loomsite.operators.multihits import saved
 
@@ -20,37 +18,17 @@ def _kmers(seq, k: int):
     return F.transform(starts, lambda i: F.substring(F.col(seq), i, F.lit(k)))
 
 
-def best_segment(q: str, t: str, offset: int, penalty: int = 3) -> tuple[int, int, int]:
-    """On the diagonal where q[i] meets t[i + offset]: start and end of the stretch of the
-    highest score (1 for a match, ``-penalty`` for none), and its matches."""
-    a, b = max(0, -offset), min(len(q), len(t) - offset)
-    if a >= b:
-        return 0, 0, 0
-    same = np.frombuffer(q[a:b].encode(), np.uint8) == np.frombuffer(t[a + offset : b + offset].encode(), np.uint8)
-    total = np.concatenate([[0], np.cumsum(np.where(same, 1, -penalty))])
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    start = int(np.argmin(total[: end + 1]))
-    return a + start, a + end, int(same[start:end].sum())
-
-
-_SEGMENT = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("matches", T.IntegerType())])
-
-
-@F.pandas_udf(_SEGMENT)
-def _segments(q: pd.Series, t: pd.Series, offset: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([best_segment(*x) for x in zip(q, t, offset, strict=True)], columns=["start", "end", "matches"])
-
-
-def align(queries: DataFrame, targets: DataFrame, k: int = 11, min_seeds: int = 2, min_length: int = 20, min_identity: float = 90.0, chunk: int = 4096) -> DataFrame:
-    """Near-ungapped local alignments of distinct ``queries (seq)`` to ``targets (tName,
-    tSeq)`` on both strands: k-mers of both sides are joined, hits counted by diagonal, and
-    the best stretch of each diagonal with ``min_seeds`` verified. Targets are dealt in
+def align(queries: DataFrame, targets: DataFrame, k: int = 11, min_seeds: int = 2, min_length: int = 20, min_identity: float = 90.0, chunk: int = 4096, gap: int = 4) -> DataFrame:
+    """Local alignments of distinct ``queries (seq)`` to ``targets (tName, tSeq)`` on both
+    strands, with one insert of one base at most: k-mers of both sides are joined, hits
+    counted by diagonal, and each diagonal with ``min_seeds`` verified together with its
+    two neighbours, which an insert (at a cost of ``gap``) leads to. Targets are dealt in
     chunks, and only the bases beside a query travel with it.
 
     -> PSL-like ``(seq, tName, strand, qSize, qStart, qEnd, tStart, tEnd, matches,
-    misMatches, queryPercentID)``, 0-based and half-open on the query's own strand. Give it
-    distinct sequences and join the result back to the reads that share them."""
+    misMatches, qNumInsert, qBaseInsert, tNumInsert, tBaseInsert, queryPercentID)``,
+    0-based and half-open on the query's own strand. Give it distinct sequences and join
+    the result back to the reads that share them."""
     q = queries.select("seq").distinct()
     both = q.select("seq", F.lit("+").alias("strand"), F.col("seq").alias("s")).unionByName(q.select("seq", F.lit("-").alias("strand"), reverse_complement("seq").alias("s")))
     qk = both.select("seq", "strand", "s", F.posexplode(_kmers("s", k)).alias("qp", "kmer"))
@@ -59,20 +37,23 @@ def align(queries: DataFrame, targets: DataFrame, k: int = 11, min_seeds: int =
     tc = targets.where(F.length("tSeq") >= k).select("tName", "tSeq", F.explode(chunks).alias("c")).select("tName", "c", F.expr(f"substring(tSeq, c * {chunk} + 1, {chunk + k - 1})").alias("part"))
     tk = tc.select("tName", "c", F.posexplode(_kmers("part", k)).alias("tp", "kmer")).select("tName", "kmer", (F.col("tp") + F.col("c") * chunk).alias("tp"))
     seeds = qk.join(tk, "kmer").groupBy("seq", "strand", "s", "tName", (F.col("tp") - F.col("qp")).alias("offset")).agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= min_seeds)
-    # To a diagonal go the target's bases beside the query only, from the chunks they lie in.
-    at = F.greatest("offset", F.lit(0))
-    span = seeds.withColumn("__i", F.explode(F.sequence(F.floor(at / chunk).cast("int"), F.floor((at + F.length("s")) / chunk).cast("int"))))
+    # To a diagonal go the target's bases beside the query and one on either side only, from
+    # the chunks they lie in.
+    at, size = F.greatest(F.col("offset") - 1, F.lit(0)), F.length("s") + 2
+    span = seeds.withColumn("__i", F.explode(F.sequence(F.floor(at / chunk).cast("int"), F.floor((at + size) / chunk).cast("int"))))
     text = targets.select("tName", "tSeq", F.explode(F.sequence(F.lit(0), F.floor(F.length("tSeq") / chunk).cast("int"))).alias("__i")).select("tName", "__i", F.expr(f"substring(tSeq, __i * {chunk} + 1, {chunk})").alias("__text"))
     key = ["seq", "strand", "s", "tName", "offset"]
     got = span.join(text, ["tName", "__i"]).withColumn("__low", F.floor(at / chunk).cast("int") * chunk).groupBy(*key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__i", "__text"))), lambda x: x["__text"]), "").alias("__text"), F.min("__low").alias("__low"))
-    got = got.withColumn("__text", F.substr("__text", (at - F.col("__low") + 1).cast("int"), F.length("s")))
-    hit = got.withColumn("x", _segments("s", "__text", F.least("offset", F.lit(0))))
-    n, length = F.length("s"), F.col("x.end") - F.col("x.start")
+    got = got.withColumn("__text", F.substr("__text", (at - F.col("__low") + 1).cast("int"), size))
+    hit = got.withColumn("__at", at).withColumn("x", best_segments(gap)("s", "__text", (F.col("offset") - F.col("__at")).cast("int")))
+    n, length, insert = F.length("s"), F.col("x.end") - F.col("x.start"), F.col("x.insert")
     plus = F.col("strand") == "+"
+    more, less = F.when(insert > 0, 1).otherwise(0), F.when(insert < 0, 1).otherwise(0)
     out = hit.select("seq", "tName", "strand", n.alias("qSize"), F.when(plus, F.col("x.start")).otherwise(n - F.col("x.end")).alias("qStart"), F.when(plus, F.col("x.end")).otherwise(n - F.col("x.start")).alias("qEnd"),
-                     (F.col("x.start") + F.col("offset")).alias("tStart"), (F.col("x.end") + F.col("offset")).alias("tEnd"), F.col("x.matches").alias("matches"), (length - F.col("x.matches")).alias("misMatches"),
-                     (100.0 * F.col("x.matches") / length).alias("queryPercentID"))
-    return out.where((F.col("qEnd") - F.col("qStart") >= min_length) & (F.col("queryPercentID") >= min_identity))
+                     (F.col("x.tStart") + F.col("__at")).cast("int").alias("tStart"), (F.col("x.tEnd") + F.col("__at")).cast("int").alias("tEnd"), F.col("x.matches").alias("matches"), (length - less - F.col("x.matches")).alias("misMatches"),
+                     less.alias("qNumInsert"), less.alias("qBaseInsert"), more.alias("tNumInsert"), more.alias("tBaseInsert"), (100.0 * F.col("x.matches") / length).alias("queryPercentID"))
+    # Both diagonals of an insert lead to the same alignment.
+    return out.where((F.col("qEnd") - F.col("qStart") >= min_length) & (F.col("queryPercentID") >= min_identity)).distinct()
 
 
 def trim_reads(reads: DataFrame, seq: str, adapter: str, error: float = 0.15, min_length: int = 30) -> DataFrame:
@@ -90,79 +71,62 @@ def merge_reads(reads: DataFrame, min_overlap: int = 10, min_length: int = 50) -
     return out.where(F.length("seq") >= min_length)
 
 
-def cluster(df: DataFrame, by: list[str], seq: str, identity: float = 0.87, order: str | None = None, k: int = 5) -> DataFrame:
-    """Greedy clusters of the distinct sequences of each ``by`` -> ``(*by, seq, rep)``.
-
-    Sequences go in order of length, then of ``order`` (a weight, heavy first), then of
-    letters; each joins the first representative of identity ``identity`` (1 - edits /
-    length of the shorter), or becomes one. Candidates share one of the rarest k-mers:
-    with at most e edits, e * k + 1 of the rarest of both must meet, so that k-mers of all
-    reads make no pairs. The greedy pass runs as rounds over the links: a sequence whose
-    earlier neighbours are all members is a representative, one with an earlier
-    representative among them is a member; each round settles at least the first.
-    """
-    weight = F.sum(order) if order else F.count(F.lit(1))
-    s, o, gram = "__s", "__o", "__gram"
-    own = df.where(F.col(seq).isNotNull()).groupBy(*by, F.col(seq).alias(s)).agg(weight.alias("__w"))
-    own = saved(own.select(*by, s, F.struct((-F.length(s)).alias("l"), (-F.col("__w")).alias("w"), F.col(s).alias("s")).alias(o)))
-    grams = own.select(*by, s, o, F.explode(F.array_distinct(_kmers(s, k))).alias(gram))
-    freq = grams.groupBy(*by, gram).agg(F.count(F.lit(1)).alias("__f"))
-    rare = Window.partitionBy(*by, s).orderBy("__f", gram)
-    few = grams.join(freq, [*by, gram]).withColumn("__n", F.row_number().over(rare)).where(F.col("__n") <= F.floor(F.length(s) * (1 - identity) + 1e-9) * k + 1)
-    a = few.select(*by, gram, F.col(s).alias("__a"), F.col(o).alias("__ao"))
-    b = few.select(*by, gram, F.col(s).alias("__b"), F.col(o).alias("__bo"))
-    size = F.least(F.length("__a"), F.length("__b"))
-    edits = F.floor(size * (1 - identity) + 1e-9).cast("int")
-    near = a.join(b, [*by, gram]).where((F.col("__ao") < F.col("__bo")) & (F.abs(F.length("__a") - F.length("__b")) <= edits)).select(*by, "__a", "__b", "__ao").distinct()
-    near = saved(near.where(F.levenshtein("__a", "__b") <= edits))
-    state = own.select(*by, s, F.lit(None).cast("string").alias("rep"))
-    while True:
-        of = state.select(*by, F.col(s).alias("__a"), F.col("rep").alias("__arep"))
-        told = near.join(of, [*by, "__a"]).groupBy(*by, F.col("__b").alias(s)).agg(
-            F.min(F.when(F.col("__arep") == F.col("__a"), F.struct(F.col("__ao").alias("o"), F.col("__a").alias("a")))).alias("__first"),
-            F.min(F.when(F.col("__arep").isNull(), F.col("__ao"))).alias("__open"),
-        )
-        new = state.join(told, [*by, s], "left")
-        # The first representative counts once no earlier neighbour is undecided.
-        settled = F.when(F.col("__open").isNull() | (F.col("__first.o") < F.col("__open")), F.coalesce("__first.a", F.when(F.col("__open").isNull(), F.col(s))))
-        state = saved(new.select(*by, s, F.coalesce("rep", settled).alias("rep")))
-        if state.where("rep is null").isEmpty():
-            return state.withColumnRenamed(s, seq)
-
-
-def collapse_clusters(reads: DataFrame, clusters: DataFrame, tag: str = "adriftReadRandomID", seq: str = "anchorReadSeq") -> DataFrame:
-    """One read for each cluster and molecular tag, the representative's if it has the tag,
-    with the number that it stands for."""
-    by = [c for c in clusters.columns if c not in (seq, "rep")]
-    of = reads.join(clusters, [*by, seq])
-    w = Window.partitionBy(*by, "rep", tag)
-    order = w.orderBy(F.when(F.col(seq) == F.col("rep"), 0).otherwise(1), "readID")
-    out = of.withColumn("__n", F.row_number().over(order)).withColumn("nDuplicateReads", (F.count(F.lit(1)).over(w) - 1).cast("int"))
-    return out.where("__n = 1").drop("__n", "rep")
-
-
-def rearrangement(hits: pd.DataFrame, min_length: int, max_tail: int, gap: int = 10, overlap: int = 5) -> str:
-    """The chain of local hits of one read as ``qs..qe[s+e];...``: from the left, the next
-    hit that begins at most ``overlap`` bases before the last one's end, by start, e-value
-    and bit score; unexplained gaps and a long unexplained tail are ``[x]``."""
-    rows = hits[hits.qend - hits.qstart + 1 >= min_length].sort_values(["qstart", "evalue", "bitscore", "sseqid", "sstart"], ascending=[True, True, False, True, True])
-    out, end = [], None
-    for h in rows.itertuples():
-        if end is not None and (h.qstart < end - overlap or h.qstart // 5 == last // 5):
-            continue
-        if end is not None and h.qstart - end >= gap:
-            out.append(f"{end + 1}..{h.qstart - 1}[x]")
-        lo, hi = min(h.sstart, h.send), max(h.sstart, h.send)
-        out.append(f"{h.qstart}..{h.qend}[{lo}{'+' if h.send >= h.sstart else '-'}{hi}]")
-        end, last = h.qend, h.qstart
-    if end is not None and hits.qlen.iloc[0] - end >= max_tail:
-        out.append(f"{end + 1}..{hits.qlen.iloc[0]}[x]")
-    return ";".join(out)
-
-
-def rearrangements(hits: DataFrame, min_length: int = 15, max_tail: int = 5) -> DataFrame:
-    """``(qname, model)`` from a hit table with ``qlen``; a group is one read's hits."""
-    return hits.groupBy("qname").applyInPandas(lambda pdf: pd.DataFrame({"qname": [pdf.qname.iloc[0]], "model": [rearrangement(pdf, min_length, max_tail)]}), "qname string, model string")
+def rearrangements(hits: DataFrame, min_length: int = 15, max_tail: int = 5, gap: int = 10, overlap: int = 5) -> DataFrame:
+    """``(qname, model)`` from a hit table with ``qlen``: the chain of a read's local hits as
+    ``qs..qe[s+e];...``. From the left, the next hit that begins at most ``overlap`` bases
+    before the last one's end, by start, e-value and bit score; unexplained gaps and a long
+    unexplained tail are ``[x]``. The chain is a fold over a read's sorted hits."""
+    hit = F.struct("qstart", "evalue", (-F.col("bitscore")).alias("b"), "sseqid", "sstart", "qend", "send")
+    rows = hits.groupBy("qname").agg(F.array_sort(F.collect_list(F.when(F.col("qend") - F.col("qstart") + 1 >= min_length, hit))).alias("h"), F.max("qlen").alias("qlen"))
+    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(None).cast("long").alias("end"), F.lit(None).cast("long").alias("last"))
+
+    def text(*parts) -> Column:
+        return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+
+    def chain(acc: Column, h: Column) -> Column:
+        skip = acc["end"].isNotNull() & ((h["qstart"] < acc["end"] - overlap) | (F.floor(h["qstart"] / 5) == F.floor(acc["last"] / 5)))
+        lost = F.when(acc["end"].isNotNull() & (h["qstart"] - acc["end"] >= gap), F.array(text((acc["end"] + 1).cast("string"), "..", (h["qstart"] - 1).cast("string"), "[x]"))).otherwise(F.array().cast("array<string>"))
+        low, high = F.least(h["sstart"], h["send"]).cast("string"), F.greatest(h["sstart"], h["send"]).cast("string")
+        own = text(h["qstart"].cast("string"), "..", h["qend"].cast("string"), "[", low, F.when(h["send"] >= h["sstart"], "+").otherwise("-"), high, "]")
+        more = F.struct(F.concat(acc["out"], lost, F.array(own)).alias("out"), h["qend"].cast("long").alias("end"), h["qstart"].cast("long").alias("last"))
+        return F.when(skip, acc).otherwise(more)
+
+    def finish(acc: Column) -> Column:
+        tail = F.when(F.col("qlen") - acc["end"] >= max_tail, F.array(text((acc["end"] + 1).cast("string"), "..", F.col("qlen").cast("string"), "[x]"))).otherwise(F.array().cast("array<string>"))
+        return F.array_join(F.concat(acc["out"], tail), ";")
+
+    return rows.select("qname", F.aggregate("h", start, chain, finish).alias("model"))
+
+
+def capture_by_consensus(reads: DataFrame, profiles: list[tuple[str, str]], min_score: float = 10.0, max_start: int = 3, max_search: int = 100, match: float = 2.0, other: float = -3.0, seq: str = "anchorReadSeq") -> DataFrame:
+    """Where the leader of each read ends, by ``profiles``, a list of (name, consensus) of the
+    ends of vectors, for reads without a table of profile hits -> ``(readID, name, qStart, qEnd,
+    score)``, the best profile and place of each read.
+
+    A profile is laid without gaps on the first ``max_search`` bases: a base that agrees
+    scores ``match``, another one ``other``, an N of the consensus 0, and the leader ends
+    where the running score of the profile is highest (ties: the longest), so that a read
+    may leave the profile early. Places up to ``max_start`` count, and ends of
+    ``min_score`` at least (ties: the first start, then the first name).
+
+    Reads share their starts: each distinct one is scored once, in the JVM, against the
+    configured profiles at each place. Null reads, and reads that no profile fits, have no
+    row."""
+    start = F.substring(seq, 1, max_search)
+    starts = reads.select(start.alias("__start")).where("__start is not null").distinct()
+    places = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(c).alias("consensus"), F.lit(i).alias("qStart")) for n, c in profiles if c for i in range(max_start + 1)])
+    sides = starts.select("__start", F.explode(places).alias("p")).select("__start", "p.*")
+    steps = F.transform(F.sequence(F.lit(1), F.length("consensus")), lambda i: F.struct(F.substr("consensus", i, F.lit(1)).alias("c"), F.substr("__start", i + F.col("qStart"), F.lit(1)).alias("b")))
+    zero = F.struct(F.lit(0.0).alias("run"), F.lit(0).alias("at"), F.lit(-1e9).alias("best"), F.lit(0).alias("end"))
+
+    def step(acc: Column, x: Column) -> Column:
+        run = acc["run"] + F.when(x["b"] == "", F.lit(-1e9)).when(x["c"] == "N", 0.0).when(x["c"] == x["b"], match).otherwise(other)
+        return F.struct(run.alias("run"), (acc["at"] + 1).alias("at"), F.greatest(acc["best"], run).alias("best"), F.when(run >= acc["best"], acc["at"] + 1).otherwise(acc["end"]).alias("end"))
+
+    laid = sides.withColumn("x", F.aggregate(steps, zero, step)).where(F.col("x.best") >= min_score)
+    best = laid.groupBy("__start").agg(F.min(F.struct((-F.col("x.best")).alias("s"), "qStart", "name", F.col("x.end").alias("end"))).alias("m"))
+    best = best.select("__start", F.col("m.name").alias("name"), F.col("m.qStart").alias("qStart"), (F.col("m.qStart") + F.col("m.end")).cast("int").alias("qEnd"), (-F.col("m.s")).alias("score"))
+    return reads.select("readID", start.alias("__start")).join(best, "__start").drop("__start")
 
 
 def leader_ends(hits: DataFrame, max_gap: int = 5, max_start: int = 5) -> DataFrame:
@@ -178,32 +142,49 @@ def rarefy(reads: DataFrame, by: list[str], levels: tuple[int, ...], seeds: tupl
     of a unit whose hashes with the seed are smallest (0: all)."""
     grid = F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.lit(s).alias("seed")) for n in levels for s in (seeds if n else seeds[:1])])).alias("g")
     rows = reads.select(*by, "readID", seq, grid).select(*by, "readID", seq, "g.level", "g.seed")
-    order = Window.partitionBy(*by, "level", "seed").orderBy(F.md5(F.concat_ws("~", "readID", F.col("seed").cast("string"))), "readID")
-    rows = rows.withColumn("__n", F.row_number().over(order)).where("level = 0 or __n <= level").drop("__n")
+    order = Window.partitionBy(*by, "level", "seed").orderBy(F.md5(F.concat_ws("~", "readID", F.col("seed").cast("string"))), "readID", seq)
+    # Level 0 keeps its reads without a rank: its units may be large.
+    some = rows.where("level > 0").withColumn("__n", F.row_number().over(order)).where("__n <= level").drop("__n")
+    rows = rows.where("level = 0").unionByName(some) if 0 in levels else some
     rows = rows.withColumn("window", F.explode(F.array(*[F.lit(w) for w in windows]))).where(F.length(seq) >= F.col("window"))
     return rows.withColumn(seq, F.expr(f"substring({seq}, 1, window)"))
 
 
-#: Expected sequences of a run: a configured list, this many at most.
-EXPECTED = 1000
-
-
 def structure_stats(rarefied: DataFrame, by: list[str], seq: str, expected: DataFrame, min_reads: int = 2, identity: float = 0.9) -> DataFrame:
     """Of each unit, window, level and seed: reads, those whose structure is ``expected``
     (column ``expected``), others, distinct other structures of ``min_reads`` at least, the
     share of others in percent and structures per kilobase.
 
-    Structures are clusters of windows of ``identity``. The expected sequences, cut to the
-    window, go into the clustering with a weight that brings them before all others, so
-    that they stand for the windows that are like them."""
+    Structures are greedy clusters of windows of ``identity``, expected sequences first, so
+    that they stand for the windows that are like them. What the expected sequences take
+    is the same for all units, levels and seeds: their representatives are found once, and
+    the distinct windows of the run are joined with them once. Among the windows that none
+    of them takes, links are found once, too, and each unit's greedy pass reads the links
+    between its own windows."""
     unit = [*by, "window", "level", "seed"]
-    n = rarefied.groupBy(*unit, seq).agg(F.count(F.lit(1)).alias("n"))
-    forced = rarefied.select(*unit).distinct().join(expected.select("expected").distinct().limit(EXPECTED))
-    forced = forced.where(F.length("expected") >= F.col("window")).select(*unit, F.expr("substring(expected, 1, window)").alias(seq), F.lit(1 << 40).alias("n")).distinct()
-    of = cluster(n.unionByName(forced), unit, seq, identity, "n")
-    known = forced.select(*unit, F.col(seq).alias("rep"), F.lit(True).alias("ok"))
-    n = n.join(of, [*unit, seq]).groupBy(*unit, "rep").agg(F.sum("n").alias("n")).join(known, [*unit, "rep"], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
-    out = n.groupBy(*unit).agg(F.sum("n").alias("reads"), F.coalesce(F.sum(F.when(F.col("ok"), F.col("n"))), F.lit(0)).alias("expectedReads"), F.count(F.when(~F.col("ok") & (F.col("n") >= min_reads), 1)).alias("altStructures"))
+    n = saved(rarefied.groupBy(*unit, seq).agg(F.count(F.lit(1)).alias("n")))
+    all_ = saved(n.select("window", F.col(seq).alias("__s")).distinct())
+    # The windows are a parameter of the run.
+    wide = F.array(*[F.lit(r[0]) for r in n.select("window").distinct().collect()])
+    known = expected.where("expected is not null").select("expected", F.explode(wide.cast("array<int>")).alias("window")).where(F.length("expected") >= F.col("window"))
+    known = saved(known.select("window", F.expr("substring(expected, 1, window)").alias("expected")).distinct())
+    heads = cluster(known, ["window"], "expected", identity, [F.max(F.lit(1))]).where("expected = rep").select("window", F.col("expected").alias("__s"))
+    # An order that depends on the window alone: expected ones go before all others.
+    first = saved(heads.select("window", "__s", F.struct(F.lit(0).alias("l"), F.col("__s").alias("s")).alias("__o")))
+    asked = all_.select("window", "__s", F.struct(F.lit(1).alias("l"), F.col("__s").alias("s")).alias("__o"))
+    taken = saved(links(first, asked, ["window"], identity).select("window", F.col("__b").alias("__s")).unionByName(first.select("window", "__s")).distinct())
+    rest = saved(asked.join(taken, ["window", "__s"], "left_anti"))
+    pairs = saved(links(rest, rest, ["window"], identity).select("window", "__a", "__b"))
+    n = n.join(taken.select("window", F.col("__s").alias(seq), F.lit(True).alias("ok")), ["window", seq], "left").withColumn("ok", F.coalesce("ok", F.lit(False)))
+    n = saved(n)
+    open_ = n.where("not ok").select(*unit, F.col(seq).alias("__s"), F.struct((-F.col("n")).alias("n"), F.col(seq).alias("s")).alias("__o"))
+    a = open_.select(*unit, F.col("__s").alias("__a"), F.col("__o").alias("__ao"))
+    b = open_.select(*unit, F.col("__s").alias("__b"), F.col("__o").alias("__bo"))
+    two = pairs.unionByName(pairs.select("window", F.col("__b").alias("__a"), F.col("__a").alias("__b")))
+    own = a.join(two, ["window", "__a"]).join(b, [*unit, "__b"]).where(F.col("__ao") < F.col("__bo")).select(*unit, "__a", "__ao", "__b")
+    reps = settle(open_, saved(own), unit).withColumnRenamed("__s", seq)
+    sizes = n.join(reps, [*unit, seq], "left").groupBy(*unit, "ok", F.coalesce("rep", F.lit("")).alias("rep")).agg(F.sum("n").alias("n"))
+    out = sizes.groupBy(*unit).agg(F.sum("n").alias("reads"), F.coalesce(F.sum(F.when(F.col("ok"), F.col("n"))), F.lit(0)).alias("expectedReads"), F.count(F.when(~F.col("ok") & (F.col("n") >= min_reads), 1)).alias("altStructures"))
     out = out.withColumn("unexpectedReads", F.col("reads") - F.col("expectedReads"))
     return out.withColumn("percentUnexpected", 100.0 * F.col("unexpectedReads") / F.col("reads")).withColumn("altStructuresPerKB", 1000.0 * F.col("altStructures") / F.col("window"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from loomsite.functions.dna import parse_posid, posid
 from loomsite.operators import alignments as al
+from loomsite.operators import clusters as cl
 from loomsite.operators import demux as dx
 from loomsite.operators import fragments as fr
 from loomsite.operators import intervals as iv
@@ -55,6 +56,9 @@ class Options:
     per_read: int = 500
     read_identity: float | None = None
     min_reads: int = 1
+    anchor_start: int = 30
+    adrift_start: int = 30
+    start_identity: float = 0.87
 
 
 #: What the kind of vector changes. A caller's own values go before these.
@@ -92,13 +96,14 @@ def demultiplex(raw: DataFrame, samples: DataFrame, o: Options = Options(), repl
     kept, lost = dx.collapse_duplicates(reads) if o.unique_reads else (reads.withColumn("nDuplicateReads", F.lit(0)), reads.select(F.col("readID").alias("duplicatedRepID"), "readID").limit(0))
     if o.read_identity:
         before = mh.saved(kept)
-        kept = sq.collapse_clusters(before.drop("nDuplicateReads"), sq.cluster(before, ["uniqueSample"], "anchorReadSeq", o.read_identity))
+        kept = cl.collapse_clusters(before.drop("nDuplicateReads"), cl.cluster(before, ["uniqueSample"], "anchorReadSeq", o.read_identity))
     return {"reads": kept, "dupReads": lost, "barcodes": dx.barcode_frequency(raw), "counts": dx.sample_counts(raw, samples), "missing": dx.missing_samples(kept, samples)}
 
 
-def prep_reads(reads: DataFrame, leader_hits: DataFrame | None = None, vectors: DataFrame | None = None, o: Options = Options()) -> dict[str, DataFrame]:
+def prep_reads(reads: DataFrame, leader_hits: DataFrame | None = None, vectors: DataFrame | None = None, o: Options = Options(), profiles: list[tuple[str, str]] | None = None) -> dict[str, DataFrame]:
     """Trims adapters and linkers, drops reads of the vector itself, captures leaders and
-    corrects molecular tags -> ``reads`` and ``vectorHits``."""
+    corrects molecular tags -> ``reads`` and ``vectorHits``. Leaders end where a table of
+    hits says, or else where ``profiles`` (name, consensus) do; reads without are dropped."""
     out = dx.remove_linker(reads)
     out = sq.trim_reads(out, "anchorReadSeq", "adriftReadTrimSeq", o.adapter_error, o.min_read)
     out = out.where(F.length("adriftReadSeq") >= o.min_read)
@@ -107,8 +112,8 @@ def prep_reads(reads: DataFrame, leader_hits: DataFrame | None = None, vectors:
         found = sq.align(out.select(F.right("adriftReadSeq", F.lit(25)).alias("seq")), vectors, min_length=22, min_identity=90)
         result["vectorHits"] = found
         out = out.withColumn("__end", F.right("adriftReadSeq", F.lit(25))).join(found.select(F.col("seq").alias("__end")).distinct(), "__end", "left_anti").drop("__end")
-    if leader_hits is not None:
-        ends = sq.leader_ends(leader_hits).withColumnRenamed("qname", "readID")
+    if leader_hits is not None or profiles:
+        ends = sq.leader_ends(leader_hits).withColumnRenamed("qname", "readID") if leader_hits is not None else sq.capture_by_consensus(out, profiles).select("readID", "qEnd")
         if o.forced_leader:
             ends = al.force_leaders(out, ends, o.forced_leader)
         if o.terminal:
@@ -130,8 +135,7 @@ def align_reads(reads: DataFrame, reference: DataFrame, o: Options = Options())
     result = {}
     for mate, column in (("anchor", "anchorReadSeq"), ("adrift", "adriftReadSeq")):
         hits = sq.align(reads.select(F.col(column).alias("seq")), reference)
-        full = hits.select("*", *[F.lit(0).alias(c) for c in ("qNumInsert", "qBaseInsert", "tNumInsert", "tBaseInsert")]).withColumn("tEnd", F.col("tEnd") - 1)
-        good = al.ends_aligned(al.accept(full, o.min_identity, max_query_start=o.max_query_start), o.max_unaligned)
+        good = al.ends_aligned(al.accept(al.shift_target(hits), o.min_identity, max_query_start=o.max_query_start), o.max_unaligned)
         result[mate] = reads.select("readID", F.col(column).alias("seq")).join(good, "seq").drop("seq")
     # The unaligned start of an anchor read belongs to its leader.
     result["anchor"] = al.extend_leader(result["anchor"].join(reads.select("readID", "leaderSeq", "anchorReadSeq"), "readID")).drop("anchorReadSeq") if {"leaderSeq", "anchorReadSeq"} <= set(reads.columns) else result["anchor"]
@@ -141,27 +145,36 @@ def align_reads(reads: DataFrame, reference: DataFrame, o: Options = Options())
 
 def build_fragments(anchor: DataFrame, adrift: DataFrame, reads: DataFrame, o: Options = Options()) -> DataFrame:
     """Pairs mates and adds what the reads know -> fragments, one row per read and place.
-    Reads with too many placements keep ``per_read`` of their anchor's and what is near."""
+    Reads with too many placements keep ``per_read`` of their anchor's and what is near.
+
+    ``anchorStart`` holds the first bases of an anchor read from where its alignment begins,
+    ``adriftStart`` those of an adrift read (both null where ``reads`` lacks sequences)."""
     a, b, many = fr.cap_placements(anchor, adrift, o.max_placements)
-    pairs = fr.pair_mates(a, b, o.min_width, o.max_width)
+    pairs = fr.pair_mates(a, b, o.min_width, o.max_width, query_start=True)
     if o.per_read:
         few, near = fr.salvage_mates(anchor, adrift.join(many.select("readID"), "readID", "left_semi"), many, o.per_read, o.max_width)
-        pairs = pairs.unionByName(fr.pair_mates(few, near, o.min_width, o.max_width))
-    known = reads.select("readID", "uniqueSample", "leaderSeq", F.col("adriftReadRandomID").alias("randomLinkerSeq"), "nDuplicateReads", "flags")
+        pairs = pairs.unionByName(fr.pair_mates(few, near, o.min_width, o.max_width, query_start=True))
+    seqs = [F.col(c) if c in reads.columns else F.lit(None).cast("string").alias(c) for c in ("anchorReadSeq", "adriftReadSeq")]
+    known = reads.select("readID", "uniqueSample", "leaderSeq", F.col("adriftReadRandomID").alias("randomLinkerSeq"), "nDuplicateReads", "flags", *seqs)
     parts = F.split("uniqueSample", "~")
     out = pairs.join(known, "readID")
-    return out.select("readID", parts[0].alias("trial"), parts[1].alias("subject"), parts[2].alias("sample"), parts[3].cast("int").alias("replicate"), "chromosome", "strand", "fragStart", "fragEnd", "nDuplicateReads", "flags", "randomLinkerSeq", "leaderSeq")
+    starts = [F.substr("anchorReadSeq", (F.col("qStart") + 1).cast("int"), F.lit(o.anchor_start)).alias("anchorStart"), F.substring("adriftReadSeq", 1, o.adrift_start).alias("adriftStart")]
+    return out.select("readID", parts[0].alias("trial"), parts[1].alias("subject"), parts[2].alias("sample"), parts[3].cast("int").alias("replicate"), "chromosome", "strand", "fragStart", "fragEnd", "nDuplicateReads", "flags", "randomLinkerSeq", "leaderSeq", *starts)
 
 
 def build_std_fragments(fragments: DataFrame, o: Options = Options()) -> dict[str, DataFrame]:
     """Groups leaders, standardizes positions and breaks, resolves multi-hits, molecular
     tags and anchor clusters, bundles -> ``stdFragments``, ``multiHits`` with abundances,
     ``reads`` (rows before bundling), ``decisions``. With ``leader_identity`` set, positions
-    are standardized within the clusters of their subject's leaders."""
+    are standardized within the clusters of their subject's leaders.
+
+    Anchor decisions are made within the clusters of ``anchorStart`` of a sample: reads of
+    one genomic start at several sites are kept at the site that leads, or at none.
+    Fragments without that column, or rows with a null one, take no part in decisions."""
     # What several later steps read is written once: it cuts the lineage, too.
     group = None
     if o.leader_identity:
-        of = sq.cluster(fragments, ["trial", "subject"], "leaderSeq", identity=o.leader_identity)
+        of = cl.cluster(fragments, ["trial", "subject"], "leaderSeq", identity=o.leader_identity)
         fragments = mh.saved(fragments.join(of.withColumnRenamed("rep", "leaderCluster"), ["trial", "subject", "leaderSeq"]))
         group = ["leaderCluster"]
     f = mh.saved(sd.standardize_integrations(fragments, o.position_gap, group))
@@ -174,13 +187,19 @@ def build_std_fragments(fragments: DataFrame, o: Options = Options()) -> dict[st
     f = mh.saved(fr.correct_fuzzy_breaks(unique.unionByName(saved)))
     f = tg.drop_lost_tags(f, tg.resolve_tag_conflicts(f))
     f = mh.saved(tg.dominant_breaks(f))
-    decisions = mh.saved(fr.decide_anchor_clusters(f, "leaderCluster" if group else "leaderSeq"))
-    f = fr.apply_decisions(f, decisions, "leaderCluster" if group else "leaderSeq")
+    decisions = None
+    if "anchorStart" in f.columns:
+        # Reads that start alike come from one place; a read end of the vector they share doesn't count.
+        of = fr.clustered_by_order(f, "anchorStart", o.start_identity).withColumnRenamed("rep", "anchorCluster")
+        f = mh.saved(f.join(of, [*fr.SAMPLE, "anchorStart"], "left"))
+        decisions = mh.saved(fr.decide_anchor_clusters(f.where("anchorCluster is not null"), "anchorCluster"))
+        f = fr.apply_decisions(f, decisions, "anchorCluster")
     if group:
         f = fr.with_leader_groups(f, "leaderCluster")
     f = mh.saved(f)
     clusters = mh.saved(mh.multihit_clusters(rest))
-    return {"stdFragments": fr.bundle(f, o.min_reads), "multiHits": mh.cluster_abundance(clusters, rest), "reads": f, "decisions": decisions}
+    abundance = mh.cluster_abundance(clusters, rest, "adriftStart" if "adriftStart" in rest.columns else None, o.start_identity)
+    return {"stdFragments": fr.bundle(f, o.min_reads), "multiHits": abundance, "reads": f} | ({"decisions": decisions} if decisions is not None else {})
 
 
 def build_sites(std_reads: DataFrame, o: Options = Options(), replicates: tuple[int, ...] = (1, 2, 3, 4), leader_identity: float = 0.85) -> dict[str, DataFrame]:
@@ -197,7 +216,7 @@ def build_sites(std_reads: DataFrame, o: Options = Options(), replicates: tuple[
     leaders = fr.representative_leaders(placed)
     consensus = placed.groupBy(*key, "leaderSeq").agg(F.count_distinct("width").alias("w"), F.count_distinct("readID").alias("r"))
     consensus = fr._top(consensus, key, "leaderSeq", -F.col("w"), -F.col("r")).withColumnRenamed("leaderSeq", "anchorReadConsensus")
-    groups = sq.cluster(placed, key, "leaderSeq", identity=leader_identity).groupBy(*key).agg(F.count_distinct("rep").alias("repLeaderSeqClusters"))
+    groups = cl.cluster(placed, key, "leaderSeq", identity=leader_identity).groupBy(*key).agg(F.count_distinct("rep").alias("repLeaderSeqClusters"))
     long = fr._replicates(placed)
     for part in (flags, leaders, groups, consensus, fr._pivot(long, list(replicates))):
         sites = sites.join(part, key, "left")

@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomsite.functions import dna
-from loomsite.functions.vectorized import align_marks, join_pair, osa, trim_at
-from loomsite.operators import alignments, demux, fragments, intervals, multihits, reports, sequences, standardize, tags
+from loomsite.operators import alignments, clusters, demux, fragments, intervals, multihits, reports, sequences, standardize, tags
 from loomsite.plans import stages
+from tests.loops import align_marks, best_segment, inside, join_pair, levenshtein, osa, trim_at
 
 FRAGMENT = "readID string, trial string, subject string, sample string, replicate int, chromosome string, strand string, fragStart int, fragEnd int, nDuplicateReads int, flags string, randomLinkerSeq string, leaderSeq string"
 
@@ -297,21 +297,122 @@ def test_greedy_clusters_against_a_loop(spark):
         seqs.append("".join(s)[: rnd.choice([28, 30])])
     df = spark.createDataFrame([("g", s) for s in seqs], "g string, seq string")
 
-    def lev(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            new = [i]
-            for j, y in enumerate(b, 1):
-                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-            row = new
-        return row[-1]
-
     reps, want = [], {}
     for s in sorted(set(seqs), key=lambda s: (-len(s), -seqs.count(s), s)):
-        hit = next((r for r in reps if lev(r, s) <= int(min(len(r), len(s)) * 0.1 + 1e-9)), None)
+        hit = next((r for r in reps if levenshtein(r, s) <= int(min(len(r), len(s)) * 0.1 + 1e-9)), None)
         want[s] = hit or s
         reps += [] if hit else [s]
-    assert {r.seq: r.rep for r in sequences.cluster(df, ["g"], "seq", identity=0.9, k=4).collect()} == want
+    assert {r.seq: r.rep for r in clusters.cluster(df, ["g"], "seq", identity=0.9).collect()} == want
+
+
+def mutated(rnd, s, n):
+    s = list(s)
+    for _ in range(n):
+        i, way = rnd.randrange(len(s) or 1), rnd.random()
+        if way < 0.4 and s:
+            s[i] = rnd.choice("ACGT")
+        elif way < 0.7 and len(s) > 1:
+            del s[i]
+        else:
+            s.insert(i, rnd.choice("ACGT"))
+    return "".join(s)
+
+
+@pytest.mark.parametrize("steps", [(64, 2048), (2, 5)])
+def test_clusters_of_groups_and_given_order(spark, steps, monkeypatch):
+    """Several groups, an order by two figures, empty and repeated sequences, nulls, a shared
+    start; a few first sequences at a time or all at once."""
+    monkeypatch.setattr(clusters, "STEPS", steps)
+    rnd = random.Random(8)
+    rows = [("x", None, 1, 1), ("x", "", 1, 1)]
+    for g in "xyz":
+        base = ["GGGTTTCCCAAA" + "".join(rnd.choice("ACGT") for _ in range(rnd.choice([12, 20]))) for _ in range(5)]
+        rows += [(g, mutated(rnd, rnd.choice(base), rnd.choice([0, 1, 2, 4])), rnd.randint(1, 3), rnd.randint(1, 3)) for _ in range(60)]
+    df = spark.createDataFrame(rows, "g string, seq string, a int, r int")
+    got = {(r.g, r.seq): r.rep for r in clusters.cluster(df, ["g"], "seq", 0.87, [F.max("a"), F.sum("r")]).collect()}
+    want = {}
+    for g in "xyz":
+        own = {s: (max(a for h, t, a, _ in rows if (h, t) == (g, s)), sum(r for h, t, _, r in rows if (h, t) == (g, s))) for h, s, _, _ in rows if h == g and s is not None}
+        reps = []
+        for s in sorted(own, key=lambda s: (-len(s), -own[s][0], -own[s][1], s)):
+            hit = next((r for r in reps if levenshtein(r, s) <= int(len(s) * 0.13 + 1e-9) and s), None)
+            want[g, s] = hit or s
+            reps += [] if hit else [s]
+    assert got == want
+
+
+@pytest.mark.parametrize("cover", [0.0, 0.6])
+def test_clusters_inside_longer_sequences(spark, cover):
+    rnd = random.Random(12)
+    base = ["".join(rnd.choice("ACGT") for _ in range(300)) for _ in range(4)]
+    seqs = set()
+    for _ in range(70):
+        b, n = rnd.choice(base), rnd.randint(50, 300)
+        at = rnd.randint(0, 300 - n)
+        seqs.add(mutated(rnd, b[at : at + n], int(n * rnd.choice([0, 0.05, 0.11]))))
+    reps, want = [], {}
+    for s in sorted(seqs, key=lambda s: (-len(s), s)):
+        def like(r):
+            edits, width = inside(r, s)
+            return edits <= int(len(s) * 0.1 + 1e-9) and width >= cover * len(r) - 1e-9
+        hit = next((r for r in reps if like(r)), None)
+        want[s] = hit or s
+        reps += [] if hit else [s]
+    df = spark.createDataFrame([("g", s) for s in seqs], "g string, seq string")
+    assert {r.seq: r.rep for r in clusters.cluster(df, ["g"], "seq", 0.9, inside=cover).collect()} == want
+    assert len(set(want.values())) < len(want)
+
+
+def test_batches_equal_loops():
+    from loomsite.functions import batch
+
+    rnd = random.Random(5)
+
+    def some(lo, hi):
+        return "".join(rnd.choice("ACGT") for _ in range(rnd.randint(lo, hi)))
+
+    pairs = [(x := some(0, 30), mutated(rnd, x, rnd.randint(0, 5))) for _ in range(400)]
+    a, b = [list(t) for t in zip(*pairs)]
+    assert batch.osa(a, b) == [osa(*p) for p in pairs]
+    assert batch.marks(a, b) == [align_marks(*p) for p in pairs]
+    adapters = [some(5, 20) for _ in range(400)]
+    reads = [some(10, 60) + (mutated(rnd, ad, rnd.randint(0, 2)) + some(0, 9) if rnd.random() < 0.6 else ad[: rnd.randint(0, len(ad))]) for ad in adapters]
+    assert batch.trim_at(reads, adapters, 0.15) == [trim_at(x, y, 0.15) for x, y in zip(reads, adapters)]
+    mates = [mutated(rnd, x[len(x) - rnd.randint(0, 20) :], rnd.randint(0, 1)) + some(5, 40) for x in reads]
+    assert batch.joined(reads, mates, 5, 0.1) == [join_pair(x, y, 5, 0.1) for x, y in zip(reads, mates)]
+    offsets = [rnd.randint(-5, 5) for _ in reads]
+    targets = [some(max(0, o), max(0, o)) + mutated(rnd, x[max(0, -o) :], 1) + some(0, 8) for x, o in zip(reads, offsets)]
+    assert [x[:3] for x in batch.segments(reads, targets, offsets, gap=10**9)] == [best_segment(*q) for q in zip(reads, targets, offsets)]
+    laid = [(x, mutated(rnd, x[3:-3], 2)) for x in reads]
+    assert [(c, e - s) for c, s, e in batch.edits_inside(*[list(t) for t in zip(*laid)])] == [inside(*p) for p in laid]
+
+
+def test_alignment_over_one_insert(spark):
+    """Reads with a base more or less than the genome, on both strands."""
+    rnd = random.Random(21)
+    genome = "".join(rnd.choice("ACGT") for _ in range(3000))
+    rc = str.maketrans("ACGT", "TGCA")
+    rows, want = [], {}
+    for i, strand in enumerate("+-" * 6):
+        at = 100 + 200 * i
+        cut = rnd.randint(16, 44)
+        piece = genome[at : at + 60]
+        more = i % 4 < 2
+        read = piece[:cut] + rnd.choice([c for c in "ACGT" if c not in piece[cut - 1 : cut + 1]]) + piece[cut:] if more else piece[:cut] + piece[cut + 1 :]
+        rows.append((read if strand == "+" else read[::-1].translate(rc),))
+        want[rows[-1][0]] = (strand, at, at + 60, int(more), int(not more), 0)
+    q = spark.createDataFrame(rows, "seq string")
+    t = spark.createDataFrame([("chr1", genome)], "tName string, tSeq string")
+    found = sequences.align(q, t, min_length=50, chunk=128).collect()
+    assert {r.seq: (r.strand, r.tStart, r.tEnd, r.qNumInsert, r.tNumInsert, r.misMatches) for r in found} == want and len(found) == len(want)
+    assert all(r.matches == r.qEnd - r.qStart - r.qBaseInsert for r in found)
+
+
+def test_leaders_by_consensus(spark):
+    profiles = [("u5", "TCTAGCANNGTCA"), ("u3", "GGTCTTTCA")]
+    rows = [("a", "TCTAGCATTGTCAGGGG"), ("b", "ATCTAGCAGGGTCACCC"), ("c", "GGTCTTTCATTTT"), ("d", "ACACACACACAC"), ("e", None), ("f", "GGTCTTAAAAAAA"), ("g", "TCTAG")]
+    got = {r.readID: (r.name, r.qStart, r.qEnd, r.score) for r in sequences.capture_by_consensus(spark.createDataFrame(rows, "readID string, anchorReadSeq string"), profiles).collect()}
+    assert got == {"a": ("u5", 0, 13, 22.0), "b": ("u5", 1, 14, 22.0), "c": ("u3", 0, 9, 18.0), "f": ("u3", 0, 6, 12.0), "g": ("u5", 0, 5, 10.0)}
 
 
 def test_alignment_finds_planted_reads(spark):
@@ -359,3 +460,73 @@ def test_reports(spark):
     assert {(r.uniqueSample, r.label): r.share for r in reports.attrition_shares(wide).collect()}[("s", "PRD2")] == 0.5
     capped = reports.cap_at_rank(spark.createDataFrame([("g", i) for i in range(1, 11)], "g string, v int"), ["g"], "v", 0.5)
     assert sorted(r.v for r in capped.collect()) == [1, 2, 3, 4, 5, 5, 5, 5, 5, 5]
+
+
+def _placed_reads(rows):
+    """(read, site start, width, anchor start) -> fragment rows of one leader."""
+    return [(r, "T", "S", "G", 1, "chr1", "+", at, at + w - 1, 0, "IN_u5", f"U{r}", "TCTGCGCGCTCGCTCGCTCA", start, "ACGTTGCAAGGCTTAACCGGTTAACGTCGA") for r, at, w, start in rows]
+
+
+STARTED = FRAGMENT + ", anchorStart string, adriftStart string"
+
+
+def test_sites_of_one_leader_stay(spark):
+    """Three sites of six reads each with the same leader: all stay; a read of the first one
+    that is placed at the second one goes."""
+    rnd = random.Random(2)
+    starts = ["".join(rnd.choice("ACGT") for _ in range(30)) for _ in range(3)]
+    rows = [(f"r{s}_{i}", 1000 + 500 * s, 100 + 7 * i, starts[s]) for s in range(3) for i in range(6)]
+    rows.append(("stray", 1500, 90, starts[0][:-1] + ("A" if starts[0][-1] != "A" else "C")))
+    f = spark.createDataFrame(_placed_reads(rows), STARTED)
+    out = stages.build_std_fragments(f)
+    kept = {r.readID for r in out["reads"].collect()}
+    assert kept == {r[0] for r in rows} - {"stray"}
+    assert out["stdFragments"].count() == 18
+    chosen = {(r.posid, r.criteria, r.selected) for r in out["decisions"].collect()}
+    assert chosen == {("chr1+1000", "frags", True), ("chr1+1500", "frags", False), ("chr1+1500", "single", True), ("chr1+2000", "single", True)}
+    sites = {(r.posid, r.sonicLengths) for r in stages.build_sites(out["reads"])["sites"].collect()}
+    assert sites == {("chr1+1002.1", 6), ("chr1+1502.1", 6), ("chr1+2002.1", 6)}
+    bare = stages.build_std_fragments(f.drop("anchorStart", "adriftStart"))
+    assert bare["reads"].count() == 19 and "decisions" not in bare
+
+
+def test_multihit_abundance_by_clustered_starts(spark):
+    """Two places shared by reads of three true starts; a start with one error counts once."""
+    rnd = random.Random(4)
+    starts = ["".join(rnd.choice("ACGT") for _ in range(30)) for _ in range(3)]
+    wrong = starts[0][:10] + ("A" if starts[0][10] != "A" else "C") + starts[0][11:]
+    rows = []
+    for i, start in enumerate([starts[0], starts[0], wrong, starts[1], starts[2]]):
+        for at in (1000, 9000):
+            if i == 4 and at == 9000:
+                at = 20000
+            rows.append((f"r{i}", "T", "S", "G", 1, "chr1", "+", at, at + 100 + i, 0, "IN_u5", f"U{i}", "TTT", None, start))
+    f = spark.createDataFrame(rows, STARTED)
+    clusters_ = multihits.multihit_clusters(f)
+    (r,) = multihits.cluster_abundance(clusters_, f, "adriftStart").collect()
+    assert r.clusterSonicLengths == 3 and {(x.posid, x.sonicLengths) for x in r.nodeSonicLengths} == {("chr1+1000", 3), ("chr1+9000", 2), ("chr1+20000", 1)}
+    (r,) = multihits.cluster_abundance(clusters_, f).collect()
+    assert r.clusterSonicLengths == 9 or r.clusterSonicLengths > 3
+
+
+@pytest.mark.parametrize("width", [4, 1 << 14])
+def test_running_aggregates_against_loops(spark, width, monkeypatch):
+    """Bins and runs of a few positions, ties, nulls, negative positions, both directions."""
+    from loomsite.operators import scans
+
+    monkeypatch.setattr(scans, "RUN", 3)
+    rnd = random.Random(6)
+    rows = [(rnd.choice("ab"), rnd.randint(-60, 300), rnd.choice([None, rnd.randint(0, 50)]), i) for i in range(150)]
+    df = spark.createDataFrame(rows, "k string, p int, v int, i int")
+    for back, earlier, ties in itertools.product((False, True), (False, True), (None, ["i"])):
+        if earlier and ties is None:
+            continue
+        got = {r.i: (r.s, r.m, r.n) for r in scans.running(df, ["k"], "p", {"s": ("sum", "v"), "m": ("max", "v"), "n": ("min", F.col("v"))}, ties=ties, earlier=earlier, backwards=back, width=width).collect()}
+        want = {}
+        for k, p, v, i in rows:
+            def before(q, j):
+                d = (p - q) * (-1 if back else 1)
+                return d > 0 or (d == 0 and (ties is None or j < i or (j == i and not earlier)))
+            seen = [w for h, q, w, j in rows if h == k and w is not None and before(q, j)]
+            want[i] = (sum(seen), max(seen), min(seen)) if seen else (None, None, None)
+        assert got == want

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -20,9 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``, or where
-    that is unset (local tests) a temporary one."""
+    that is unset, under a ``local`` master only, a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_DIR, None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="loomsite-")
         spark.conf.set(_OWN_DIR, found)
     return found.rstrip("/")
@@ -37,6 +40,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Executors keep shuffle files until the driver forgets the plans that made them, which
+    it does at its next full collection. Before a step with large shuffles of its own, this
+    asks for one, so that the files of steps that ended don't add to it."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     row = edges.agg(
         F.count(F.lit(1)).alias("n"),

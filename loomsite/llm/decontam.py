@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomsite.llm.common import materialize, table
+from loomsite.llm.common import materialize, release_shuffles, table
 
 #: Bits in which fingerprints may differ, and blocks of 16 bits of a fingerprint.
 RADIUS, BLOCKS = 63, 16
@@ -122,6 +122,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80,
     table gives no rows; other columns are dropped.
     """
     spark = docs.sparkSession
+    release_shuffles(spark)
     items = benchmark.select(F.col(item_column).alias("item"), _word_hashes(F.col(item_text)).alias("w")).where("item is not null and size(w) > 0")
     items = items.withColumn("k", F.least(F.size("w"), F.lit(k)))
     grams = F.coalesce(*[F.when(F.col("k") == j, _shingles(F.col("w"), j)) for j in range(1, k + 1)])

@@ -452,18 +452,41 @@ def rearrangement_segments(spark, d):
     return reports.segments(view(spark, d, "fx_alignments").select("readID", model.alias("model")))
 
 
-@register("standardize_integration")
+_NEAR = """, f AS (SELECT readID, trial, subject, sample, replicate, chromosome, strand, nDuplicateReads, CASE strand WHEN '+' THEN fragStart - fragStart % 100 + fragStart % 2 * 4 ELSE fragStart - fragStart % 100 + {0} END AS a, CASE strand WHEN '+' THEN fragStart - fragStart % 100 + {1} ELSE fragStart - fragStart % 100 + 100 + fragStart % 2 * 4 END AS z FROM fx_fragments)"""
+
+
+def _near(spark, d, minus_start: str, plus_end: str):
+    """Fragments whose positions stand in short islands, 100 bases apart."""
+    rows = view(spark, d, "fx_fragments")
+    start = F.expr(f"cast(fragStart - fragStart % 100 + if(strand = '+', fragStart % 2 * 4, {minus_start}) as int)")
+    end = F.expr(f"cast(fragStart - fragStart % 100 + if(strand = '+', {plus_end}, 100 + fragStart % 2 * 4) as int)")
+    return rows.withColumn("fragEnd", end).withColumn("fragStart", start)
+
+
+@register("standardize_integration", _NEAR.format("50", "160") + """
+, w AS (SELECT trial, subject, chromosome, strand, CASE strand WHEN '+' THEN a ELSE z END AS position, count(DISTINCT readID) + sum(nDuplicateReads) AS weight FROM f GROUP BY ALL),
+i AS (SELECT *, first(position) OVER (PARTITION BY trial, subject, chromosome, strand, position // 100 ORDER BY weight DESC, CASE strand WHEN '+' THEN position ELSE -position END) AS standard FROM w)
+SELECT readID, f.trial, f.subject, f.sample, f.replicate, f.chromosome, f.strand, CAST(CASE f.strand WHEN '+' THEN standard ELSE a END AS INTEGER) AS fragStart, CAST(CASE f.strand WHEN '+' THEN z ELSE standard END AS INTEGER) AS fragEnd
+FROM f JOIN i ON i.trial = f.trial AND i.subject = f.subject AND i.chromosome = f.chromosome AND i.strand = f.strand AND i.position = CASE f.strand WHEN '+' THEN a ELSE z END""", "fx_fragments")
 def standardize_integration(spark, d):
+    """Islands of two positions four bases apart: both take the heavier, ties the one upstream."""
     from loomsite.operators.standardize import standardize_integrations
 
-    return standardize_integrations(view(spark, d, "fx_fragments"))
+    found = standardize_integrations(_near(spark, d, "50", "160"))
+    return found.select("readID", *fragments.SAMPLE, "replicate", *fragments.PLACE)
 
 
-@register("standardize_breaks")
+@register("standardize_breaks", _NEAR.format("fragStart % 2", "150 + fragStart % 2") + """
+, w AS (SELECT trial, subject, sample, replicate, chromosome, strand, CASE strand WHEN '+' THEN z ELSE a END AS brk, count(DISTINCT readID) + sum(nDuplicateReads) AS weight FROM f GROUP BY ALL),
+i AS (SELECT *, first(brk) OVER (PARTITION BY trial, subject, sample, replicate, chromosome, strand, brk // 50 ORDER BY weight DESC, CASE strand WHEN '+' THEN -brk ELSE brk END) AS standard FROM w)
+SELECT readID, f.trial, f.subject, f.sample, f.replicate, f.chromosome, f.strand, CAST(CASE f.strand WHEN '+' THEN a ELSE standard END AS INTEGER) AS fragStart, CAST(CASE f.strand WHEN '+' THEN standard ELSE z END AS INTEGER) AS fragEnd
+FROM f JOIN i ON i.trial = f.trial AND i.subject = f.subject AND i.sample = f.sample AND i.replicate = f.replicate AND i.chromosome = f.chromosome AND i.strand = f.strand AND i.brk = CASE f.strand WHEN '+' THEN z ELSE a END""", "fx_fragments")
 def standardize_breaks(spark, d):
+    """Two neighbouring breaks for each site: the heavier, ties the one downstream."""
     from loomsite.operators.standardize import standardize_breaks as run
 
-    return run(view(spark, d, "fx_fragments"))
+    found = run(_near(spark, d, "fragStart % 2", "150 + fragStart % 2"))
+    return found.select("readID", *fragments.SAMPLE, "replicate", *fragments.PLACE)
 
 
 @register("fragment_geometry", _AT + "SELECT readID, chromosome, strand, fragStart, fragEnd, position, brk AS \"break\", concat(chromosome, strand, position) AS posid, fragEnd - fragStart + 1 AS width FROM fa", "fx_fragments")

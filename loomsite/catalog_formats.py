@@ -31,12 +31,12 @@ def _written(spark, lines, compression="none") -> str:
     return path
 
 
-_QUAL = "translate(md5(readID), '0123456789abcdef', '+++++5555555IIII')"
-_FQ = f"SELECT readID, substr(anchorReadSeq, 1, 32) AS seq, {_QUAL} AS qual FROM fx_reads"
+_QUAL = "substr(repeat(translate(md5(readID), '0123456789abcdef', '+++++5555555IIII'), 3), 1, length(anchorReadSeq))"
+_FQ = f"SELECT readID, anchorReadSeq AS seq, {_QUAL} AS qual FROM fx_reads"
 
 
 def _fastq(spark, d):
-    return view(spark, d, "fx_reads").select("readID", F.substring("anchorReadSeq", 1, 32).alias("seq"), F.expr(_QUAL).alias("qual"))
+    return view(spark, d, "fx_reads").select("readID", F.col("anchorReadSeq").alias("seq"), F.expr(_QUAL).alias("qual"))
 
 
 def _records(df):
@@ -89,6 +89,12 @@ def masked_vectors(spark, d):
     return files.read_fasta(spark, _fasta(spark, d), mask=True)
 
 
+@register("fasta_chunks", "SELECT tName AS chromosome, CAST(i AS INTEGER) AS chunk, substr(concat(substr(tSeq, 1, 40), repeat('N', 30), substr(tSeq, 71)), CAST(i * 50 + 1 AS BIGINT), 50) AS seq FROM fx_contigs, range(0, 6) t(i)", "fx_contigs")
+def fasta_chunks(spark, d):
+    """The written FASTA read by ranges of bytes that cut through its records."""
+    return files.read_fasta_chunks(spark, _fasta(spark, d), chunk=50, mask=True, split=1 << 16)
+
+
 @register("reference_chunks", "SELECT tName AS chromosome, CAST(i AS INTEGER) AS chunk, substr(tSeq, CAST(i * 100 + 1 AS BIGINT), 100) AS seq FROM fx_contigs, range(0, 3) t(i)", "fx_contigs")
 def reference_chunks(spark, d):
     return files.reference_chunks(files.read_fasta(spark, _fasta(spark, d)), 100)
@@ -311,7 +317,7 @@ def stream_assign(spark, d):
 @register("stream_distinct", _ASSIGNED + "SELECT min(readID) AS readID, arg_min(uniqueSample, (readID, uniqueSample)) AS uniqueSample, anchorReadSeq, adriftReadSeq, count(*) - 1 AS nDuplicateReads FROM m GROUP BY anchorReadSeq, adriftReadSeq", "fx_reads", "fx_samples")
 def stream_distinct(spark, d):
     out = _folder(spark)
-    stream.write_distinct(_shards(spark, d), out, f"{out}-c").awaitTermination()
+    stream.write_distinct(_shards(spark, d), out).awaitTermination()
     return stream.read_distinct(spark, out)
 
 

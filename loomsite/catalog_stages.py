@@ -103,6 +103,66 @@ def read_alignment(spark, d):
     return found.select("seq", "tName", "strand", "qSize", "qStart", "qEnd", "tStart", "tEnd", "matches", "misMatches")
 
 
+_EDITED = "CASE tStart % 3 WHEN 0 THEN concat(substr(piece, 1, 29), substr(piece, 31)) WHEN 1 THEN concat(substr(piece, 1, 30), translate(substr(piece, 31, 1), 'ACGT', 'CGTA'), substr(piece, 31)) ELSE piece END"
+
+
+@register("read_alignment_inserts", f"""
+, e AS (SELECT DISTINCT tName, tStart, strand, tStart % 3 AS kind, {_EDITED} AS s FROM fx_contig_reads)
+SELECT DISTINCT CASE strand WHEN '+' THEN s ELSE reverse(translate(s, 'ACGT', 'TGCA')) END AS seq, tName, strand, CAST(length(s) AS INTEGER) AS qSize, 0 AS qStart, CAST(length(s) AS INTEGER) AS qEnd, tStart, tStart + 60 AS tEnd, CASE kind WHEN 0 THEN 59 ELSE 60 END AS matches, 0 AS misMatches,
+  CASE kind WHEN 1 THEN 1 ELSE 0 END AS qNumInsert, CASE kind WHEN 1 THEN 1 ELSE 0 END AS qBaseInsert, CASE kind WHEN 0 THEN 1 ELSE 0 END AS tNumInsert, CASE kind WHEN 0 THEN 1 ELSE 0 END AS tBaseInsert FROM e""", "fx_contig_reads")
+def read_alignment_inserts(spark, d):
+    """Pieces of contigs, a third with a base less in their middle, a third with one more."""
+    x = view(spark, d, "fx_contig_reads").withColumn("s", F.expr(_EDITED))
+    x = x.select(F.when(F.col("strand") == "+", F.col("s")).otherwise(dna.reverse_complement("s")).alias("seq"))
+    return sequences.align(x, view(spark, d, "fx_contigs"), min_length=50, chunk=100).drop("queryPercentID")
+
+
+_LONG_AD = "AGATCGGAAGAGCACACGTCTGAAC"
+_WRONG_AD = _LONG_AD[:8] + "T" + _LONG_AD[9:16] + _LONG_AD[17:]
+
+
+@register("adapter_trim_edits", f"""
+SELECT readID, substr(piece, 1, 32 + tStart % 25) AS seq FROM fx_contig_reads""", "fx_contig_reads")
+def adapter_trim_edits(spark, d):
+    """An adapter with a wrong and a missing base, whole or cut by the read's end."""
+    seq = F.expr(f"concat(substr(piece, 1, 32 + tStart % 25), if(tStart % 2 = 0, '{_WRONG_AD}GGG', '{_WRONG_AD[:14]}'))")
+    rows = view(spark, d, "fx_contig_reads").select("readID", seq.alias("seq"), F.lit(_LONG_AD).alias("adapter"))
+    return sequences.trim_reads(rows, "seq", "adapter", error=0.15).select("readID", "seq")
+
+
+@register("pair_merge_mismatch", "SELECT tName AS readID, concat(substr(tSeq, 1, 140), substr(tSeq, 141)) AS seq FROM fx_contigs", "fx_contigs")
+def pair_merge_mismatch(spark, d):
+    """Mates that cover whole contigs and overlap by 24 bases, one of them wrong in the second."""
+    wrong = F.expr("concat(substr(tSeq, 117, 10), translate(substr(tSeq, 127, 1), 'ACGT', 'CGTA'), substr(tSeq, 128))")
+    c = view(spark, d, "fx_contigs").select(F.col("tName").alias("readID"), F.substring("tSeq", 1, 140).alias("anchorReadSeq"), dna.reverse_complement(wrong).alias("adriftReadSeq"))
+    return sequences.merge_reads(c).select("readID", "seq")
+
+
+_PROFILES = [("u5", "TCTGCGCGCTCGCTCGCTCA"), ("u3", "TCTGCGNNCTAGTTCGCACATT")]
+
+
+@register("consensus_leaders", """
+, s AS (SELECT DISTINCT readID, concat(substr('ACG', 1, CAST(l % 4 AS BIGINT)), CASE WHEN l % 5 = 0 THEN concat('TCTGCGAACTAGTTCGCACATT', substr(anchorReadSeq, 21)) WHEN l % 5 = 1 THEN concat(substr(anchorReadSeq, 1, 12), substr(anchorReadSeq, 21)) ELSE anchorReadSeq END) AS seq FROM (SELECT readID, anchorReadSeq, ascii(substr(anchorReadSeq, 22, 1)) + ascii(substr(anchorReadSeq, 25, 1)) * 3 + ascii(substr(anchorReadSeq, 27, 1)) AS l FROM fx_reads)),
+p AS (SELECT * FROM (VALUES ('u5', 'TCTGCGCGCTCGCTCGCTCA'), ('u3', 'TCTGCGNNCTAGTTCGCACATT')) v(name, cons), range(0, 4) t(q)),
+d AS (SELECT DISTINCT seq FROM s),
+x AS (SELECT seq, name, q, [CASE WHEN cons[i] = 'N' THEN 0 WHEN cons[i] = seq[i + q] THEN 2 ELSE -3 END FOR i IN range(1, length(cons) + 1)] AS v FROM d, p),
+r AS (SELECT seq, name, q, [list_sum(v[1:i]) FOR i IN range(1, len(v) + 1)] AS run FROM x),
+b AS (SELECT seq, name, q, list_max(run) AS score, len(run) + 1 - list_position(list_reverse(run), list_max(run)) AS n FROM r WHERE list_max(run) >= 10 QUALIFY row_number() OVER (PARTITION BY seq ORDER BY list_max(run) DESC, q, name) = 1)
+SELECT readID, name, CAST(q AS INTEGER) AS qStart, CAST(q + n AS INTEGER) AS qEnd, CAST(score AS DOUBLE) AS score FROM s JOIN b USING (seq)""", "fx_reads")
+def consensus_leaders(spark, d):
+    """Reads that begin up to three bases before a leader of either end, some cut short."""
+    r = view(spark, d, "fx_reads").withColumn("l", F.expr("ascii(substr(anchorReadSeq, 22, 1)) + ascii(substr(anchorReadSeq, 25, 1)) * 3 + ascii(substr(anchorReadSeq, 27, 1))"))
+    seq = F.expr("concat(substr('ACG', 1, l % 4), case when l % 5 = 0 then concat('TCTGCGAACTAGTTCGCACATT', substr(anchorReadSeq, 21)) when l % 5 = 1 then concat(substr(anchorReadSeq, 1, 12), substr(anchorReadSeq, 21)) else anchorReadSeq end)")
+    return sequences.capture_by_consensus(r.select("readID", seq.alias("anchorReadSeq")).distinct(), _PROFILES)
+
+
+@register("stage_leader_maps", "SELECT tName AS posid, substr(tSeq, 21, 40) AS repLeaderSeq, '1..40[21+60]' AS repLeaderSeqMap FROM fx_contigs", "fx_contigs")
+def stage_leader_maps(spark, d):
+    c = view(spark, d, "fx_contigs")
+    sites = c.select(F.col("tName").alias("posid"), F.substring("tSeq", 21, 40).alias("repLeaderSeq"))
+    return stages.map_site_leader_sequences(sites, c).select("posid", "repLeaderSeq", "repLeaderSeqMap")
+
+
 _PAIRED = """, x AS (SELECT readID, tName, tStart, concat('T~S~', CASE strand WHEN '+' THEN 'G1' ELSE 'G2' END, '~1') AS uniqueSample, strand, piece FROM fx_contig_reads QUALIFY row_number() OVER (PARTITION BY readID ORDER BY tName, tStart, strand) = 1)"""
 
 
@@ -261,6 +321,18 @@ def priming_artifacts(spark, d):
     return found.select("chromosome", "strand", "position", "PCRartifact1")
 
 
+@register("stage_rearrangements", _WINDOWED + """
+SELECT uniqueSample, "window", level, seed, CAST(sum(n) AS BIGINT) AS reads, CAST(coalesce(sum(n) FILTER (ok), 0) AS BIGINT) AS expectedReads, count(*) FILTER (NOT ok AND n >= 2) AS altStructures FROM n WHERE "window" = 200 GROUP BY ALL""", "fx_contigs", "fx_contig_reads")
+def stage_rearrangements(spark, d):
+    """Mates of contigs, merged, and their structures; the second mate overlaps by 60."""
+    c = view(spark, d, "fx_contigs")
+    seq = F.expr("case when tStart % 3 = 0 then concat(substr(tSeq, 1, 5 + tStart % 20), translate(substr(tSeq, 6 + tStart % 20, 1), 'ACGT', 'CGTA'), substr(tSeq, 7 + tStart % 20)) else tSeq end")
+    reads = view(spark, d, "fx_contig_reads").join(c, "tName").withColumn("seq", seq).select(F.expr("concat('U', cast(substr(tName, 4) as int) % 25)").alias("uniqueSample"), "readID", F.substring("seq", 1, 160).alias("anchorReadSeq"), dna.reverse_complement(F.substring("seq", 101, 156)).alias("adriftReadSeq"))
+    expected = c.where("cast(substr(tName, 4) as int) % 3 = 0").select(F.col("tSeq").alias("expected"))
+    found = stages.anchor_read_rearrangements(reads, expected, (200,), (0, 50), (1, 2))
+    return found["stats"].select("uniqueSample", "window", "level", "seed", "reads", "expectedReads", "altStructures")
+
+
 @register("multihit_abundance", _SQL["multihit_components"].removeprefix(with_views("fx_fragments", recursive=True)).rsplit("SELECT trial, subject, sample, count", 1)[0] + """
 , y AS (SELECT m.*, component FROM m JOIN c USING (trial, subject, sample, posid)),
 z AS (SELECT y.trial, y.subject, y.sample, component, fa.brk, y.posid FROM y JOIN (SELECT DISTINCT trial, subject, sample, replicate, readID, posid, brk FROM p) fa USING (trial, subject, sample, replicate, readID, posid))
@@ -389,25 +461,25 @@ def missing_samples(spark, d):
     return demux.missing_samples(view(spark, d, "fx_reads").where("substr(index1Seq, 1, 1) = 'A'"), view(spark, d, "fx_samples"))
 
 
-_Q = "translate(md5(readID), '0123456789abcdef', '+5555555555IIIII')"
+_Q = "substr(repeat(translate(md5(readID), '0123456789abcdef', '+5555555555IIIII'), 3), 1, length(anchorReadSeq))"
 
 
 @register("quality_trim", f"""
-, q AS (SELECT readID, substr(anchorReadSeq, 1, 32) AS seq, {_Q} AS qual FROM fx_reads),
-c AS (SELECT *, coalesce(list_min([i FOR i IN range(1, 33) IF len([j FOR j IN range(greatest(i - 3, 1), least(i + 3, 32) + 1) IF qual[j] = '+']) >= 2]), 33) - 1 AS cut FROM q)
+, q AS (SELECT readID, anchorReadSeq AS seq, {_Q} AS qual FROM fx_reads),
+c AS (SELECT *, coalesce(list_min([i FOR i IN range(1, length(qual) + 1) IF len([j FOR j IN range(greatest(i - 3, 1), least(i + 3, length(qual)) + 1) IF qual[j] = '+']) >= 2]), length(qual) + 1) - 1 AS cut FROM q)
 SELECT readID, substr(seq, 1, cut) AS seq, substr(qual, 1, cut) AS qual FROM c WHERE cut >= 8""", "fx_reads")
 def quality_trim(spark, d):
-    r = view(spark, d, "fx_reads").select("readID", F.substring("anchorReadSeq", 1, 32).alias("seq"), F.expr(_Q).alias("qual"))
+    r = view(spark, d, "fx_reads").select("readID", F.col("anchorReadSeq").alias("seq"), F.expr(_Q).alias("qual"))
     return demux.trim_quality(r, "seq", "qual", 8)
 
 
 @register("osa_distance", """
-, t AS (SELECT DISTINCT substr(index1Seq, 1, 8) AS a FROM fx_reads), u AS (SELECT a, concat(substr(a, 1, 2), substr(a, 4, 1), substr(a, 3, 1), substr(a, 5)) AS b FROM t)
+, t AS (SELECT DISTINCT index1Seq AS a FROM fx_reads), u AS (SELECT a, concat(substr(a, 1, 2), substr(a, 4, 1), substr(a, 3, 1), substr(a, 5)) AS b FROM t)
 SELECT a, b, CASE WHEN a = b THEN 0 ELSE 1 END AS osa, CASE WHEN a = b THEN 1 ELSE 2 END AS osaLess FROM u""", "fx_reads")
 def osa_distance(spark, d):
     from loomsite.functions.vectorized import osa_distance as osa
 
-    t = view(spark, d, "fx_reads").select(F.substring("index1Seq", 1, 8).alias("a")).distinct()
+    t = view(spark, d, "fx_reads").select(F.col("index1Seq").alias("a")).distinct()
     t = t.withColumn("b", F.expr("concat(substr(a, 1, 2), substr(a, 4, 1), substr(a, 3, 1), substr(a, 5))"))
     return t.select("a", "b", osa("a", "b").alias("osa"), osa("a", F.concat("b", F.lit("N"))).alias("osaLess"))
 
@@ -470,9 +542,29 @@ def _evaluated(spark, d):
     return multihits.saved(t.withColumn("found", F.col("position") % 3 > 0).withColumn("leaderSeqDist", F.when(F.col("found"), F.col("n"))))
 
 
-@register("recovery_summary", _TRUTH + "SELECT count(*) AS nSitesExpected, count(*) FILTER (position % 3 > 0) AS nSitesRecovered, 100.0 * count(*) FILTER (position % 3 > 0) / count(*) AS percentUniqueRecovery, 100.0 * (count(*) FILTER (position % 3 > 0) + 7) / count(*) AS percentTotalRecovery, round(avg(n) FILTER (position % 3 > 0), 6) AS leaderSeqDistMean FROM t", "fx_fragments")
+@register("recovery_summary", _TRUTH + """
+SELECT count(*) AS nSitesExpected, count(*) FILTER (position % 3 = 0) AS nSitesRecovered, 100.0 * count(*) FILTER (position % 3 = 0) / count(*) AS percentUniqueRecovery, 100.0 * count(*) FILTER (position % 3 < 2) / count(*) AS percentTotalRecovery, CAST(0 AS DOUBLE) AS leaderSeqDistMean, CAST(0 AS DOUBLE) AS leaderSeqDistSD FROM t""", "fx_fragments")
 def recovery_summary(spark, d):
-    return reports.recovery_summary(_evaluated(spark, d), 7).drop("leaderSeqDistSD").withColumn("leaderSeqDistMean", F.round("leaderSeqDistMean", 6))
+    """A third of the true sites is found, a third lies in clusters of multi-hits, on a base
+    beside, a third nowhere; width 0 keeps neighbours apart."""
+    f = fragments.with_position(view(spark, d, "fx_fragments"))
+    t = f.withColumn("posid", dna.posid("chromosome", "strand", "position")).groupBy(*fragments.SAMPLE, "chromosome", "posid", "position").agg(F.count_distinct("readID").alias("nReads"))
+    t = multihits.saved(t.withColumn("leaderSeq", F.lit("TTT")))
+    found = t.where("position % 3 = 0").select(*fragments.SAMPLE, "posid", F.col("nReads").alias("reads"), F.col("leaderSeq").alias("repLeaderSeq"))
+    multi = t.where("position % 3 = 1").groupBy(*fragments.SAMPLE, "chromosome").agg(F.collect_list(F.concat("posid", F.lit(".1"))).alias("posids"))
+    return stages.evaluate_recovery(found, t.select(*fragments.SAMPLE, "posid", "nReads", "leaderSeq"), 0, multi)["summary"]
+
+
+@register("recovery_multihits", _TRUTH + """
+SELECT trial, subject, sample, posid, position % 3 = 1 AS multiHit, position % 3 < 2 AS found FROM t""", "fx_fragments")
+def recovery_multihits(spark, d):
+    f = fragments.with_position(view(spark, d, "fx_fragments"))
+    t = f.withColumn("posid", dna.posid("chromosome", "strand", "position")).groupBy(*fragments.SAMPLE, "chromosome", "posid", "position").agg(F.count_distinct("readID").alias("nReads"))
+    t = multihits.saved(t.withColumn("leaderSeq", F.lit("TTT")))
+    found = t.where("position % 3 = 0").select(*fragments.SAMPLE, "posid", F.col("nReads").alias("reads"), F.col("leaderSeq").alias("repLeaderSeq"))
+    multi = t.where("position % 3 < 2").groupBy(*fragments.SAMPLE, "chromosome").agg(F.collect_list(F.concat("posid", F.lit(".1"))).alias("posids"))
+    out = stages.evaluate_recovery(found, t.select(*fragments.SAMPLE, "posid", "nReads", "leaderSeq"), 0, multi)["sites"]
+    return out.select(*fragments.SAMPLE, "posid", "multiHit", "found")
 
 
 @register("missed_repeat_classes", _TRUTH + """
@@ -560,6 +652,35 @@ def peak_positions(spark, d):
     return run(w, ["trial", "subject", "chromosome", "strand"], "position").select("trial", "subject", "chromosome", "strand", "position", "weight", "standard")
 
 
+_W = """, w AS (SELECT trial, subject, chromosome, strand, position, CAST(count(DISTINCT readID) + sum(nDuplicateReads) AS BIGINT) AS weight FROM fa GROUP BY ALL),
+k AS (SELECT trial, subject, chromosome, strand, position AS peak FROM (SELECT *, max(weight) OVER (PARTITION BY trial, subject, chromosome, strand ORDER BY position RANGE BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS top FROM w) WHERE weight = top),
+h AS (SELECT w.*, peak AS home, abs(position - peak) AS distance FROM w JOIN k USING (trial, subject, chromosome, strand) WHERE abs(position - peak) <= 5 QUALIFY row_number() OVER (PARTITION BY trial, subject, chromosome, strand, position ORDER BY abs(position - peak), peak) = 1)"""
+
+
+def _weights(spark, d):
+    by = ["trial", "subject", "chromosome", "strand"]
+    return fragments.read_weight(fragments.with_position(view(spark, d, "fx_fragments")), [*by, "position"]).withColumnRenamed("reads", "weight"), by
+
+
+@register("peak_inspection", _AT + _W + """
+SELECT w.*, EXISTS (SELECT 1 FROM k WHERE k.trial = w.trial AND k.subject = w.subject AND k.chromosome = w.chromosome AND k.strand = w.strand AND peak = position) AS isPeak, home, distance FROM w LEFT JOIN h USING (trial, subject, chromosome, strand, position, weight)""", "fx_fragments")
+def peak_inspection(spark, d):
+    from loomsite.operators.standardize import inspect_peaks
+
+    return inspect_peaks(*_weights(spark, d), "position")
+
+
+@register("peak_power", _AT + _W + """
+, r AS (SELECT trial, subject, chromosome, strand, home AS peak, ln(sum(weight)) AS prior FROM h GROUP BY ALL),
+c AS (SELECT w.*, peak, abs(position - peak) AS d, prior - abs(position - peak) AS score FROM w JOIN r USING (trial, subject, chromosome, strand) WHERE abs(position - peak) <= 60),
+b AS (SELECT *, score - lead(score) OVER (PARTITION BY trial, subject, chromosome, strand, position ORDER BY score DESC, peak) AS lead FROM c QUALIFY row_number() OVER (PARTITION BY trial, subject, chromosome, strand, position ORDER BY score DESC, peak) = 1)
+SELECT w.*, coalesce(CASE WHEN lead IS NULL OR lead >= 0.8 THEN CASE WHEN d <= 5 THEN peak END ELSE coalesce(home, CASE WHEN d <= 5 THEN peak END) END, w.position) AS standard FROM w LEFT JOIN b USING (trial, subject, chromosome, strand, position, weight) LEFT JOIN h USING (trial, subject, chromosome, strand, position, weight)""", "fx_fragments")
+def peak_power(spark, d):
+    from loomsite.operators.standardize import peak_positions as run
+
+    return run(*_weights(spark, d), "position", margin=0.8, rule="power").drop("score", "margin")
+
+
 @register("lost_conflicts", "SELECT randomLinkerSeq, subject, sample, count(DISTINCT (chromosome, strand, CASE WHEN strand = '+' THEN fragStart ELSE fragEnd END)) AS sites FROM fx_fragments GROUP BY ALL HAVING sites > 1", "fx_fragments")
 def lost_conflicts(spark, d):
     found = tags.resolve_tag_conflicts(view(spark, d, "fx_fragments"))

@@ -128,16 +128,22 @@ def quality_cut(qual: Column | str, code: str = "+", half_width: int = 3, events
     """Bases to keep of a read: all before the first window of ``2 * half_width + 1``
     qualities around a base, of which ``events`` at least are at or below ``code``."""
     q = _c(qual)
-    n = F.length(q)
-    low = F.transform(F.split(q, ""), lambda ch: F.when(F.ascii(ch) <= ord(code), 1).otherwise(0))
-    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-
-    def bad(i: Column) -> Column:
-        a = F.greatest(i - half_width, F.lit(1))
-        return F.aggregate(F.slice(low, a, F.least(i + half_width, n) - a + 1), F.lit(0), lambda s, x: s + x) >= events
-
-    hits = F.filter(places, bad)
-    return F.when(F.size(hits) > 0, hits[0] - 1).otherwise(n)
+    parts = F.split(q, rf"[\x00-\x{ord(code):02x}]", -1)
+
+    def upto(p: Column, first: Column | int, size: Column | int) -> Column:
+        """Bases from the start of one part to the bad base after the last of ``size`` parts."""
+        return F.length(F.array_join(F.slice(p, first, size), ".")) + 1
+
+    def first_window(p: Column) -> Column:
+        # Bad bases number one less than the parts; a window holds events whose ends are
+        # 2 * half_width apart at most, and begins half_width before the last of them.
+        last = F.size(p) - events
+        places = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+        hits = F.filter(places, lambda j: upto(p, j + 1, events - 1) <= 2 * half_width)
+        return F.when(F.size(hits) > 0, F.greatest(upto(p, 1, F.get(hits, F.lit(0)) + events - 1) - half_width - 1, F.lit(0)))
+
+    # The parts are bound once: an expression in a function of an array is worked out anew for each item.
+    return F.coalesce(F.transform(F.array(parts), first_window)[0], F.length(q))
 
 
 def integrase_shift(strand: Column | str, position: Column | str, by: int) -> Column:

@@ -35,11 +35,13 @@ def attrition_shares(wide: DataFrame, first: str = "PRD1") -> DataFrame:
     return long.join(wide.select("uniqueSample", F.col(first).alias("__first")), "uniqueSample").select("uniqueSample", "label", "reads", (F.col("reads") / F.col("__first")).alias("share"))
 
 
-def evaluate_recovery(truth: DataFrame, found: DataFrame, width: int = 3) -> DataFrame:
+def evaluate_recovery(truth: DataFrame, found: DataFrame, width: int = 3, multi_hits: DataFrame | None = None) -> DataFrame:
     """Truth sites ``(trial, subject, sample, posid, nReads, leaderSeq)`` with the found site
     of the same sample and strand within ``width`` bases on both sides that is closest
     (ties: most reads, then the smaller position): ``found, splitSite, posDiff, readDiff,
-    leaderSeqDist``."""
+    leaderSeqDist``. With ``multi_hits``, clusters with an array ``posids``, a site also
+    counts as found where no site is near but a member of a cluster of its sample is:
+    ``multiHit`` then is true and the differences are null."""
     def placed(df: DataFrame, prefix: str, columns: list[str]) -> DataFrame:
         p = parse_posid("posid")
         return df.select(*[F.col(c).alias(prefix + c) for c in columns], p["chromosome"].alias(prefix + "c"), p["strand"].alias(prefix + "s"), p["position"].alias(prefix + "p"),
@@ -53,12 +55,23 @@ def evaluate_recovery(truth: DataFrame, found: DataFrame, width: int = 3) -> Dat
     hits = hits.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*key, "posid"))).withColumn("rank", F.row_number().over(order)).where("rank = 1")
     hits = hits.select(*key, "posid", (F.col("n") > 1).alias("splitSite"), F.abs(F.col("p") - F.col("g_p")).alias("posDiff"), F.abs(F.col("nReads") - F.col("g_reads")).alias("readDiff"), F.levenshtein("leaderSeq", "g_repLeaderSeq").alias("leaderSeqDist"))
     out = truth.join(hits, [*key, "posid"], "left")
-    return out.withColumn("found", F.col("posDiff").isNotNull()).withColumn("splitSite", F.coalesce("splitSite", F.lit(False)))
-
-
-def recovery_summary(evaluated: DataFrame, multi_found: int = 0) -> DataFrame:
-    n, got = F.count(F.lit(1)), F.sum(F.col("found").cast("int"))
-    return evaluated.agg(n.alias("nSitesExpected"), got.alias("nSitesRecovered"), (100.0 * got / n).alias("percentUniqueRecovery"), (100.0 * (got + multi_found) / n).alias("percentTotalRecovery"), F.avg("leaderSeqDist").alias("leaderSeqDistMean"), F.stddev_samp("leaderSeqDist").alias("leaderSeqDistSD"))
+    out = out.withColumn("found", F.col("posDiff").isNotNull()).withColumn("splitSite", F.coalesce("splitSite", F.lit(False)))
+    if multi_hits is None:
+        return out
+    # Members by their places; where a truth site lies near several, one row is enough.
+    members = multi_hits.select(*key, F.explode("posids").alias("posid")).withColumn("posid", F.regexp_replace("posid", r"\.\d+$", "")).distinct()
+    m = placed(members, "m_", key)
+    near = overlaps(t.drop("nReads", "leaderSeq"), m, {**{k: f"m_{k}" for k in key}, "c": "m_c", "s": "m_s"}, ("a", "b"), ("m_a", "m_b")).select(*key, "posid", F.lit(True).alias("__multi")).distinct()
+    out = out.join(near, [*key, "posid"], "left").withColumn("multiHit", ~F.col("found") & F.coalesce("__multi", F.lit(False)))
+    return out.withColumn("found", F.col("found") | F.col("multiHit")).drop("__multi")
+
+
+def recovery_summary(evaluated: DataFrame) -> DataFrame:
+    """Sites expected and recovered, in percent as sites of their own (unique) and in all."""
+    total = F.col("found").cast("int")
+    unique = (F.col("found") & ~F.col("multiHit")).cast("int") if "multiHit" in evaluated.columns else total
+    n, got = F.count(F.lit(1)), F.sum(unique)
+    return evaluated.agg(n.alias("nSitesExpected"), got.alias("nSitesRecovered"), (100.0 * got / n).alias("percentUniqueRecovery"), (100.0 * F.sum(total) / n).alias("percentTotalRecovery"), F.avg("leaderSeqDist").alias("leaderSeqDistMean"), F.stddev_samp("leaderSeqDist").alias("leaderSeqDistSD"))
 
 
 def site_classes(sites: DataFrame, repeats: DataFrame) -> DataFrame:

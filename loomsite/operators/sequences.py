@@ -223,10 +223,10 @@ def priming_by_leader(sites: DataFrame, reference: DataFrame, k: int = 20, min_m
     return at.join(pairs.drop("__marks"), ["__tail", "flank"], "left").drop("__tail", "flank")
 
 
-def priming_by_vector(sites: DataFrame, reference: DataFrame, vectors: DataFrame, k: int = 20, word: int = 5, min_temperature: int = 50, min_half: int = 7) -> DataFrame:
+def priming_by_vector(sites: DataFrame, reference: DataFrame, vectors: DataFrame, k: int = 20, word: int = 5, min_temperature: int = 50, min_half: int = 7, chunk: int = CHUNK) -> DataFrame:
     """Adds ``PCRartifact2``: the ``k`` genomic bases after the site have a stretch in the
     vector that melts at ``min_temperature`` at least and matches in the right half."""
-    at = flank(sites, reference, k, before=False)
+    at = flank(sites, reference, k, before=False, chunk=chunk)
     hits = align(at.select(F.col("flank").alias("seq")).where("flank is not null"), vectors, k=word, min_seeds=1, min_length=word)
     hits = hits.withColumn("__part", F.expr("substring(seq, qStart + 1, qEnd - qStart)")).withColumn("temperature", wallace_temperature("__part"))
     half = F.greatest(F.col("qEnd") - F.greatest("qStart", F.lit(k - k // 2)), F.lit(0))

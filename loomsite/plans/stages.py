@@ -251,27 +251,42 @@ def annotate_repeats(sites: DataFrame, repeats: DataFrame, multi_hits: DataFrame
     return out
 
 
+def vector_hits(seqs: DataFrame, vectors: DataFrame, min_length: int = 12) -> DataFrame:
+    """Where distinct ``seqs (seq)`` lie on vectors, in the columns of a hit table."""
+    hits = sq.align(seqs.where("seq is not null"), vectors, k=8, min_length=min_length)
+    plus = F.col("strand") == "+"
+    return hits.select(F.col("seq").alias("qname"), F.col("tName").alias("sseqid"), (F.col("qStart") + 1).alias("qstart"), F.col("qEnd").alias("qend"), F.when(plus, F.col("tStart") + 1).otherwise(F.col("tEnd")).alias("sstart"), F.when(plus, F.col("tEnd")).otherwise(F.col("tStart") + 1).alias("send"),
+                       F.pow(F.lit(2.0), -F.col("matches")).alias("evalue"), F.col("matches").cast("double").alias("bitscore"), F.col("qSize").alias("qlen"))
+
+
 def map_site_leader_sequences(sites: DataFrame, vectors: DataFrame) -> DataFrame:
     """Adds ``repLeaderSeqMap``: how each site's leader lies on the vector."""
-    hits = sq.align(sites.select(F.col("repLeaderSeq").alias("seq")).where("repLeaderSeq is not null"), vectors, k=8, min_length=12)
-    plus = F.col("strand") == "+"
-    table = hits.select(F.col("seq").alias("qname"), F.col("tName").alias("sseqid"), (F.col("qStart") + 1).alias("qstart"), F.col("qEnd").alias("qend"), F.when(plus, F.col("tStart") + 1).otherwise(F.col("tEnd")).alias("sstart"), F.when(plus, F.col("tEnd")).otherwise(F.col("tStart") + 1).alias("send"),
-                        F.pow(F.lit(2.0), -F.col("matches")).alias("evalue"), F.col("matches").cast("double").alias("bitscore"), F.col("qSize").alias("qlen"))
-    models = sq.rearrangements(table, min_length=12)
+    models = sq.rearrangements(vector_hits(sites.select(F.col("repLeaderSeq").alias("seq")), vectors), min_length=12)
     return sites.join(models.select(F.col("qname").alias("repLeaderSeq"), F.col("model").alias("repLeaderSeqMap")), "repLeaderSeq", "left")
 
 
-def predict_pcr_artifacts(sites: DataFrame, reference: DataFrame, vectors: DataFrame, k: int = 20) -> DataFrame:
+def predict_pcr_artifacts(sites: DataFrame, reference: DataFrame, vectors: DataFrame, k: int = 20, chunk: int = sq.CHUNK) -> DataFrame:
+    """Adds ``PCRartifact1`` and ``PCRartifact2``: signs that the genome, or the vector, primed
+    a site's reads. ``reference`` holds chromosomes in chunks of ``chunk`` bases."""
     p = parse_posid("posid")
     at = sites.withColumn("chromosome", p["chromosome"]).withColumn("strand", p["strand"]).withColumn("position", p["position"])
-    return sq.priming_by_vector(sq.priming_by_leader(at, reference, k), reference, vectors, k).drop("chromosome", "strand", "position")
-
-
-def anchor_read_rearrangements(reads: DataFrame, expected: DataFrame, windows: tuple[int, ...] = (300,), levels: tuple[int, ...] = (0, 1000), seeds: tuple[int, ...] = (1, 2, 3), min_reads: int = 2) -> dict[str, DataFrame]:
-    merged = sq.merge_reads(reads)
-    rows = sq.rarefy(merged.select("uniqueSample", "readID", "seq"), ["uniqueSample"], levels, seeds, windows, "seq")
+    return sq.priming_by_vector(sq.priming_by_leader(at, reference, k, chunk=chunk), reference, vectors, k, chunk=chunk).drop("chromosome", "strand", "position")
+
+
+def anchor_read_rearrangements(reads: DataFrame, expected: DataFrame, windows: tuple[int, ...] = (300,), levels: tuple[int, ...] = (0, 1000), seeds: tuple[int, ...] = (1, 2, 3), min_reads: int = 2, prefixes: list[str] | None = None, vectors: DataFrame | None = None, identity: float = 0.9) -> dict[str, DataFrame]:
+    """Merged mates -> ``stats`` of the structures in their first bases and ``structures``,
+    the distinct starts of each sample and window with shares. With ``prefixes`` and
+    ``vectors`` only reads that begin and end as expected take part, and ``structures`` has
+    the ``model`` of each start: how it lies on the vectors."""
+    merged = sq.merge_reads(reads).select("uniqueSample", "readID", "seq")
+    if prefixes and vectors is not None:
+        merged = sq.rearrangement_inputs(merged, prefixes, vectors)
+    rows = mh.saved(sq.rarefy(merged, ["uniqueSample"], levels, seeds, windows, "seq"))
     top = rp.structure_models(rows.where("level = 0"), ["uniqueSample", "window"])
-    return {"stats": sq.structure_stats(rows, ["uniqueSample"], "seq", expected, min_reads), "structures": top}
+    if vectors is not None:
+        models = sq.rearrangements(vector_hits(top.select("seq"), vectors), min_length=12)
+        top = top.join(models.select(F.col("qname").alias("seq"), "model"), "seq", "left")
+    return {"stats": sq.structure_stats(rows, ["uniqueSample"], "seq", expected, min_reads, identity), "structures": top}
 
 
 def anchor_read_start_seqs(reads: DataFrame, windows: tuple[int, ...] = (10, 50, 100, 200), top: int = 5) -> DataFrame:
@@ -286,8 +301,8 @@ def read_attrition(stages: dict[str, DataFrame]) -> DataFrame:
     return rp.attrition_wide(rp.attrition(stages), list(stages))
 
 
-def evaluate_recovery(sites: DataFrame, truth: DataFrame, width: int = 3) -> dict[str, DataFrame]:
-    found = rp.evaluate_recovery(truth, sites, width)
+def evaluate_recovery(sites: DataFrame, truth: DataFrame, width: int = 3, multi_hits: DataFrame | None = None) -> dict[str, DataFrame]:
+    found = rp.evaluate_recovery(truth, sites, width, multi_hits)
     return {"sites": found, "summary": rp.recovery_summary(found)}
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 import gzip
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+#: The columns of the file formats, in their order.
 PSL = "matches int, misMatches int, repMatches int, nCount int, qNumInsert int, qBaseInsert int, tNumInsert int, tBaseInsert int, strand string, qName string, qSize int, qStart int, qEnd int, tName string, tSize int, tStart int, tEnd int, blockCount int, blockSizes string, qStarts string, tStarts string"
 HITS = "qname string, sseqid string, pident double, length int, mismatch int, gapopen int, qstart int, qend int, sstart int, send int, evalue double, bitscore double"
 GENE_PRED = "bin int, name string, chrom string, strand string, txStart int, txEnd int, cdsStart int, cdsEnd int, exonCount int, exonStarts string, exonEnds string, score int, name2 string, cdsStartStat string, cdsEndStat string, exonFrames string"
@@ -125,6 +127,120 @@ def read_fasta(spark: SparkSession, path: str, mask: bool = False) -> DataFrame:
     return rows.select(name.alias("name"), (F.translate(seq, "acgtn", "NNNNN") if mask else F.upper(seq)).alias("seq"))
 
 
+#: Bytes before a range in which the line that it begins in is looked for.
+LONGEST_HEADER = 1 << 16
+
+
+def _fasta_parts(path: str, start: int, end: int, step: int = 1 << 20) -> Iterator[tuple[str | None, bytes]]:
+    """The contents of a range of bytes in order: ``(name, b"")`` for each header that begins
+    in it, and ``(None, bases)`` for what follows. Records may be cut anywhere; a header
+    belongs to the range of its first byte."""
+    store, inner = _file_system(path)
+    with store.open_input_file(inner) as f:
+        # Does the range begin inside a header?
+        f.seek(max(0, start - LONGEST_HEADER))
+        line = f.read(start - max(0, start - LONGEST_HEADER)).rsplit(b"\n", 1)[-1]
+        inside, at, begins = line[:1] == b">", start, not line
+        head = b""
+        own = False
+        while at < end or own:
+            data = f.read(min(step, end - at) if at < end else 4096)
+            if not data:
+                break
+            at += len(data)
+            while data:
+                if inside:
+                    text, cut, data = data.partition(b"\n")
+                    head += text
+                    if cut:
+                        if own:
+                            yield head[1:].split()[0].decode() if head[1:].split() else "", b""
+                        inside, own, head, begins = False, False, b"", True
+                        if at > end:
+                            data = b""
+                    continue
+                spot = 0 if begins and data[:1] == b">" else data.find(b"\n>") + 1
+                if spot or (begins and data[:1] == b">"):
+                    bases, data = data[:spot], data[spot:]
+                    inside, own = True, True
+                else:
+                    bases, data = data, b""
+                if bases:
+                    begins = bases.endswith(b"\n")
+                    yield None, bases.translate(None, b" \t\r\n")
+    if own:
+        yield head[1:].split()[0].decode() if head[1:].split() else "", b""
+
+
+def read_fasta_chunks(spark: SparkSession, *paths: str, chunk: int = 10_000, mask: bool = False, split: int = SPLIT) -> DataFrame:
+    """``(chromosome, chunk, seq)`` rows of ``chunk`` bases of FASTA files, which are read by
+    ranges of ``split`` bytes whatever their lines: a chromosome is as many tasks as it has
+    ranges, and no task holds more than a step of it.
+
+    A first pass tells for each range how many bases it holds before its first and after its
+    last header; with these few figures (one row for each range of the files) each range
+    knows the record and the position at which it begins. Bases of chunks that two ranges
+    share are put together by a grouping. ``mask``: lower-case bases become N."""
+    from pyarrow import fs
+
+    ranges = []
+    for given in paths:
+        store, path = _file_system(given)
+        info = store.get_file_info(path)
+        files_ = [x for x in store.get_file_info(fs.FileSelector(path)) if x.size and not x.base_name.startswith(("_", "."))] if info.type == fs.FileType.Directory else [info]
+        prefix = given[: len(given) - len(path)] if given.endswith(path) else "file://" if given.startswith("file:") else ""
+        ranges += [(prefix + f.path, i, min(i + split, f.size)) for f in sorted(files_, key=lambda x: x.path) for i in range(0, f.size, split)]
+    empty = "chromosome string, chunk int, seq string"
+    if not ranges:
+        return spark.createDataFrame([], empty)
+    dealt = spark.createDataFrame(ranges, "path string, start long, end long").repartition(len(ranges), "path", "start")
+
+    def survey(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in rows:
+            for r in pdf.itertuples():
+                before, name, after = 0, None, 0
+                for head, bases in _fasta_parts(r.path, r.start, r.end):
+                    if head is not None:
+                        name, after = head, 0
+                    elif name is None:
+                        before += len(bases)
+                    else:
+                        after += len(bases)
+                yield pd.DataFrame([(r.path, r.start, r.end, before, name, after)], columns=["path", "start", "end", "before", "name", "after"])
+
+    known = dealt.mapInPandas(survey, "path string, start long, end long, before long, name string, after long").collect()
+    carried, name, at, path = [], None, 0, None
+    for r in sorted(known, key=lambda r: (r.path, r.start)):
+        if r.path != path:
+            path, name, at = r.path, None, 0
+        carried.append((r.path, r.start, r.end, name, at))
+        name, at = (name, at + r.before) if r.name is None else (r.name, r.after)
+    table = bytes.maketrans(b"acgtn", b"NNNNN") if mask else bytes.maketrans(bytes(range(97, 123)), bytes(range(65, 91)))
+
+    def cut(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in rows:
+            for r in pdf.itertuples():
+                name, at = r.name, r.at
+                for head, bases in _fasta_parts(r.path, r.start, r.end):
+                    if head is not None:
+                        name, at = head, 0
+                        continue
+                    if name is None:
+                        continue
+                    out, text = [], bases.translate(table).decode("latin-1")
+                    while text:
+                        n = chunk - at % chunk
+                        out.append((name, at // chunk, at % chunk, text[:n]))
+                        at, text = at + len(text[:n]), text[n:]
+                    if out:
+                        yield pd.DataFrame(out, columns=["chromosome", "chunk", "at", "seq"])
+
+    rows = spark.createDataFrame(carried, "path string, start long, end long, name string, at long").repartition(len(carried), "path", "start")
+    pieces = rows.mapInPandas(cut, "chromosome string, chunk int, at int, seq string")
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "seq"))), lambda x: x["seq"]), "")
+    return pieces.groupBy("chromosome", "chunk").agg(joined.alias("seq"))
+
+
 def reference_chunks(fasta: DataFrame, chunk: int = 10_000) -> DataFrame:
     """A reference as ``(chromosome, chunk, seq)`` rows of ``chunk`` bases."""
     n = F.ceil(F.length("seq") / chunk).cast("int")

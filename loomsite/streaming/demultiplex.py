@@ -27,26 +27,34 @@ def write_assigned(assigned: DataFrame, out: str, checkpoint: str) -> StreamingQ
     return assigned.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def write_distinct(assigned: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Exact removal of duplicates across shards. A batch writes one row for each pair of
-    sequences it holds, with the smallest read id and the reads behind it, to a folder of
-    its own that a repeated try overwrites; no batch reads what others wrote.
-    ``read_distinct`` gives the table over all batches, in which later duplicates count."""
-
-    def merge(batch: DataFrame, number: int) -> None:
-        new = batch.groupBy("anchorReadSeq", "adriftReadSeq").agg(F.min(F.struct("readID", "uniqueSample")).alias("m"), F.count(F.lit(1)).alias("n"))
-        new = new.select("m.readID", "m.uniqueSample", "anchorReadSeq", "adriftReadSeq", "n")
-        new.write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-    return assigned.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def read_distinct(spark: SparkSession, out: str) -> DataFrame:
+#: The state store that keeps what doesn't fit in memory on executors' disks.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def write_distinct(assigned: DataFrame, checkpoint: str) -> StreamingQuery:
+    """Exact removal of duplicates across shards by keyed state: for each pair of sequences
+    the state holds the smallest read id and the number of reads so far, of all batches. A
+    batch touches the keys that it holds only; the state is in the checkpoint, so a later
+    run, on other executors, goes on where the last one ended."""
+    spark = assigned.sparkSession
+    state = assigned.groupBy("anchorReadSeq", "adriftReadSeq").agg(F.min(F.struct("readID", "uniqueSample")).alias("m"), F.count(F.lit(1)).alias("n"))
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, ROCKSDB)
+    try:
+        return state.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+
+
+def read_distinct(spark: SparkSession, checkpoint: str) -> DataFrame:
     """``(readID, uniqueSample, anchorReadSeq, adriftReadSeq, nDuplicateReads)`` over all
-    batches so far: the smallest read id stands for all reads of its pair."""
-    rows = spark.read.parquet(out)
-    found = rows.groupBy("anchorReadSeq", "adriftReadSeq").agg(F.min(F.struct("readID", "uniqueSample")).alias("m"), (F.sum("n") - 1).alias("nDuplicateReads"))
-    return found.select("m.readID", "m.uniqueSample", "anchorReadSeq", "adriftReadSeq", "nDuplicateReads")
+    batches so far: the smallest read id stands for all reads of its pair. It reads the
+    last state, one row for each pair, however many batches led to it."""
+    rows = spark.read.format("statestore").load(checkpoint)
+    first, n = rows.schema["value"].dataType.names
+    m = F.col(f"value.`{first}`")
+    return rows.select(m["readID"].alias("readID"), m["uniqueSample"].alias("uniqueSample"), "key.anchorReadSeq", "key.adriftReadSeq", (F.col(f"value.`{n}`") - 1).alias("nDuplicateReads"))
 
 
 def running_counts(assigned: DataFrame) -> DataFrame:

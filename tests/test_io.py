@@ -40,6 +40,38 @@ def test_fasta_and_tables(spark, tmp_path):
     assert sorted((r.exon, r.start, r.end) for r in files.exons_of(genes.limit(1)).collect()) == [(1, 11, 20), (2, 51, 100)]
 
 
+def test_fasta_by_ranges(spark, tmp_path):
+    """Records over several ranges, on one line or on many, empty ones, long headers, ranges
+    that begin in headers and at line ends."""
+    rnd = random.Random(3)
+    want, text = {}, ""
+    for i in range(12):
+        n = rnd.choice([0, 1, 7, 40, 333])
+        seq = "".join(rnd.choice("ACGTacgtn") for _ in range(n))
+        want[f"c{i}"] = seq
+        width = rnd.choice([1000, 9, 10])
+        text += f">c{i} {'x' * rnd.choice([0, 5, 60])}\n" + "".join(seq[j : j + width] + rnd.choice(["\n", "\r\n"]) for j in range(0, n, width))
+    (tmp_path / "g.fa").write_bytes(text.encode())
+    masked = str.maketrans("acgtn", "NNNNN")
+    for split in (1, 7, 64, 1 << 20):
+        if split == 1:
+            parts = [p for start in range(len(text)) for p in files._fasta_parts(str(tmp_path / "g.fa"), start, start + 1)]
+            assert [h for h, _ in parts if h is not None] == list(want) and b"".join(b for _, b in parts).decode() == "".join(want.values())
+            continue
+        got = files.read_fasta_chunks(spark, f"file://{tmp_path / 'g.fa'}", chunk=10, mask=True, split=split).collect()
+        whole = {}
+        for r in sorted(got, key=lambda r: (r.chromosome, r.chunk)):
+            whole[r.chromosome] = whole.get(r.chromosome, "") + r.seq
+        assert whole == {k: v.translate(masked) for k, v in want.items() if v}
+        assert all(len(r.seq) == 10 for r in got if (r.chunk + 1) * 10 <= len(want[r.chromosome]))
+
+
+def test_one_record_is_read_in_several_partitions(spark, tmp_path):
+    (tmp_path / "big.fa").write_text(">one\n" + "ACGTTGCA" * 6_250_000)
+    got = files.read_fasta_chunks(spark, str(tmp_path / "big.fa"), chunk=100_000, split=8 << 20)
+    assert got.count() == 500 and got.where("length(seq) <> 100000 or seq not like 'ACGTTGCA%'").isEmpty()
+
+
 def test_sample_sheet(spark, tmp_path):
     head = "\t".join(files.REQUIRED)
     good = "T\tS\tG1\t1\tACGTACGTACGTACGTACGTNNNNCC\tAAAAAAAAAAAA\thg\tv.fa\tIN_u5"
@@ -69,9 +101,13 @@ def test_streams(spark, tmp_path):
         spark.createDataFrame(part, stream.READS).coalesce(1).write.mode("append").parquet(shards)
         moved = stream.assign_stream(stream.read_shards(spark, shards), samples)
         stream.write_assigned(moved, str(tmp_path / "out"), str(tmp_path / "c1")).awaitTermination()
-        stream.write_distinct(moved, str(tmp_path / "distinct"), str(tmp_path / "c2")).awaitTermination()
+        stream.write_distinct(moved, str(tmp_path / "c2")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 30
-    kept = stream.read_distinct(spark, str(tmp_path / "distinct"))
+    kept = stream.read_distinct(spark, str(tmp_path / "c2"))
+    want = {}
+    for i, _, a, _ in rows:
+        want.setdefault(a, []).append(i)
+    assert {r.anchorReadSeq: (r.readID, r.nDuplicateReads) for r in kept.collect()} == {a: (min(x), len(x) - 1) for a, x in want.items()}
     assert kept.agg(F.sum("nDuplicateReads")).first()[0] == 30 - kept.count()
     assert kept.count() == len({r[2] for r in rows}) == kept.select("anchorReadSeq").distinct().count()
     counts = stream.running_counts(stream.assign_stream(stream.read_shards(spark, shards), samples))

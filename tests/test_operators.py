@@ -530,3 +530,13 @@ def test_running_aggregates_against_loops(spark, width, monkeypatch):
             seen = [w for h, q, w, j in rows if h == k and w is not None and before(q, j)]
             want[i] = (sum(seen), max(seen), min(seen)) if seen else (None, None, None)
         assert got == want
+
+
+def test_quality_cut_against_a_loop(spark):
+    rnd = random.Random(7)
+    quals = ["", "+", "++"] + ["".join(rnd.choice("!+5II") for _ in range(rnd.randint(1, 60))) for _ in range(200)]
+    for events, half in ((2, 3), (1, 2), (3, 4)):
+        rows = spark.createDataFrame([(q,) for q in quals], "q string").select("q", dna.quality_cut("q", half_width=half, events=events).alias("n")).collect()
+        for r in rows:
+            hit = next((i for i in range(len(r.q)) if sum(c <= "+" for c in r.q[max(0, i - half) : i + half + 1]) >= events), len(r.q))
+            assert r.n == hit, (r.q, events, half)

@@ -125,7 +125,8 @@ def prep_reads(reads: DataFrame, leader_hits: DataFrame | None = None, vectors:
     out = tg.correct_tags(out, scope=scope)
     if o.umi_scope == "run":
         out = tg.majority_sample(out)
-    return {"reads": out, **result}
+    # Later stages read the reads again and again: their lineage ends here.
+    return {"reads": mh.saved(out), **result}
 
 
 def align_reads(reads: DataFrame, reference: DataFrame, o: Options = Options()) -> dict[str, DataFrame]:
@@ -139,8 +140,10 @@ def align_reads(reads: DataFrame, reference: DataFrame, o: Options = Options())
         result[mate] = reads.select("readID", F.col(column).alias("seq")).join(good, "seq").drop("seq")
     # The unaligned start of an anchor read belongs to its leader.
     result["anchor"] = al.extend_leader(result["anchor"].join(reads.select("readID", "leaderSeq", "anchorReadSeq"), "readID")).drop("anchorReadSeq") if {"leaderSeq", "anchorReadSeq"} <= set(reads.columns) else result["anchor"]
+    # Fragments read the alignments several times: they are written once.
+    result = {mate: mh.saved(rows) for mate, rows in result.items()}
     result["anchor"], result["adrift"] = al.both_mates(result["anchor"], result["adrift"])
-    return result
+    return {mate: mh.saved(rows) for mate, rows in result.items()}
 
 
 def build_fragments(anchor: DataFrame, adrift: DataFrame, reads: DataFrame, o: Options = Options()) -> DataFrame:

@@ -484,39 +484,47 @@ def test_url_templates_learn_from_labels(spark):
     assert {r.template for r in out if r.host == "wiki.test"} == {"/*/about"}
 
 
-def slow_verdicts(rows, depth=8, most=20, few=10, least=5, z=1.96, smoothing=5.0, limit=0.7):
-    """The template tree again, over (host, segments, label) rows in plain Python."""
-    t = [tuple(s[:depth]) + (("**",) if len(s) > depth else ()) for _, s, _ in rows]
+def slow_verdicts(rows, depth=8, most=20, few=10, branch=5, least=5, z=1.96, smoothing=5.0, limit=0.7):
+    """The template tree again, over (host, segments, label, path) rows in plain Python."""
+    t = [tuple(s[:depth]) + (("**",) if len(s) > depth else ()) for _, s, _, _ in rows]
+    shape = list(t)
+    marks = [(1, y is not None, y == 1, bool(re.search(r"[.][A-Za-z0-9]{1,8}/?\Z", p)), p.endswith("/")) for _, _, y, p in rows]
     for d in range(depth + 1):
         kids = {}
-        for (host, _, y), x in zip(rows, t, strict=True):
+        for (host, *_), x, m in zip(rows, t, marks, strict=True):
             if len(x) > d:
-                sums = kids.setdefault((host, x[:d]), {}).setdefault(x[d], [0, 0, 0])
-                sums[0] += 1
-                sums[1] += y is not None
-                sums[2] += y == 1
+                sums = kids.setdefault((host, x[:d]), {}).setdefault(x[d], [0] * 5)
+                for i, v in enumerate(m):
+                    sums[i] += v
+
+        def close(own, all_, x, n):
+            share, rest = all_[x] / all_[n], all_[n] - own[n]
+            return abs(own[x] / own[n] - (all_[x] - own[x]) / rest) <= z * (share * (1 - share) * (1 / own[n] + 1 / rest)) ** 0.5
+
         new = []
-        for (host, _, _), x in zip(rows, t, strict=True):
+        for (host, *_), x in zip(rows, t, strict=True):
             if len(x) > d and x[d] != "*":
                 own = kids[host, x[:d]]
-                n, l, b = own[x[d]]
-                pn, pl, pb = (sum(v[i] for v in own.values()) for i in range(3))
-                wild = len(own) > most and pn < len(own) * few
-                if l >= least and pl - l >= least:
-                    share = pb / pl
-                    wild |= abs(b / l - (pb - b) / (pl - l)) <= z * (share * (1 - share) * (1 / l + 1 / (pl - l))) ** 0.5
+                me = own[x[d]]
+                known = [v for y, v in own.items() if v[1] >= least and y != x[d]]
+                all_ = [sum(v[i] for v in known) + me[i] for i in range(5)]
+                wild = len(own) > most and sum(v[0] for v in own.values()) < len(own) * few
+                wild |= len(own) > 1 and not known and me[1] >= least
+                if known and min(me[0], all_[0] - me[0]) >= branch and close(me, all_, 3, 0) and close(me, all_, 4, 0):
+                    wild |= me[1] < least or close(me, all_, 2, 1)
                 x = x[:d] + (("*",) if wild else x[d : d + 1]) + x[d + 1 :]
             new.append(x)
         t = new
 
     def share(keep, prior):
-        known = [y for (_, _, y), k in zip(rows, keep, strict=True) if k and y is not None]
+        known = [r[2] for r, k in zip(rows, keep, strict=True) if k and r[2] is not None]
         return (sum(known) + smoothing * prior) / (len(known) + smoothing)
 
-    overall = share([True] * len(rows), 0.5)
     out = []
-    for (host, _, _), x in zip(rows, t, strict=True):
-        own = share([r[0] == host for r in rows], overall)
+    for (host, *_), x in zip(rows, t, strict=True):
+        tops = {y[:1] for r, y in zip(rows, shape, strict=True) if r[0] == host}
+        labels = [[r[2] for r, y in zip(rows, shape, strict=True) if r[0] == host and y[:1] == top and r[2] is not None] for top in tops]
+        own = (sum(round(sum(v) / (len(v) + 5), 9) for v in labels) + 1) / (sum(round(len(v) / (len(v) + 5), 9) for v in labels) + 2)
         out.append(share([r[0] == host and y == x for r, y in zip(rows, t, strict=True)], own) >= limit)
     return out
 
@@ -528,12 +536,13 @@ def test_url_verdicts_without_rules_come_from_the_tree(spark):
         host = rnd.choice(["a.test", "b.test", "c.test", "d.test"])
         path = [rnd.choice(["x", "y", "z"]), rnd.choice(["u", "v", f"w{chr(97 + i % 26)}{chr(97 + i // 26)}"]), str(i)]
         bad = {"a.test": 0.95, "b.test": 0.05}.get(host, 0.9 if path[0] == "x" else 0.1)
-        rows.append((i, f"http://{host}/" + "/".join(path[: rnd.choice([1, 2, 3])]), int(rnd.random() < bad) if rnd.random() < 0.3 and host != "d.test" else None))
+        end = rnd.choice(["", "/", ".html"]) if path[0] != "y" else rnd.choice(["", "", ".html"])
+        rows.append((i, f"http://{host}/" + "/".join(path[: rnd.choice([1, 2, 3])]) + end, int(rnd.random() < bad) if rnd.random() < 0.3 and host != "d.test" else None))
     rows += [(900 + i, "http://a.test/never/labelled" + "/deeper" * i, None) for i in range(0, 12, 4)]
     shaped = []
     for _, url, y in rows:
         host, _, path = url[7:].partition("/")
-        shaped.append((host, ["*" if re.search("[0-9]", s) else s for s in path.split("/") if s], y))
+        shaped.append((host, ["*" if re.search("[0-9]", s) else s for s in path.split("/") if s], y, "/" + path))
     want = slow_verdicts(shaped)
     df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "page_id long, url string, bad int, host string, l int")
     out = {r.page_id: r for r in urls.judge_urls(df, label_column="bad").collect()}
@@ -543,3 +552,27 @@ def test_url_verdicts_without_rules_come_from_the_tree(spark):
     assert urls.judge_urls(df.limit(0), label_column="bad").count() == 0
     long = spark.createDataFrame([(1, "http://h/" + "seg/" * 50_000), (1, "http://h/" + "seg/" * 50_000)], "page_id long, url string")
     assert [r.verdict for r in urls.judge_urls(long).collect()] == ["allow", "allow"]
+
+
+def test_url_labels_spread_to_similar_siblings_only(spark):
+    """Verdicts within one host that no constant of the host could give: without the tree
+    (``depth`` 0 leaves one template for each host) they are all the same."""
+    ends = {"casino": "", "poker": "", "docs": ".html", "tiny": ""}
+    sizes = {"casino": 60, "poker": 40, "docs": 40, "tiny": 3}
+    rows = [(1000 * i + j, f"http://h.test/{top}/{j}{end}") for i, (top, end) in enumerate(ends.items()) for j in range(sizes[top])]
+    rules = (urls.Rule("h.test", "/casino/", True),)
+    df = spark.createDataFrame(rows, "page_id long, url string")
+
+    def verdicts(**more):
+        out = {}
+        for r in urls.judge_urls(df, rules, **more).collect():
+            out.setdefault(r.path.split("/")[1], set()).add(r.verdict)
+        return out
+
+    assert verdicts() == {"casino": {"block"}, "poker": {"block"}, "docs": {"allow"}, "tiny": {"allow"}}
+    flat = verdicts(depth=0)
+    assert flat["poker"] == flat["docs"] == flat["tiny"]
+    # Several labelled branches that agree say something about the small one.
+    more = rules + tuple(urls.Rule("h.test", f"/{x}/", True) for x in ("poker", "docs"))
+    rules = more
+    assert verdicts()["tiny"] == {"block"}

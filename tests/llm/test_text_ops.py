@@ -110,6 +110,33 @@ def test_repeated_spans_point_to_equal_words(docs):
         assert (s.src_doc, s.src_start) < (s.doc, s.start)
 
 
+def test_substring_verification(spark, tmp_path):
+    """Edges of one byte point to wrong sources all the time: words at the source tell."""
+    rnd = random.Random(5)
+    core = "one two three four five six seven eight".split()
+    rows = []
+    for i in range(150):
+        around = [rnd.choice(WORDS) + str(rnd.randint(0, 400)) for _ in range(40)]
+        rows.append((i, " ".join(around[:20] + core + around[20:])))
+        if i % 10 == 9:
+            rows.append((1000 + i, rows[rnd.randrange(i)][1] + rnd.choice([" end", ""])))
+    rows += [(2000, None), (2001, ""), (2002, rows[0][1]), (2002, rows[0][1]), (2003, "ab cd " * 20_000)]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, start int, n string")
+    text = {i: words_of(t) for i, t in rows}
+
+    def wrong(spans):
+        return sum(text[s.doc][s.start : s.start + s.n + 19] != text[s.src_doc][s.src_start : s.src_start + s.n + 19] for s in spans)
+
+    plain = df.selectExpr("doc_id AS doc", "text")
+    assert wrong(substring._candidate_spans(plain, 20, 8, 0, 1).collect())
+    assert not wrong(substring.repeated_spans(df, edge_bytes=1).collect())
+    weak, full = ({(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring.remove_repeats(df, edge_bytes=w).collect()} for w in (1, 6))
+    assert weak == full
+    removed = {i: n for i, _, n, _ in full}
+    assert removed[2003] == 39_998 and removed[2000] == removed[2001] == 0 and removed[2002] == 48
+    assert substring.remove_repeats(df.limit(0)).count() == 0
+
+
 def test_line_dedup(spark):
     def one_edit(a, b):
         if abs(len(a) - len(b)) > 1:

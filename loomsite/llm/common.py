@@ -31,12 +31,22 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+#: Spark's setting to drop a query's shuffle files when the query ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, tag: str, release: bool = False) -> DataFrame:
     """Writes ``df`` as a table in the shared folder and reads it back: it cuts the
-    lineage, and a lost executor costs no recomputation of what lies before it."""
+    lineage, and a lost executor costs no recomputation of what lies before it.
+    ``release`` drops the shuffle files of the write as soon as it ends, for large ones."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, str(release or before == "true").lower())
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

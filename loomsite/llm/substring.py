@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomsite.llm.common import materialize, release_shuffles, table
+from loomsite.llm.common import materialize, table
 from loomsite.llm.hashing import BYTE_VALUE, U64, mix64, ranges, shingle_hashes, steps, word_hashes, words
 
 #: Bytes of an edge's hash that a piece carries in the first round; later rounds take 8.
@@ -225,14 +225,11 @@ def repeated_spans(docs: DataFrame, k: int = 20, m: int = 8, id_column: str = "d
     bytes other than 0x20 and 0x09-0x0D; spans are maximal for one source each. Where a
     round met wrong spans, spans of two rounds may overlap. A document that is the source
     of many different ranges answers them in one task, one by one."""
-    spark = docs.sparkSession
     rows = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).cast("string").alias("text"))
     found, seed = [], 0
     while True:
-        spans = materialize(_candidate_spans(rows, k, m, seed, 8 if seed else edge_bytes), "spans")
-        release_shuffles(spark)
-        checked = materialize(_verified(rows, spans, k), "spans")
-        release_shuffles(spark)
+        spans = materialize(_candidate_spans(rows, k, m, seed, 8 if seed else edge_bytes), "spans", release=True)
+        checked = materialize(_verified(rows, spans, k), "spans", release=True)
         found.append(checked.where("same").drop("same"))
         if checked.where(~F.col("same")).isEmpty():
             return found[0] if len(found) == 1 else reduce(DataFrame.unionByName, found).distinct()

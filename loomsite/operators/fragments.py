@@ -316,10 +316,9 @@ def leader_frequency(fragments: DataFrame, by: list[str] | None = None) -> DataF
     return n.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "leaderSeq")))
 
 
-def cluster_order(fragments: DataFrame, column: str = "leaderSeq") -> DataFrame:
-    """Sequences (``column``) of each site with what orders them before they are clustered:
-    the site's distinct widths, the sequence's reads and its length, all descending, then
-    letters. -> ``(*SAMPLE, posid, column, reads, abundance, length)``."""
+def sequence_weights(fragments: DataFrame, column: str = "leaderSeq") -> DataFrame:
+    """Sequences (``column``) of each site with what orders them: the site's distinct widths,
+    the sequence's reads and its length. -> ``(*SAMPLE, posid, column, reads, abundance, length)``."""
     f = with_position(fragments).withColumn("posid", posid("chromosome", "strand", "position"))
     by = [*SAMPLE, "posid"]
     site = f.groupBy(*by).agg(F.count_distinct(F.col("fragEnd") - F.col("fragStart")).alias("abundance"))
@@ -327,13 +326,24 @@ def cluster_order(fragments: DataFrame, column: str = "leaderSeq") -> DataFrame:
     return n.withColumn("length", F.length(column))
 
 
+def cluster_order(fragments: DataFrame, column: str = "leaderSeq") -> DataFrame:
+    """Sequences (``column``) of each site and their ``place``, from 1, in the order of their
+    sample before they are clustered: by the site's distinct widths, the sequence's reads and
+    its length, all descending, then site and letters.
+    -> ``(*SAMPLE, posid, column, reads, abundance, length, place)``."""
+    from loomsite.operators.scans import placed
+
+    order = [F.desc("abundance"), F.desc("reads"), F.desc("length"), F.asc("posid"), F.asc(column)]
+    return placed(sequence_weights(fragments, column), SAMPLE, order, "place")
+
+
 def clustered_by_order(fragments: DataFrame, column: str, identity: float = 0.87) -> DataFrame:
     """Greedy clusters of the sequences of each sample, those of abundant sites and then of
     many reads first among sequences of one length -> ``(*SAMPLE, column, rep)``."""
     from loomsite.operators.clusters import cluster
 
     order = [F.max("abundance"), F.sum("reads")]
-    return cluster(cluster_order(fragments.where(F.col(column).isNotNull()), column), SAMPLE, column, identity, order)
+    return cluster(sequence_weights(fragments.where(F.col(column).isNotNull()), column), SAMPLE, column, identity, order)
 
 
 def top_position_shares(fragments: DataFrame, cluster: str = "leaderSeq", top: int = 3) -> DataFrame:

@@ -540,3 +540,38 @@ def test_quality_cut_against_a_loop(spark):
         for r in rows:
             hit = next((i for i in range(len(r.q)) if sum(c <= "+" for c in r.q[max(0, i - half) : i + half + 1]) >= events), len(r.q))
             assert r.n == hit, (r.q, events, half)
+
+
+def test_cluster_order_gives_places(spark):
+    """Places of samples that lie in one range, in several, and side by side in a range; ties and null sequences."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(600):
+        sample = rnd.choice(["G1"] * 8 + ["G2", "G3", None])
+        start = rnd.randint(1, 30) * 100
+        rows.append((f"r{rnd.randint(0, 200)}", sample, 1, rnd.choice("+-"), start, start + 50 + rnd.randint(0, 2), 0, "IN_u5", "AAAA", rnd.choice([None, "", "A", "C", "AC", "CA", "ACG"])))
+    sites, reads = {}, {}
+    for read, sample, _, strand, start, end, *_, leader in rows:
+        if sample is not None:
+            site = f"chr1{strand}{start if strand == '+' else end}"
+            sites.setdefault((sample, site), set()).add(end - start)
+            reads.setdefault((sample, site, leader), set()).add(read)
+    want = {}
+    for sample in ("G1", "G2", "G3"):
+        own = [(-len(sites[s, p]), -len(r), -len(q) if q is not None else 1, p, q or "", q) for (s, p, q), r in reads.items() if s == sample]
+        want |= {(sample, x[3], x[5]): n for n, x in enumerate(sorted(own, key=lambda x: x[:5]), 1)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = fragments.cluster_order(frag(spark, rows)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == len(want) and {(r["sample"], r.posid, r.leaderSeq): r.place for r in got} == want
+    assert fragments.cluster_order(frag(spark, rows).where("false")).collect() == []
+
+
+def test_places_with_null_keys(spark):
+    from loomsite.operators import scans
+
+    df = spark.createDataFrame([(None, 3), ("a", 2), (None, 1), ("a", None), ("b", 5)], "k string, v int")
+    got = scans.placed(df, ["k"], [F.desc("v")])
+    assert {(r.k, r.v): r.place for r in got.collect()} == {(None, 3): 1, (None, 1): 2, ("a", 2): 1, ("a", None): 2, ("b", 5): 1}

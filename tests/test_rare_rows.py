@@ -42,3 +42,9 @@ def test_barcode_of_two_samples(spark, tmp_path):
     """Suppliers 1917 and 4043 have one barcode and two linkers: a row for each."""
     got, want = both(spark, tables(tmp_path, [(1, 5, 1917, 1), (2, 6, 1917, 1), (3, 7, 4043, 2), (4, 8, 12, 1)], [1917, 4043, 12, 13]), "barcode_top_linker")
     assert got == want and len(got) == 3
+
+
+def test_mates_with_a_short_overlap_by_chance(spark, tmp_path):
+    """The ends of a contig's mates agree in a few bases; their overlap is the long one."""
+    got, want = both(spark, tables(tmp_path, parts=[99838, 3]), "pair_merge_mismatch")
+    assert got == want

@@ -48,3 +48,9 @@ def test_mates_with_a_short_overlap_by_chance(spark, tmp_path):
     """The ends of a contig's mates agree in a few bases; their overlap is the long one."""
     got, want = both(spark, tables(tmp_path, parts=[99838, 3]), "pair_merge_mismatch")
     assert got == want
+
+
+def test_leaders_beside_a_flank_of_c(spark, tmp_path):
+    """The genome before two of the sites holds 15 C among 20 bases."""
+    got, want = both(spark, tables(tmp_path, [(556126, 68684, 3433, 5), (37759, 6443, 49, 6), (107431, 19175, 279, 1), (4, 8, 12, 1)], parts=[68684, 6443, 19175, 8]), "priming_artifacts")
+    assert got == want

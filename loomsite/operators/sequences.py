@@ -204,7 +204,8 @@ def flank(sites: DataFrame, reference: DataFrame, length: int, before: bool = Tr
         lo = F.when(F.col("strand") == "-", F.col("position") - length + 1).otherwise(F.col("position"))
     spots = sites.select("chromosome", "strand", "position").distinct().withColumn("lo", F.greatest(lo, F.lit(1))).withColumn("hi", lo + length - 1)
     parts = spots.where("hi >= 1").withColumn("chunk", F.explode(F.sequence(F.floor((F.col("lo") - 1) / chunk), F.floor((F.col("hi") - 1) / chunk))))
-    got = parts.join(reference, ["chromosome", "chunk"])
+    # The reference may come from a small table that grew: it is not one to broadcast.
+    got = parts.join(reference.hint("merge"), ["chromosome", "chunk"])
     base = F.col("chunk") * chunk
     got = got.withColumn("a", F.greatest(F.col("lo") - base, F.lit(1)).cast("int")).withColumn("z", F.least(F.col("hi") - base, F.lit(chunk)).cast("int"))
     got = got.groupBy("chromosome", "strand", "position").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk", F.expr("substring(seq, a, z - a + 1)").alias("s")))), lambda x: x["s"]), "").alias("flank"))

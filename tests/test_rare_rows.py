@@ -1,6 +1,10 @@
 """Queries against their SQL on a few rows that only larger tables hold: chance matches and
 codes that two samples share."""
 
+import glob
+import random
+import time
+
 import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -90,3 +94,28 @@ def test_counts_of_a_stream_are_read_from_its_state(spark, tmp_path):
         stream.write_counts(stream.assign_stream(stream.read_shards(spark, shards), samples), state).awaitTermination()
         got = {tuple(r) for r in stream.read_counts(spark, state).collect()}
         assert got == {("T~S0~G1917~1", n), ("T~S0~G12~1", 2 * n)}
+
+
+def test_links_of_mutated_sequences(spark):
+    """Short and long sequences with edits of all kinds, beside strangers: no link is lost,
+    and neither side of the join of pieces is broadcast."""
+    from loomsite.operators import clusters
+    from loomsite.operators.multihits import saved
+    from tests.loops import levenshtein
+
+    rnd = random.Random(3)
+    for low, high, identity in ((20, 34, 0.87), (70, 82, 0.9), (150, 156, 0.93)):
+        texts = set()
+        for _ in range(12):
+            x = "".join(rnd.choice("ACGT") for _ in range(rnd.randint(low, high)))
+            for _ in range(6):
+                y = list(x)
+                for _ in range(rnd.randint(0, int(len(x) * (1 - identity)) + 1)):
+                    i, kind = rnd.randrange(len(y)), rnd.randrange(3)
+                    y[i : i + 1] = [[rnd.choice("ACGT")], [], [y[i], rnd.choice("ACGT")]][kind]
+                texts.add("".join(y))
+        rows = saved(spark.createDataFrame([("T", t) for t in sorted(texts)], "k string, __s string").selectExpr("*", "struct(-length(__s) as l, __s as s) as __o"))
+        found = clusters.links(rows, rows, ["k"], identity)
+        assert not [x for x in broadcasts(found) if "__key" in x or "__gram" in x]
+        want = {(a, b) for a in texts for b in texts if (-len(a), a) < (-len(b), b) and levenshtein(a, b) <= int(len(b) * (1 - identity) + 1e-9)}
+        assert want and {(r["__a"], r["__b"]) for r in found.collect()} == want

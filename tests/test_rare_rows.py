@@ -96,6 +96,24 @@ def test_counts_of_a_stream_are_read_from_its_state(spark, tmp_path):
         assert got == {("T~S0~G1917~1", n), ("T~S0~G12~1", 2 * n)}
 
 
+def test_saved_tables_leave_no_shuffle_files(spark):
+    """What iterates saves a table in each round; their shuffle files would add up."""
+    from loomsite.operators.multihits import saved
+
+    folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def files():
+        return {x for f in folders for x in glob.glob(f"{f}/*/shuffle_*.data")}
+
+    before = files()
+    saved(spark.range(100_000).selectExpr("id % 1000 as k").distinct())
+    for _ in range(20):
+        if not files() - before:
+            break
+        time.sleep(0.5)
+    assert not files() - before
+
+
 def test_links_of_mutated_sequences(spark):
     """Short and long sequences with edits of all kinds, beside strangers: no link is lost,
     and neither side of the join of pieces is broadcast."""

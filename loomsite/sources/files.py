@@ -356,9 +356,14 @@ def write_tsv(df: DataFrame, path: str, compress: bool = True) -> None:
 
 
 def export_fastq(raw: DataFrame, reads: DataFrame, path: str) -> None:
-    """The raw records ``(readID, seq, qual)`` of the reads kept, in a folder per sample."""
+    """The raw records ``(readID, seq, qual)`` of the reads kept, in a folder per sample.
+
+    Records are dealt by ranges of samples and reads, so that there are few more files than
+    samples, and a large sample is many tasks."""
     kept = raw.join(reads.select("readID", "uniqueSample"), "readID")
-    kept.select("uniqueSample", F.concat_ws("\n", F.concat(F.lit("@"), "readID"), "seq", F.lit("+"), "qual").alias("value")).write.mode("overwrite").partitionBy("uniqueSample").text(path, compression="gzip")
+    kept = kept.select("uniqueSample", "readID", F.concat_ws("\n", F.concat(F.lit("@"), "readID"), "seq", F.lit("+"), "qual").alias("value"))
+    kept = kept.repartitionByRange("uniqueSample", "readID").sortWithinPartitions("uniqueSample")
+    kept.select("uniqueSample", "value").write.mode("overwrite").partitionBy("uniqueSample").text(path, compression="gzip")
 
 
 def save_stage(df: DataFrame, folder: str, stage: str) -> DataFrame:

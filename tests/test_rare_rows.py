@@ -137,3 +137,19 @@ def test_links_of_mutated_sequences(spark):
         assert not [x for x in broadcasts(found) if "__key" in x or "__gram" in x]
         want = {(a, b) for a in texts for b in texts if (-len(a), a) < (-len(b), b) and levenshtein(a, b) <= int(len(b) * (1 - identity) + 1e-9)}
         assert want and {(r["__a"], r["__b"]) for r in found.collect()} == want
+
+
+def test_export_writes_few_files(spark, tmp_path):
+    """A sample's records lie in few files, not in one for each task of the join."""
+    from loomsite.sources import files
+
+    raw = spark.range(4000).repartition(8).selectExpr("concat('r', id) as readID", "'ACGT' as seq", "'IIII' as qual", "concat('S', id % 40) as uniqueSample")
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merged, "false")
+    try:
+        files.export_fastq(raw.drop("uniqueSample"), raw.select("readID", "uniqueSample").hint("merge"), f"{tmp_path}/fq")
+    finally:
+        spark.conf.unset(merged)
+    assert len(glob.glob(f"{tmp_path}/fq/*/*.gz")) <= 40 + 4
+    back = spark.read.text(f"{tmp_path}/fq")
+    assert back.count() == 16000 and back.where("value = '@r81' and uniqueSample = 'S1'").count() == 1

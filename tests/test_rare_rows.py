@@ -153,3 +153,18 @@ def test_export_writes_few_files(spark, tmp_path):
     assert len(glob.glob(f"{tmp_path}/fq/*/*.gz")) <= 40 + 4
     back = spark.read.text(f"{tmp_path}/fq")
     assert back.count() == 16000 and back.where("value = '@r81' and uniqueSample = 'S1'").count() == 1
+
+
+def test_groups_of_few_sequences_make_no_pieces(spark, monkeypatch):
+    """Only a group of many sequences is cut into pieces."""
+    from loomsite.operators import clusters
+
+    seen = []
+    run = clusters._joined
+    monkeypatch.setattr(clusters, "_joined", lambda first, *x: seen.append(first.count()) or run(first, *x))
+    rnd = random.Random(9)
+    some = ["".join(rnd.choice("ACGT") for _ in range(32)) for _ in range(50)]
+    rows = [(i, t) for i, t in enumerate(some)] + [(0, some[0][:31] + "N")] + [(50, t) for t in some[:10]]
+    got = clusters.cluster(spark.createDataFrame(rows, "k int, s string"), ["k"], "s").collect()
+    assert max(seen) <= 10 and len(got) == len(rows)
+    assert {tuple(r) for r in got if r.k != 0} == {(k, t, t) for k, t in rows if k != 0} and len({r.rep for r in got if r.k == 0}) == 1
